@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from macropanel.model import DATE, PANEL, SERIES, VALUE
+from macropanel.session import ensure_checkpoint_dir
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,20 +31,35 @@ def exact_sum(c: Column) -> Column:
     return F.sum(c.cast("decimal(18,2)")).cast("double")
 
 
-def facts_to_panel(facts: DataFrame) -> DataFrame:
+def facts_to_panel(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Dense long panel from sparse monthly facts ``(panel_id, series_id, date, value)``.
 
-    Each series is expanded over its panel's month range with ``sequence`` +
-    ``explode`` (no join fan-out), then the facts are left-joined on the full
-    cell key. ``bounds`` holds one row per panel, so broadcasting it is bounded
-    by the number of panels, not by the data.
+    Returns ``(cells, series)``: cells carry ``m`` (month index in the panel)
+    and ``pos`` (series rank by id); ``series`` has one row per series.
+
+    The facts are the output of the big scan + aggregate and are tiny next to
+    it (months x series), so they are checkpointed once to the session's
+    reliable checkpoint folder: every use below reads them, not the fact
+    tables, and lineage is cut. Each series is expanded over its panel's month
+    range with ``posexplode(sequence(...))``; the panel range and the series
+    rank come from a window over the per-series rows (one row per series).
     """
-    bounds = facts.groupBy(PANEL).agg(F.min(DATE).alias("_lo"), F.max(DATE).alias("_hi"))
-    series = facts.select(PANEL, SERIES).distinct()
-    grid = series.join(F.broadcast(bounds), PANEL).select(
-        PANEL, SERIES, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias(DATE)
+    ensure_checkpoint_dir(facts.sparkSession)
+    facts = facts.checkpoint(eager=True)
+    per_series = facts.groupBy(PANEL, SERIES).agg(F.min(DATE).alias("_lo"), F.max(DATE).alias("_hi"))
+    w = Window.partitionBy(PANEL)
+    series = per_series.select(
+        PANEL,
+        SERIES,
+        F.min("_lo").over(w).alias("_lo"),
+        F.max("_hi").over(w).alias("_hi"),
+        (F.row_number().over(w.orderBy(SERIES)) - 1).cast("int").alias("pos"),
+    )
+    grid = series.select(
+        PANEL, SERIES, "pos", F.posexplode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias("m", DATE)
     )
-    return grid.join(facts, [PANEL, SERIES, DATE], "left").select(PANEL, SERIES, DATE, VALUE)
+    cells = grid.join(facts, [PANEL, SERIES, DATE], "left").select(PANEL, SERIES, DATE, VALUE, "pos", F.col("m").cast("int").alias("m"))
+    return cells, series.select(PANEL, SERIES, "pos")
 
 
 def month_brand_facts(lineitem: DataFrame, part: DataFrame, panel_id: str = "brand_revenue") -> DataFrame:
@@ -94,22 +110,14 @@ def month_event_values(events: DataFrame, panel_id: str = "event_values") -> Dat
     )
 
 
-def lay_fixture_rules(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
+def lay_fixture_rules(cells: DataFrame, series: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lay gaps, outliers and tcodes on a dense panel by rule (FIXTURES.md §2).
 
     ``b`` = series rank in string order within the panel, ``m`` = month index.
-    Returns (panel, series dimension). The series rank window runs over the
-    distinct series of each panel (one row per series), not over cells.
+    Returns (panel, series dimension); pure projections, no join.
     """
-    series = panel.select(PANEL, SERIES).distinct()
-    series = series.withColumn("pos", (F.row_number().over(Window.partitionBy(PANEL).orderBy(SERIES)) - 1).cast("int"))
-    series = series.withColumn(
-        "tcode", F.when(F.col("pos") == 23, F.lit(None).cast("int")).otherwise((F.lit(1) + F.col("pos") % 7).cast("int"))
-    )
-    lo = panel.groupBy(PANEL).agg(F.min(DATE).alias("_lo"))
-    cells = panel.join(F.broadcast(lo), PANEL).join(F.broadcast(series.select(PANEL, SERIES, "pos")), [PANEL, SERIES])
     b = F.col("pos")
-    m = F.months_between(F.col(DATE), F.col("_lo")).cast("int")
+    m = F.col("m")
     v = F.col(VALUE)
     value = (
         F.when((b < 4) & (m < 20), F.lit(None))
@@ -121,27 +129,27 @@ def lay_fixture_rules(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
         .otherwise(v)
         .cast("double")
     )
-    return cells.select(PANEL, SERIES, DATE, value.alias(VALUE)), series.select(PANEL, SERIES, "pos", "tcode")
+    tcode = F.when(b == 23, F.lit(None).cast("int")).otherwise((F.lit(1) + b % 7).cast("int"))
+    return cells.select(PANEL, SERIES, DATE, value.alias(VALUE)), series.select(PANEL, SERIES, "pos", tcode.alias("tcode"))
 
 
 def brand_fixture_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The month x brand test panel: (panel, series dimension)."""
     facts = month_brand_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
-    return lay_fixture_rules(facts_to_panel(facts))
+    return lay_fixture_rules(*facts_to_panel(facts))
 
 
 def many_fact_panels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Three panels from three fact tables, prepared together.
 
-    Same gap/outlier rules per panel; series without a rule-given tcode keep
-    the rule's assignment, so every panel exercises every transform.
+    The same gap/outlier/tcode rules are laid on each panel by series rank.
     """
     facts = (
         month_brand_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
         .unionByName(month_nation_orders(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer")))
         .unionByName(month_event_values(read_table(spark, sf_dir, "events")))
     )
-    return lay_fixture_rules(facts_to_panel(facts))
+    return lay_fixture_rules(*facts_to_panel(facts))
 
 
 def unpivot_wide(wide: DataFrame, panel_id: str, series_cols: list[str] | None = None) -> DataFrame:
