@@ -17,9 +17,15 @@ from macropanel.operators import card as C
 from macropanel.operators import outliers as O
 from macropanel.operators import stationarity as S
 from macropanel.plans import oracle as Q
+from macropanel.operators import contracts as CT
+from macropanel.operators import factors as FA
+from macropanel.operators import validation as VA
+from macropanel.sinks import artifacts as W
 from macropanel.sources import panels as P
+from macropanel.sources import vintage as V
 
 P_ = BRAND_PARAMS
+LANDING = "/landing/vintages"
 
 
 def r6(c) -> F.Column:
@@ -81,6 +87,171 @@ def q_data_card(spark, sf):
     return C.build_data_card(t, series, P_.max_missing_frac)
 
 
+def q_vintage_path(spark, sf):
+    o = P.read_table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("ref_date")).distinct()
+    pin = F.concat(F.year("ref_date").cast("string"), F.lit("-"), F.month("ref_date").cast("string"))
+    return o.select(
+        "ref_date",
+        V.vintage_name(F.col("ref_date")).alias("vintage"),
+        V.vintage_path(LANDING, F.col("ref_date")).alias("path"),
+        V.vintage_name(F.col("ref_date"), pin).alias("pinned_vintage"),
+    )
+
+
+def _ingested(spark, sf):
+    panel, series = brand(spark, sf)
+    return V.parse_lines(V.panel_to_lines(panel, series), P_.date_floor)
+
+
+def q_ingest_long(spark, sf):
+    panel, _ = _ingested(spark, sf)
+    return panel.select(PANEL, SERIES, DATE, VALUE)
+
+
+def q_series_dim(spark, sf):
+    _, dim = _ingested(spark, sf)
+    return dim.select(PANEL, SERIES, "pos", "tcode")
+
+
+def q_missing_fraction(spark, sf):
+    t, _ = transformed(spark, sf)
+    return C.missing_fraction(t).select(PANEL, SERIES, "n_rows", "n_missing", r6("missing_frac").alias("missing_frac"))
+
+
+def q_kept_series(spark, sf):
+    t, series = transformed(spark, sf)
+    return C.kept_series(t, series, P_.max_missing_frac)
+
+
+def q_mask(spark, sf):
+    t, series = transformed(spark, sf)
+    return C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
+
+
+def _std(spark, sf):
+    t, series = transformed(spark, sf)
+    kidx = FA.kept_index(t, series, P_.max_missing_frac)
+    return FA.standardize(t, kidx), kidx
+
+
+def q_standardize(spark, sf):
+    std, _ = _std(spark, sf)
+    return std.select(PANEL, SERIES, DATE, r6("z").alias("z"))
+
+
+def q_gram_matrix(spark, sf):
+    std, kidx = _std(spark, sf)
+    g = FA.gram_matrix(FA.row_vectors(std))
+    ki = kidx.select(PANEL, F.col("idx").alias("i"), F.col(SERIES).alias("series_i"))
+    kj = kidx.select(PANEL, F.col("idx").alias("j"), F.col(SERIES).alias("series_j"))
+    return g.join(ki, [PANEL, "i"]).join(kj, [PANEL, "j"]).select(PANEL, "series_i", "series_j", r6("g").alias("g"))
+
+
+def q_leading_internal(spark, sf):
+    t, series = transformed(spark, sf)
+    return C.leading_internal(t, C.kept_series(t, series, P_.max_missing_frac))
+
+
+def q_imputation_counts(spark, sf):
+    t, series = transformed(spark, sf)
+    c = C.imputation_counts(t, series, P_.max_missing_frac, P_.k)
+    return c.select(
+        PANEL,
+        F.array_join("kept_series", ",").alias("kept_ids"),
+        F.array_join("dropped_series", ",").alias("dropped_ids"),
+        "n_dates",
+        "n_kept",
+        "n_dropped",
+        "n_imputed",
+        "n_imputed_leading",
+        "n_imputed_internal",
+        *[r6(c_).alias(c_) for c_ in ["frac_imputed", "frac_imputed_leading", "frac_imputed_internal"]],
+        "k_factors",
+    )
+
+
+def _card(spark, sf):
+    t, series = transformed(spark, sf)
+    return C.build_data_card(t, series, P_.max_missing_frac), t, series
+
+
+def q_balanced_series(spark, sf):
+    card, _, _ = _card(spark, sf)
+    return C.balanced_series(card, P_.balanced_cutoff)
+
+
+def q_balanced_panel(spark, sf):
+    card, t, series = _card(spark, sf)
+    m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
+    return C.balanced_projection(m, C.balanced_series(card, P_.balanced_cutoff))
+
+
+def q_series_quality(spark, sf):
+    t, _ = transformed(spark, sf)
+    return VA.series_quality(t)
+
+
+def q_df_tstat_lag0(spark, sf):
+    t, _ = transformed(spark, sf)
+    return VA.df_tstat_lag0(t)
+
+
+def q_contract_violations(spark, sf):
+    clean, series = cleaned(spark, sf)
+    t = S.transform_all(clean, series)
+    card = C.build_data_card(t, series, P_.max_missing_frac)
+    m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
+    return CT.all_violations({"raw": clean, "transformed": t, "mask": m, "data_card": card})
+
+
+def q_artifact_manifest(spark, sf):
+    clean, series = cleaned(spark, sf)
+    t = S.transform_all(clean, series)
+    card = C.build_data_card(t, series, P_.max_missing_frac)
+    m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
+    parts = [W.manifest_counts(n, d) for n, d in [("raw", clean), ("transformed", t), ("mask", m), ("data_card", card)]]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def q_run_summary_counts(spark, sf):
+    card, t, series = _card(spark, sf)
+    counts = C.imputation_counts(t, series, P_.max_missing_frac, P_.k)
+    s = W.run_summary(counts, C.balanced_series(card, P_.balanced_cutoff), t, series, P_.pipeline_version)
+    return s.select(*[r6(c).alias(c) if c.startswith("frac") else c for c in s.columns])
+
+
+def _em(spark, sf):
+    t, series = transformed(spark, sf)
+    return FA.em_impute(t, series, P_)
+
+
+def q_em_pca_impute(spark, sf):
+    return _em(spark, sf).imputed
+
+
+def q_em_pca_observed(spark, sf):
+    return _em(spark, sf).imputed.where(~F.col("imputed")).select(PANEL, SERIES, DATE, r6(VALUE).alias(VALUE))
+
+
+def q_em_pca_report(spark, sf):
+    return _em(spark, sf).report
+
+
+def q_adf_validation(spark, sf):
+    em = _em(spark, sf)
+    return VA.build_validation(em.imputed.select(PANEL, SERIES, DATE, VALUE))
+
+
+def q_many_panel_impute(spark, sf):
+    panel, series = P.many_fact_panels(spark, sf)
+    raw = O.remove_outliers(panel, P_.outlier_k)
+    t = S.transform_all(raw, series)
+    return FA.em_impute(t, series, P_).report
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "panel_build": q_panel_build,
     "outlier_bounds": q_outlier_bounds,
@@ -88,6 +259,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"tcode_{c}": make_tcode_query(c) for c in S.TCODES},
     "transform_all": q_transform_all,
     "data_card": q_data_card,
+    "vintage_path": q_vintage_path,
+    "ingest_long": q_ingest_long,
+    "series_dim": q_series_dim,
+    "missing_fraction": q_missing_fraction,
+    "kept_series": q_kept_series,
+    "mask": q_mask,
+    "standardize": q_standardize,
+    "gram_matrix": q_gram_matrix,
+    "leading_internal": q_leading_internal,
+    "imputation_counts": q_imputation_counts,
+    "balanced_series": q_balanced_series,
+    "balanced_panel": q_balanced_panel,
+    "series_quality": q_series_quality,
+    "df_tstat_lag0": q_df_tstat_lag0,
+    "contract_violations": q_contract_violations,
+    "artifact_manifest": q_artifact_manifest,
+    "run_summary_counts": q_run_summary_counts,
+    "em_pca_impute": q_em_pca_impute,
+    "em_pca_observed": q_em_pca_observed,
+    "em_pca_report": q_em_pca_report,
+    "adf_validation": q_adf_validation,
+    "many_panel_impute": q_many_panel_impute,
 }
 
 
@@ -112,3 +305,134 @@ FROM stats""",
     + """SELECT panel_id, series_id, first_obs_date, last_obs_date, n_obs, n_missing_leading, n_missing_internal,
   frac_missing, frac_missing_leading, frac_missing_internal, kept, drop_reason FROM card""",
 }
+
+
+# ---------------------------------------------------------------- oracles for the remaining queries
+
+_CONTRACT_RULES = {
+    "raw": ("clean", [("not_null", "date"), ("not_null", "series_id")], ["panel_id", "series_id", "date"]),
+    "transformed": ("transformed", [("not_null", "date"), ("not_null", "series_id")], ["panel_id", "series_id", "date"]),
+    "mask": ("mask_rows", [("not_null", "date"), ("not_null", "imputed")], ["panel_id", "series_id", "date"]),
+    "data_card": (
+        "card",
+        [("not_null", "series_id"), ("not_null", "kept")]
+        + [(r, c) for c in ("n_obs", "n_missing_leading", "n_missing_internal") for r in ("not_null", "ge_0")]
+        + [(r, c) for c in ("frac_missing", "frac_missing_leading", "frac_missing_internal") for r in ("not_null", "in_0_1")],
+        ["panel_id", "series_id"],
+    ),
+}
+
+
+def _rule_sql(rule: str, col: str) -> str:
+    return {"not_null": f"{col} IS NULL", "ge_0": f"{col} < 0", "in_0_1": f"({col} < 0 OR {col} > 1)"}[rule]
+
+
+def _contracts_sql() -> str:
+    parts = []
+    for artifact, (src, rules, keys) in _CONTRACT_RULES.items():
+        for rule, col in rules:
+            parts.append(f"SELECT '{artifact}' AS artifact, '{rule}' AS rule, '{col}' AS \"column\", CAST(count_if({_rule_sql(rule, col)}) AS BIGINT) AS n FROM {src}")
+        k = ", ".join(keys)
+        parts.append(
+            f"SELECT '{artifact}' AS artifact, 'unique' AS rule, '{'+'.join(keys[1:])}' AS \"column\", "
+            f"CAST(coalesce(sum(CASE WHEN c > 1 THEN c - 1 END), 0) AS BIGINT) AS n FROM (SELECT count(*) AS c FROM {src} GROUP BY {k}) q"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+def _manifest_sql() -> str:
+    parts = []
+    for artifact, src in [("raw", "clean"), ("transformed", "transformed"), ("mask", "mask_rows"), ("data_card", "card")]:
+        dates = (
+            "strftime(min(date), '%m/%Y') AS date_first, strftime(max(date), '%m/%Y') AS date_last"
+            if src != "card"
+            else "CAST(NULL AS VARCHAR) AS date_first, CAST(NULL AS VARCHAR) AS date_last"
+        )
+        parts.append(
+            f"SELECT panel_id, '{artifact}' AS artifact, CAST(count(*) AS BIGINT) AS n_rows, "
+            f"CAST(count(DISTINCT series_id) AS BIGINT) AS n_series, {dates} FROM {src} GROUP BY panel_id"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+_MASK_ROWS = ",\nmask_rows AS (SELECT panel_id, series_id, date, value IS NULL AS imputed FROM kept_cells)\n"
+_ALLM = Q.ALL.rstrip("\n") + _MASK_ROWS
+_IMP_COUNTS = """
+ic0 AS (
+  SELECT panel_id,
+    coalesce(string_agg(CASE WHEN kept THEN series_id END, ',' ORDER BY pos), '') AS kept_ids,
+    coalesce(string_agg(CASE WHEN NOT kept THEN series_id END, ',' ORDER BY pos), '') AS dropped_ids,
+    CAST(max(n_rows) AS BIGINT) AS n_dates, CAST(count_if(kept) AS BIGINT) AS n_kept, CAST(count_if(NOT kept) AS BIGINT) AS n_dropped,
+    CAST(sum(CASE WHEN kept THEN n_missing_leading + n_missing_internal ELSE 0 END) AS BIGINT) AS n_imputed,
+    CAST(sum(CASE WHEN kept THEN n_missing_leading ELSE 0 END) AS BIGINT) AS n_imputed_leading,
+    CAST(sum(CASE WHEN kept THEN n_missing_internal ELSE 0 END) AS BIGINT) AS n_imputed_internal
+  FROM card GROUP BY panel_id),
+ic AS (
+  SELECT *, round(n_imputed / greatest(n_dates * n_kept, 1), 6) AS frac_imputed,
+    round(n_imputed_leading / greatest(n_dates * n_kept, 1), 6) AS frac_imputed_leading,
+    round(n_imputed_internal / greatest(n_dates * n_kept, 1), 6) AS frac_imputed_internal,
+    CAST(CASE WHEN n_kept = 0 THEN 0 ELSE greatest(1, least(8, least(n_dates, n_kept) - 1)) END AS INT) AS k_factors
+  FROM ic0)"""
+
+ORACLES.update(
+    {
+        "vintage_path": f"""WITH o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS ref_date FROM orders)
+SELECT ref_date, strftime(ref_date - INTERVAL 1 MONTH, '%Y-%m') AS vintage,
+  '{LANDING}/' || strftime(ref_date - INTERVAL 1 MONTH, '%Y-%m') || '-md.csv' AS path,
+  lpad(CAST(year(ref_date) AS VARCHAR), 4, '0') || '-' || lpad(CAST(month(ref_date) AS VARCHAR), 2, '0') AS pinned_vintage
+FROM o""",
+        "ingest_long": Q.chain(Q.PANEL_CTE) + "SELECT panel_id, series_id, date, value FROM panel WHERE date >= DATE '1959-01-01'",
+        "series_dim": Q.chain(Q.PANEL_CTE) + "SELECT DISTINCT panel_id, series_id, pos, tcode FROM panel",
+        "missing_fraction": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE, Q.TRANSFORMED_CTE)
+        + """SELECT panel_id, series_id, CAST(count(*) AS BIGINT) AS n_rows, CAST(count_if(value IS NULL) AS BIGINT) AS n_missing,
+  round(avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END), 6) AS missing_frac FROM transformed GROUP BY panel_id, series_id""",
+        "kept_series": Q.ALL + "SELECT panel_id, series_id, pos, n_rows, n_missing_leading + n_missing_internal AS n_missing, kept FROM card",
+        "mask": _ALLM + "SELECT panel_id, series_id, date, imputed FROM mask_rows",
+        "standardize": Q.ALL_STD + "SELECT panel_id, series_id, date, round(z, 6) AS z FROM standardized",
+        "gram_matrix": Q.ALL_STD
+        + """SELECT a.panel_id, a.series_id AS series_i, b.series_id AS series_j,
+  round(sum(coalesce(a.z, 0) * coalesce(b.z, 0)), 6) AS g
+FROM standardized a JOIN standardized b ON a.panel_id = b.panel_id AND a.date = b.date
+GROUP BY a.panel_id, a.series_id, b.series_id""",
+        "leading_internal": Q.ALL + "SELECT panel_id, series_id, n_rows, n_missing_leading, n_missing_internal FROM card WHERE kept",
+        "imputation_counts": Q.ALL.rstrip("\n")
+        + ","
+        + _IMP_COUNTS
+        + """
+SELECT panel_id, kept_ids, dropped_ids, n_dates, n_kept, n_dropped, n_imputed, n_imputed_leading, n_imputed_internal,
+  frac_imputed, frac_imputed_leading, frac_imputed_internal, k_factors FROM ic""",
+        "balanced_series": Q.ALL + "SELECT panel_id, series_id FROM card WHERE kept AND first_obs_date <= DATE '1995-12-01'",
+        "balanced_panel": _ALLM
+        + """SELECT m.panel_id, m.series_id, m.date, m.imputed FROM mask_rows m
+JOIN card c ON m.panel_id = c.panel_id AND m.series_id = c.series_id
+WHERE c.kept AND c.first_obs_date <= DATE '1995-12-01'""",
+        "series_quality": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE, Q.TRANSFORMED_CTE)
+        + """SELECT panel_id, series_id, CAST(count(value) AS BIGINT) AS n_obs,
+  round(count_if(value IS NULL) / greatest(count(*), 1), 4) AS null_rate,
+  round(count_if(value IS NULL) / greatest(count(*), 1), 4) > 0.5 AS flag_sparse,
+  count_if(isinf(value)) > 0 AS flag_infinite
+FROM transformed GROUP BY panel_id, series_id""",
+        "df_tstat_lag0": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE, Q.TRANSFORMED_CTE)
+        + """, fin AS (SELECT panel_id, series_id, date, value FROM transformed WHERE value IS NOT NULL AND NOT isinf(value) AND NOT isnan(value)),
+d AS (SELECT panel_id, series_id, lag(value, 1) OVER w AS x1, value - lag(value, 1) OVER w AS dx
+      FROM fin WINDOW w AS (PARTITION BY panel_id, series_id ORDER BY date)),
+s AS (SELECT panel_id, series_id, count(*) AS m, regr_sxx(dx, x1) AS sxx, regr_sxy(dx, x1) AS sxy, regr_syy(dx, x1) AS syy
+      FROM d WHERE x1 IS NOT NULL GROUP BY panel_id, series_id)
+SELECT panel_id, series_id, CAST(m AS BIGINT) AS n_pairs,
+  round(CASE WHEN m >= 3 AND sxx > 0 AND syy - (sxy / sxx) * sxy > 0
+        THEN (sxy / sxx) / sqrt((syy - (sxy / sxx) * sxy) / (m - 2) / sxx) END, 6) AS df_tstat
+FROM s""",
+        "contract_violations": _ALLM + _contracts_sql(),
+        "artifact_manifest": _ALLM + _manifest_sql(),
+        "run_summary_counts": Q.ALL.rstrip("\n")
+        + ","
+        + _IMP_COUNTS
+        + """
+SELECT ic.panel_id, ic.n_dates AS rows, CAST((SELECT count(*) FROM card c WHERE c.panel_id = ic.panel_id) AS BIGINT) AS series_input,
+  ic.n_kept AS series_kept, ic.n_dropped AS series_dropped,
+  CAST((SELECT count(*) FROM card c WHERE c.panel_id = ic.panel_id AND c.kept AND c.first_obs_date <= DATE '1995-12-01') AS BIGINT) AS balanced_n_series,
+  ic.frac_imputed, ic.frac_imputed_leading, ic.frac_imputed_internal
+FROM ic""",
+        "em_pca_observed": Q.ALL + "SELECT panel_id, series_id, date, round(value, 6) AS value FROM kept_cells WHERE value IS NOT NULL",
+    }
+)

@@ -31,7 +31,7 @@ def exact_sum(c: Column) -> Column:
     return F.sum(c.cast("decimal(18,2)")).cast("double")
 
 
-def facts_to_panel(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def facts_to_panel(facts: DataFrame, step: str = "1 MONTH") -> tuple[DataFrame, DataFrame]:
     """Dense long panel from sparse monthly facts ``(panel_id, series_id, date, value)``.
 
     Returns ``(cells, series)``: cells carry ``m`` (month index in the panel)
@@ -56,7 +56,7 @@ def facts_to_panel(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
         (F.row_number().over(w.orderBy(SERIES)) - 1).cast("int").alias("pos"),
     )
     grid = series.select(
-        PANEL, SERIES, "pos", F.posexplode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias("m", DATE)
+        PANEL, SERIES, "pos", F.posexplode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias("m", DATE)
     )
     cells = grid.join(facts, [PANEL, SERIES, DATE], "left").select(PANEL, SERIES, DATE, VALUE, "pos", F.col("m").cast("int").alias("m"))
     return cells, series.select(PANEL, SERIES, "pos")
@@ -100,10 +100,10 @@ def month_nation_orders(orders: DataFrame, customer: DataFrame, panel_id: str =
     )
 
 
-def month_event_values(events: DataFrame, panel_id: str = "event_values") -> DataFrame:
-    """Monthly summed event value per event type (no join; partial aggregation only)."""
+def day_event_values(events: DataFrame, panel_id: str = "event_values") -> DataFrame:
+    """Daily summed event value per event type (no join; partial aggregation only)."""
     return (
-        events.select(month_of(F.col("ts")).alias(DATE), F.upper(F.col("event_type")).alias(SERIES), "value")
+        events.select(F.to_date("ts").alias(DATE), F.upper(F.col("event_type")).alias(SERIES), "value")
         .groupBy(DATE, SERIES)
         .agg(F.sum("value").alias(VALUE))
         .select(F.lit(panel_id).alias(PANEL), SERIES, DATE, VALUE)
@@ -142,14 +142,16 @@ def brand_fixture_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
 def many_fact_panels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Three panels from three fact tables, prepared together.
 
-    The same gap/outlier/tcode rules are laid on each panel by series rank.
+    Two monthly panels (brand revenue, nation order value) and one daily panel
+    (event value by type); the same gap/outlier/tcode rules are laid on each
+    panel by series rank.
     """
-    facts = (
-        month_brand_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
-        .unionByName(month_nation_orders(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer")))
-        .unionByName(month_event_values(read_table(spark, sf_dir, "events")))
+    monthly = month_brand_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part")).unionByName(
+        month_nation_orders(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"))
     )
-    return lay_fixture_rules(*facts_to_panel(facts))
+    m_cells, m_series = facts_to_panel(monthly)
+    d_cells, d_series = facts_to_panel(day_event_values(read_table(spark, sf_dir, "events")), step="1 DAY")
+    return lay_fixture_rules(m_cells.unionByName(d_cells), m_series.unionByName(d_series))
 
 
 def unpivot_wide(wide: DataFrame, panel_id: str, series_cols: list[str] | None = None) -> DataFrame:
