@@ -41,12 +41,34 @@ def vintage_path(base: str, ref: Column, pin: Column | None = None) -> Column:
     return F.concat(F.lit(base.rstrip("/") + "/"), vintage_name(ref, pin), F.lit("-md.csv"))
 
 
-def read_vintage_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(panel_id, value)``: one row per landed vintage file, whole text."""
+def read_vintage_files(spark: SparkSession, path: str, check_empty: bool = True) -> DataFrame:
+    """``(panel_id, value)``: one row per landed vintage file, whole text.
+
+    Spark's file sources skip zero-length files, so empty ones are found from
+    the file-system listing (names and sizes only) and raise.
+    """
+    if check_empty:
+        empty = [f for f, size in _listing(spark, path) if size == 0]
+        if empty:
+            raise ValueError("empty vintage file: " + ", ".join(empty[:5]))
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_path"), "value")
     return files.select(F.regexp_extract("_path", VINTAGE_PATTERN, 1).alias(PANEL), "value")
 
 
+def _listing(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(file, size) of the vintage files under ``path`` (Hadoop FileSystem glob)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(conf)
+    found = []
+    for st in fs.globStatus(jpath) or []:
+        for f in fs.listStatus(st.getPath()) if st.isDirectory() else [st]:
+            name = f.getPath().toString()
+            if f.isFile() and name.endswith("-md.csv"):
+                found.append((name, f.getLen()))
+    return found
+
+
 def split_lines(files: DataFrame) -> DataFrame:
     """``(panel_id, ln, line)``; an empty payload raises; ``\\r`` before ``\\n`` is dropped."""
     checked = files.select(
