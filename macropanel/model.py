@@ -80,6 +80,8 @@ class Params:
     pipeline_version: str = "v2"
     # EM replay length before the state of incomplete rows is re-based (checkpointed)
     rebase_every: int = 10
+    # ... but only once replaying costs more than this many multiply-adds per iteration
+    rebase_min_work: float = 5e7
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

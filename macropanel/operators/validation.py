@@ -63,12 +63,17 @@ def df_tstat_lag0(panel: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ full ADF
 
 
-def _sum_exprs(cols: list[Column], y: Column) -> list[Column]:
-    m = len(cols)
-    out = [F.sum(cols[a] * cols[b]).alias(f"s_{a}_{b}") for a in range(m) for b in range(a, m)]
-    out += [F.sum(cols[a] * y).alias(f"sy_{a}") for a in range(m)]
-    out += [F.sum(y * y).alias("syy"), F.count(F.lit(1)).alias("nobs")]
-    return out
+def _sum_exprs(m: int) -> list[Column]:
+    """Sums of products of regressors ``c0..c{m-1}`` and ``y`` (one SQL string each)."""
+    out = [F.expr(f"sum(c{a} * c{b}) AS s_{a}_{b}") for a in range(m) for b in range(a, m)]
+    out += [F.expr(f"sum(c{a} * y) AS sy_{a}") for a in range(m)]
+    return out + [F.expr("sum(y * y) AS syy"), F.expr("count(1) AS nobs")]
+
+
+def _regressors(big_l: int, limit: str) -> list[str]:
+    """Constant, lagged level, lagged differences (zero past the series' limit)."""
+    cols = ["1.0D AS c0", "x1 AS c1"] + [f"IF({j} <= {limit}, d{j}, 0.0D) AS c{j + 1}" for j in range(1, big_l + 1)]
+    return cols + ["dx AS y"]
 
 
 def _unpack_row(row: pd.Series, m: int) -> tuple[np.ndarray, np.ndarray, float, float]:
@@ -99,10 +104,13 @@ def _tau_kernel(m: int):
     return run
 
 
-def adf_test(panel: DataFrame, min_obs: int = 30) -> DataFrame:
+def adf_test(panel: DataFrame, min_obs: int = 30, max_obs: int | None = None) -> DataFrame:
     """Per series with >= ``min_obs`` finite values: lag (AIC), statistic, p-value.
 
     Constant series get null statistic and p-value (the test is undefined).
+    ``max_obs`` is any upper bound on a series' length (it sizes the lag
+    columns; columns past a series' own maximum lag are zero). Without it a
+    count aggregate over the input finds one.
     """
     w = Window.partitionBy(*K).orderBy(DATE)
     wall = Window.partitionBy(*K)
@@ -117,36 +125,33 @@ def adf_test(panel: DataFrame, min_obs: int = 30) -> DataFrame:
         F.avg(VALUE).over(wall).alias("mu"),
         (F.max(VALUE).over(wall) == F.min(VALUE).over(wall)).alias("const"),
     ).where((F.col("n") >= 6) & ~F.col("const"))
-    max_n = fin.agg(F.max("n")).first()[0]
-    if max_n is None:
+    max_n = max_obs if max_obs is not None else panel.groupBy(*K).agg(F.count(VALUE).alias("c")).agg(F.max("c")).first()[0]
+    if max_n is None or max_n < max(min_obs, 6):
         return panel.sparkSession.createDataFrame([], "panel_id string, series_id string, adf_lag int, adf_stat double, adf_pvalue double")
     big_l = A.maxlag_for(int(max_n))
     xc = F.col(VALUE) - F.col("mu")
     staged = fin.withColumn("x1", F.lag(xc, 1).over(w)).withColumn("dx", xc - F.col("x1"))
-    staged = staged.select(*K, "i", "n", "x1", "dx", *[F.lag("dx", j).over(w).alias(f"d{j}") for j in range(1, big_l + 1)])
+    staged = staged.selectExpr(*K, "i", "n", "x1", "dx", *[f"lag(dx, {j}) OVER (PARTITION BY panel_id, series_id ORDER BY date) AS d{j}" for j in range(1, big_l + 1)])
     n = F.col("n")
     staged = staged.withColumn("maxlag", F.least(F.floor(n / 2) - 2, F.ceil(F.lit(12.0) * F.pow(n / 100.0, 0.25))).cast("int"))
     staged = staged.persist()
     m = big_l + 2
 
-    def regressors(limit: Column) -> list[Column]:
-        return [F.lit(1.0), F.col("x1")] + [F.when(F.lit(j) <= limit, F.col(f"d{j}")).otherwise(F.lit(0.0)) for j in range(1, big_l + 1)]
-
-    common = staged.where(F.col("i") >= F.col("maxlag") + 1)
-    s2 = common.groupBy(*K).agg(F.max("maxlag").alias("maxlag"), *_sum_exprs(regressors(F.col("maxlag")), F.col("dx")))
+    common = staged.where(F.col("i") >= F.col("maxlag") + 1).selectExpr(*K, "maxlag", *_regressors(big_l, "maxlag"))
+    s2 = common.groupBy(*K).agg(F.max("maxlag").alias("maxlag"), *_sum_exprs(m))
     chosen = s2.mapInPandas(_choose_kernel(m), "panel_id string, series_id string, adf_lag int")
-    own = staged.join(chosen, K).where(F.col("i") >= F.col("adf_lag") + 1)
-    s3 = own.groupBy(*K).agg(F.max("adf_lag").alias("adf_lag"), *_sum_exprs(regressors(F.col("adf_lag")), F.col("dx")))
+    own = staged.join(chosen, K).where(F.col("i") >= F.col("adf_lag") + 1).selectExpr(*K, "adf_lag", *_regressors(big_l, "adf_lag"))
+    s3 = own.groupBy(*K).agg(F.max("adf_lag").alias("adf_lag"), *_sum_exprs(m))
     out = s3.mapInPandas(_tau_kernel(m), "panel_id string, series_id string, adf_lag int, adf_stat double, adf_pvalue double")
     return out.select(*K, "adf_lag", F.when(~F.isnan("adf_stat"), F.col("adf_stat")).alias("adf_stat"), F.when(~F.isnan("adf_pvalue"), F.col("adf_pvalue")).alias("adf_pvalue"))
 
 
-def build_validation(panel: DataFrame, series: DataFrame | None = None, min_obs: int = 30) -> DataFrame:
+def build_validation(panel: DataFrame, series: DataFrame | None = None, min_obs: int = 30, max_obs: int | None = None) -> DataFrame:
     """V3: one row per series (present in ``series`` if given)."""
     q = series_quality(panel)
     if series is not None:
         q = q.join(F.broadcast(series.select(*K)), K, "left_semi")
-    adf = adf_test(panel, min_obs)
+    adf = adf_test(panel, min_obs, max_obs)
     j = q.join(adf, K, "left")
     return j.select(
         PANEL,

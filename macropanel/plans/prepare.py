@@ -9,8 +9,11 @@ is both an artifact and the input of the transforms.
 
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,22 +44,28 @@ class Prepared:
     report: DataFrame
     summary: DataFrame
     states: dict
+    timings: dict
 
 
 def prepare(panel: DataFrame, series: DataFrame, params: Params = Params()) -> Prepared:
     ensure_checkpoint_dir(panel.sparkSession)
+    t0 = time.perf_counter()
     check_tcodes(series)
     raw = remove_outliers(panel, params.outlier_k).checkpoint(eager=True)
+    t1 = time.perf_counter()
     transformed = with_leading_flag(transform_all(raw, series, check=False)).checkpoint(eager=True)
     plain = transformed.drop("leading")
+    t2 = time.perf_counter()
     em = em_impute(plain, series, params)
+    timings = {"clean": t1 - t0, "transform": t2 - t1, **{f"em_{k}": v for k, v in em.timings.items()}}
     card = C.build_data_card(transformed, series, params.max_missing_frac)
     balanced = C.balanced_series(card, params.balanced_cutoff)
     imputed = em.imputed
     out_panel = imputed.select(PANEL, SERIES, DATE, VALUE)
     mask = imputed.select(PANEL, SERIES, DATE, "imputed")
     kept = card.where("kept").select(*K)
-    validation = build_validation(out_panel, kept)
+    max_t = max([s.t for s in em.states.values()], default=0)
+    validation = build_validation(out_panel, kept, max_obs=max_t)
     n_bal = balanced.groupBy(PANEL).agg(F.count(F.lit(1)).alias("balanced_n_series"))
     report = (
         em.report.join(n_bal, PANEL, "left")
@@ -79,31 +88,33 @@ def prepare(panel: DataFrame, series: DataFrame, params: Params = Params()) -> P
         report=report,
         summary=summary,
         states=em.states,
+        timings=timings,
     )
 
 
 def write_all(p: Prepared, out_dir: str, now: datetime | None = None) -> DataFrame:
-    """Check every contract first (raise listing all failures), then write; return the manifest."""
+    """Check every contract first (raise listing all failures), then write; return the manifest.
+
+    The balanced artifacts are written only when at least one series
+    qualifies. The manifest is computed from the files just written, limited
+    to this run's partitions.
+    """
     enforce({"raw": p.raw, "transformed": p.transformed.drop("leading"), "mask": p.mask, "data_card": p.card})
     year, month, stamp = W.run_stamp(now)
     out = out_dir.rstrip("/")
-    parquet = {
-        "raw": p.raw,
-        "transformed": p.panel,
-        "mask": p.mask,
-        "data_card": p.card,
-        "validation": p.validation,
-        "transformed_balanced": p.panel_balanced,
-        "mask_balanced": p.mask_balanced,
-    }
-    manifests = []
-    for name, df in parquet.items():
-        # balanced artifacts only where at least one series qualifies: the semi-join leaves no rows otherwise
-        W.write_parquet(df, f"{out}/{name}", year, month)
-        manifests.append(W.manifest(name, df, stamp, stamp))
-    W.write_json(p.report, f"{out}/imputation", year, month)
-    man = manifests[0]
-    for m in manifests[1:]:
-        man = man.unionByName(m)
+    parquet = {"raw": p.raw, "transformed": p.panel, "mask": p.mask, "data_card": p.card, "validation": p.validation}
+    if not p.balanced.isEmpty():
+        parquet.update({"transformed_balanced": p.panel_balanced, "mask_balanced": p.mask_balanced})
+    jobs = [(W.write_parquet, df, f"{out}/{name}") for name, df in parquet.items()]
+    jobs.append((W.write_json, p.report, f"{out}/imputation"))
+    # independent writes run as concurrent Spark jobs from driver threads
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(fn, df, path, year, month) for fn, df, path in jobs]:
+            f.result()
+    panels = [r[PANEL] for r in p.report.select(PANEL).collect()]  # one row per panel
+    spark = p.raw.sparkSession
+    this_run = (F.col("year") == F.lit(year)) & (F.col("month") == F.lit(month)) & F.col(PANEL).isin(panels)
+    written = [(name, spark.read.parquet(f"{out}/{name}").where(this_run).drop("year", "month")) for name in parquet]
+    man = reduce(DataFrame.unionByName, [W.manifest(name, df, stamp, stamp) for name, df in written])
     W.write_parquet(man, f"{out}/manifest", year, month)
-    return man
+    return spark.read.parquet(f"{out}/manifest").where(this_run)
