@@ -40,13 +40,14 @@ def brand(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def cleaned(spark, sf):
+    """Outlier-cleaned panel, checkpointed: several outputs read it (panel-sized, not input-sized)."""
     panel, series = brand(spark, sf)
-    return O.remove_outliers(panel, P_.outlier_k), series
+    return O.remove_outliers(panel, P_.outlier_k).checkpoint(eager=True), series
 
 
 def transformed(spark, sf):
     clean, series = cleaned(spark, sf)
-    return S.transform_all(clean, series), series
+    return S.transform_all(clean, series).checkpoint(eager=True), series
 
 
 # ---------------------------------------------------------------- queries
@@ -198,7 +199,7 @@ def q_df_tstat_lag0(spark, sf):
 
 def q_contract_violations(spark, sf):
     clean, series = cleaned(spark, sf)
-    t = S.transform_all(clean, series)
+    t = S.transform_all(clean, series).checkpoint(eager=True)
     card = C.build_data_card(t, series, P_.max_missing_frac)
     m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
     return CT.all_violations({"raw": clean, "transformed": t, "mask": m, "data_card": card})
@@ -206,7 +207,7 @@ def q_contract_violations(spark, sf):
 
 def q_artifact_manifest(spark, sf):
     clean, series = cleaned(spark, sf)
-    t = S.transform_all(clean, series)
+    t = S.transform_all(clean, series).checkpoint(eager=True)
     card = C.build_data_card(t, series, P_.max_missing_frac)
     m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
     parts = [W.manifest_counts(n, d) for n, d in [("raw", clean), ("transformed", t), ("mask", m), ("data_card", card)]]
