@@ -66,6 +66,13 @@ VALIDATION_COLUMNS = [
 ]
 
 
+def require_columns(df, columns: list[str], what: str = "panel") -> None:
+    """Shape guard: a long panel must carry its key, date and value columns."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what} must contain column(s) {missing}; has {df.columns}")
+
+
 @dataclass(frozen=True)
 class Params:
     """Run parameters. Defaults are the reference's production values."""

@@ -13,12 +13,13 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macropanel.model import DATE, K, PANEL, SERIES, VALUE
+from macropanel.model import DATE, K, PANEL, SERIES, VALUE, require_columns
 from macropanel.operators.stationarity import with_leading_flag
 
 
 def series_counts(transformed: DataFrame) -> DataFrame:
     """Per series: T, n_obs, leading, internal, first/last observation date."""
+    require_columns(transformed, [PANEL, SERIES, DATE, VALUE])
     flagged = transformed if "leading" in transformed.columns else with_leading_flag(transformed)
     miss = F.col(VALUE).isNull()
     obs_date = F.when(~miss, F.col(DATE))

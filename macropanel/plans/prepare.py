@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macropanel.model import DATE, K, PANEL, SERIES, VALUE, Params
+from macropanel.model import DATE, K, PANEL, SERIES, VALUE, Params, require_columns
 from macropanel.operators import card as C
 from macropanel.operators.contracts import enforce
 from macropanel.operators.factors import em_impute
@@ -49,6 +49,8 @@ class Prepared:
 
 def prepare(panel: DataFrame, series: DataFrame, params: Params = Params()) -> Prepared:
     ensure_checkpoint_dir(panel.sparkSession)
+    require_columns(panel, [PANEL, SERIES, DATE, VALUE])
+    require_columns(series, [PANEL, SERIES, "pos", "tcode"], "series dimension")
     t0 = time.perf_counter()
     check_tcodes(series)
     raw = remove_outliers(panel, params.outlier_k).checkpoint(eager=True)
@@ -107,6 +109,7 @@ def write_all(p: Prepared, out_dir: str, now: datetime | None = None) -> DataFra
         parquet.update({"transformed_balanced": p.panel_balanced, "mask_balanced": p.mask_balanced})
     jobs = [(W.write_parquet, df, f"{out}/{name}") for name, df in parquet.items()]
     jobs.append((W.write_json, p.report, f"{out}/imputation"))
+    jobs.append((W.write_json, p.summary, f"{out}/summary"))
     # independent writes run as concurrent Spark jobs from driver threads
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         for f in [pool.submit(fn, df, path, year, month) for fn, df, path in jobs]:

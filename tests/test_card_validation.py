@@ -125,3 +125,25 @@ def test_df_lag0_matches_numpy(spark):
     r = y - xm @ coef
     cov = (r @ r) / (len(y) - 2) * np.linalg.inv(xm.T @ xm)
     assert got == pytest.approx(coef[1] / math.sqrt(cov[1, 1]), abs=2e-6)
+
+
+def test_card_requires_date(spark):
+    panel, series = long_panel(spark, {"A": [1.0, 2.0]}, month_dates(2))
+    with pytest.raises(ValueError, match="date"):
+        C.build_data_card(panel.drop("date"), series)
+
+
+def test_partition_count_does_not_change_results(spark):
+    from macropanel.operators.outliers import remove_outliers
+    from macropanel.operators.stationarity import transform_all
+
+    rng = np.random.default_rng(11)
+    cols = {f"S{i}": [None if rng.random() < 0.1 else float(v) for v in rng.standard_normal(40).cumsum() + 50] for i in range(6)}
+    panel, series = long_panel(spark, cols, month_dates(40), tcodes={"S0": 2, "S1": 5, "S2": 7, "S4": 3})
+    results = []
+    for parts in ("1", "4", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        t = transform_all(remove_outliers(panel.repartition(int(parts) if parts != "200" else 7)), series)
+        results.append(sorted(C.build_data_card(t, series).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert results[0] == results[1] == results[2]

@@ -90,3 +90,17 @@ def test_round_trip_through_lines(spark):
     back, dim = V.parse_lines(V.panel_to_lines(panel, series))
     assert sorted(back.collect()) == sorted(panel.collect())
     assert {r.series_id: r.tcode for r in dim.collect()} == {"A": 2, "B": None}
+
+
+def test_unpivot_and_wide_export_round_trip(spark):
+    from macropanel.sources.panels import to_wide, unpivot_wide
+
+    wide_df = spark.createDataFrame(
+        [(date(1990, 1, 1), 1.0, None), (date(1990, 2, 1), 2.0, 5.0)], "date date, `S&P 500` double, `b.c` double"
+    )
+    long = unpivot_wide(wide_df, "w")
+    assert long.count() == 4 and {r.series_id for r in long.collect()} == {"S&P 500", "b.c"}
+    back = to_wide(long, ["S&P 500", "b.c"])
+    assert [tuple(r)[2:] for r in back.collect()] == [(1.0, None), (2.0, 5.0)]
+    with pytest.raises(ValueError, match="case"):
+        to_wide(long, ["AB", "ab"])
