@@ -38,9 +38,14 @@ def kept_flag(n_missing: F.Column, n_rows: F.Column, max_missing_frac: float) ->
     return (n_missing / F.greatest(n_rows, F.lit(1))) <= F.lit(float(max_missing_frac))
 
 
-def build_data_card(transformed: DataFrame, series: DataFrame | None = None, max_missing_frac: float = 0.5) -> DataFrame:
-    """One row per series present in the panel (and listed in ``series`` if given)."""
-    c = series_counts(transformed)
+def build_data_card(
+    transformed: DataFrame | None, series: DataFrame | None = None, max_missing_frac: float = 0.5, counts: DataFrame | None = None
+) -> DataFrame:
+    """One row per series present in the panel (and listed in ``series`` if given).
+
+    ``counts`` (the output of ``series_counts``) may be given instead of the panel.
+    """
+    c = counts if counts is not None else series_counts(transformed)
     if series is not None:
         c = c.join(F.broadcast(series.select(*K)), K, "left_semi")
     t = F.greatest(F.col("n_rows"), F.lit(1))
@@ -70,9 +75,12 @@ def missing_fraction(transformed: DataFrame) -> DataFrame:
     )
 
 
-def kept_series(transformed: DataFrame, series: DataFrame, max_missing_frac: float = 0.5) -> DataFrame:
+def kept_series(transformed: DataFrame | None, series: DataFrame, max_missing_frac: float = 0.5, counts: DataFrame | None = None) -> DataFrame:
     """Series present in the panel with their header position and kept flag."""
-    mf = missing_fraction(transformed)
+    if counts is not None:
+        mf = counts.select(*K, "n_rows", (F.col("n_missing_leading") + F.col("n_missing_internal")).alias("n_missing"))
+    else:
+        mf = missing_fraction(transformed)
     present = mf.join(F.broadcast(series.select(*K, "pos")), K)
     return present.select(
         PANEL, SERIES, "pos", "n_rows", "n_missing", kept_flag(F.col("n_missing"), F.col("n_rows"), max_missing_frac).alias("kept")
@@ -103,13 +111,15 @@ def leading_internal(transformed: DataFrame, kept: DataFrame) -> DataFrame:
     )
 
 
-def imputation_counts(transformed: DataFrame, series: DataFrame, max_missing_frac: float = 0.5, k: int = 8) -> DataFrame:
+def imputation_counts(
+    transformed: DataFrame | None, series: DataFrame, max_missing_frac: float = 0.5, k: int = 8, counts: DataFrame | None = None
+) -> DataFrame:
     """Per panel: the count part of the imputation report.
 
     kept/dropped id lists are ordered by header position; the cell fractions
     use T * n_kept as denominator.
     """
-    sc = series_counts(transformed).join(F.broadcast(series.select(*K, "pos")), K)
+    sc = (counts if counts is not None else series_counts(transformed)).join(F.broadcast(series.select(*K, "pos")), K)
     n_missing = F.col("n_missing_leading") + F.col("n_missing_internal")
     kept = kept_flag(n_missing, F.col("n_rows"), max_missing_frac)
     per = sc.select(PANEL, SERIES, "pos", "n_rows", n_missing.alias("n_missing"), "n_missing_leading", "n_missing_internal", kept.alias("kept"))

@@ -134,7 +134,7 @@ def adf_test(panel: DataFrame, min_obs: int = 30, max_obs: int | None = None) ->
     staged = staged.selectExpr(*K, "i", "n", "x1", "dx", *[f"lag(dx, {j}) OVER (PARTITION BY panel_id, series_id ORDER BY date) AS d{j}" for j in range(1, big_l + 1)])
     n = F.col("n")
     staged = staged.withColumn("maxlag", F.least(F.floor(n / 2) - 2, F.ceil(F.lit(12.0) * F.pow(n / 100.0, 0.25))).cast("int"))
-    staged = staged.persist()
+    staged = staged.checkpoint(eager=True)  # read by both aggregations; reliable, nothing left cached
     m = big_l + 2
 
     common = staged.where(F.col("i") >= F.col("maxlag") + 1).selectExpr(*K, "maxlag", *_regressors(big_l, "maxlag"))

@@ -58,10 +58,12 @@ def prepare(panel: DataFrame, series: DataFrame, params: Params = Params()) -> P
     transformed = with_leading_flag(transform_all(raw, series, check=False)).checkpoint(eager=True)
     plain = transformed.drop("leading")
     t2 = time.perf_counter()
-    em = em_impute(plain, series, params)
+    # one row per series: card, kept set, EM selection and report counts all derive from it
+    counts = C.series_counts(transformed).checkpoint(eager=True)
+    em = em_impute(plain, series, params, counts)
     timings = {"clean": t1 - t0, "transform": t2 - t1, **{f"em_{k}": v for k, v in em.timings.items()}}
-    card = C.build_data_card(transformed, series, params.max_missing_frac)
-    balanced = C.balanced_series(card, params.balanced_cutoff)
+    card = C.build_data_card(None, series, params.max_missing_frac, counts)
+    balanced = C.balanced_series(card, params.balanced_cutoff).checkpoint(eager=True)
     imputed = em.imputed
     out_panel = imputed.select(PANEL, SERIES, DATE, VALUE)
     mask = imputed.select(PANEL, SERIES, DATE, "imputed")
@@ -75,7 +77,7 @@ def prepare(panel: DataFrame, series: DataFrame, params: Params = Params()) -> P
         .withColumn("pipeline_version", F.lit(params.pipeline_version))
         .withColumn("balanced_cutoff_date", F.lit(params.balanced_cutoff.isoformat()))
     )
-    summary = W.run_summary(em.report, balanced, plain, series, params.pipeline_version)
+    summary = W.run_summary(em.report, balanced, None, series, params.pipeline_version, counts)
     return Prepared(
         raw=raw,
         transformed=transformed,

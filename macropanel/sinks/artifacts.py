@@ -57,24 +57,34 @@ def manifest_counts(name: str, df: DataFrame) -> DataFrame:
 
 
 def manifest(name: str, df: DataFrame, written_at: str, extraction_ts: str) -> DataFrame:
-    """Counts plus an order-free content checksum: XOR of 64-bit row hashes.
+    """Counts plus an order-free content checksum (XOR of 64-bit row hashes), one aggregate.
 
-    The checksum is the same whatever the partitioning or row order, and is a
-    plain aggregate (partial per task, then merged).
+    The checksum is the same whatever the partitioning or row order and merges
+    like any partial aggregate.
     """
+    has_date = DATE in df.columns
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
-    sums = df.groupBy(PANEL).agg(F.bit_xor(row_hash).alias("checksum"))
-    return (
-        manifest_counts(name, df)
-        .join(sums, PANEL)
-        .withColumn("written_at", F.lit(written_at))
-        .withColumn("extraction_ts", F.lit(extraction_ts))
+    return df.groupBy(PANEL).agg(
+        F.lit(name).alias("artifact"),
+        F.count(F.lit(1)).cast("long").alias("n_rows"),
+        F.countDistinct(SERIES).cast("long").alias("n_series"),
+        (F.date_format(F.min(DATE), "MM/yyyy") if has_date else F.lit(None).cast("string")).alias("date_first"),
+        (F.date_format(F.max(DATE), "MM/yyyy") if has_date else F.lit(None).cast("string")).alias("date_last"),
+        F.bit_xor(row_hash).alias("checksum"),
+        F.lit(written_at).alias("written_at"),
+        F.lit(extraction_ts).alias("extraction_ts"),
     )
 
 
-def run_summary(report: DataFrame, balanced: DataFrame, transformed: DataFrame, series: DataFrame, version: str) -> DataFrame:
-    """One row per panel: rows, series in/kept/dropped, balanced count, fractions, EM outcome."""
-    rows = transformed.groupBy(PANEL, SERIES).agg(F.count(F.lit(1)).alias("_t")).groupBy(PANEL).agg(F.max("_t").cast("long").alias("rows"))
+def run_summary(
+    report: DataFrame, balanced: DataFrame, transformed: DataFrame | None, series: DataFrame, version: str, counts: DataFrame | None = None
+) -> DataFrame:
+    """One row per panel: rows, series in/kept/dropped, balanced count, fractions, EM outcome.
+
+    ``counts`` (per-series counts with ``n_rows``) may replace the panel.
+    """
+    per_series = counts if counts is not None else transformed.groupBy(PANEL, SERIES).agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = per_series.groupBy(PANEL).agg(F.max("n_rows").cast("long").alias("rows"))
     n_in = series.groupBy(PANEL).agg(F.count(F.lit(1)).cast("long").alias("series_input"))
     n_bal = balanced.groupBy(PANEL).agg(F.count(F.lit(1)).cast("long").alias("balanced_n_series"))
     cols = [
