@@ -40,14 +40,15 @@ def brand(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def cleaned(spark, sf):
-    """Outlier-cleaned panel, checkpointed: several outputs read it (panel-sized, not input-sized)."""
     panel, series = brand(spark, sf)
-    return O.remove_outliers(panel, P_.outlier_k).checkpoint(eager=True), series
+    return O.remove_outliers(panel, P_.outlier_k), series
 
 
-def transformed(spark, sf):
+def transformed(spark, sf, materialize: bool = True):
+    """Transformed panel; checkpointed when several outputs read it (panel-sized, not input-sized)."""
     clean, series = cleaned(spark, sf)
-    return S.transform_all(clean, series).checkpoint(eager=True), series
+    t = S.transform_all(clean, series)
+    return (t.checkpoint(eager=True) if materialize else t), series
 
 
 # ---------------------------------------------------------------- queries
@@ -79,12 +80,12 @@ def make_tcode_query(code: int):
 
 
 def q_transform_all(spark, sf):
-    t, _ = transformed(spark, sf)
+    t, _ = transformed(spark, sf, materialize=False)
     return t.select(PANEL, SERIES, DATE, r6(VALUE).alias(VALUE))
 
 
 def q_data_card(spark, sf):
-    t, series = transformed(spark, sf)
+    t, series = transformed(spark, sf, materialize=False)
     return C.build_data_card(t, series, P_.max_missing_frac)
 
 
@@ -115,7 +116,7 @@ def q_series_dim(spark, sf):
 
 
 def q_missing_fraction(spark, sf):
-    t, _ = transformed(spark, sf)
+    t, _ = transformed(spark, sf, materialize=False)
     return C.missing_fraction(t).select(PANEL, SERIES, "n_rows", "n_missing", r6("missing_frac").alias("missing_frac"))
 
 
@@ -188,17 +189,18 @@ def q_balanced_panel(spark, sf):
 
 
 def q_series_quality(spark, sf):
-    t, _ = transformed(spark, sf)
+    t, _ = transformed(spark, sf, materialize=False)
     return VA.series_quality(t)
 
 
 def q_df_tstat_lag0(spark, sf):
-    t, _ = transformed(spark, sf)
+    t, _ = transformed(spark, sf, materialize=False)
     return VA.df_tstat_lag0(t)
 
 
 def q_contract_violations(spark, sf):
     clean, series = cleaned(spark, sf)
+    clean = clean.checkpoint(eager=True)
     t = S.transform_all(clean, series).checkpoint(eager=True)
     card = C.build_data_card(t, series, P_.max_missing_frac)
     m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
@@ -207,6 +209,7 @@ def q_contract_violations(spark, sf):
 
 def q_artifact_manifest(spark, sf):
     clean, series = cleaned(spark, sf)
+    clean = clean.checkpoint(eager=True)
     t = S.transform_all(clean, series).checkpoint(eager=True)
     card = C.build_data_card(t, series, P_.max_missing_frac)
     m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
