@@ -89,6 +89,8 @@ class Params:
     rebase_every: int = 10
     # ... but only once replaying costs more than this many multiply-adds per iteration
     rebase_min_work: float = 5e7
+    # hard cap on the projector bytes broadcast per iteration; reaching it forces a re-base
+    max_broadcast_bytes: int = 64 * 1024 * 1024
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
