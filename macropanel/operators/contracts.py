@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from macropanel.model import DATA_CARD_SCHEMA, DATE, K, PANEL, SERIES, VALUE
+from macropanel.model import DATA_CARD_SCHEMA, DATE, K, SERIES, VALUE
 
 CONTRACTS = ("raw", "transformed", "mask", "data_card")
 

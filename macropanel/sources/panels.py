@@ -22,15 +22,6 @@ def month_of(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "MM")
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum of a money column, exact in decimal and returned as double.
-
-    Decimal partial sums re-add exactly, so partial/final aggregation and any
-    pre-aggregation below give bit-identical panels on every engine.
-    """
-    return F.sum(c.cast("decimal(18,2)")).cast("double")
-
-
 def facts_to_panel(facts: DataFrame, step: str = "1 MONTH") -> tuple[DataFrame, DataFrame]:
     """Dense long panel from sparse monthly facts ``(panel_id, series_id, date, value)``.
 
