@@ -91,6 +91,11 @@ class Params:
     rebase_min_work: float = 5e7
     # hard cap on the projector bytes broadcast per iteration; reaching it forces a re-base
     max_broadcast_bytes: int = 64 * 1024 * 1024
+    # total Gram entries (sum of N^2 over panels) the driver may hold before EM moves the
+    # eigendecompositions to executors
+    driver_gram_max: int = 4_000_000
+    # incomplete rows per task in the executor-side EM (a panel with more is split by salt)
+    rows_per_task: int = 200_000
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
