@@ -35,3 +35,17 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 25 and "kept" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_brand_panel_matches_fixture_expectations(spark):
+    """Independent expectations for the month x brand panel at sf0.001 (FIXTURES.md §2)."""
+    import __spark_entry__ as E
+
+    q = E.queries()
+    rep = q["em_pca_report"](spark, SMOKE).first()
+    assert rep.dropped_series == ["Brand#15", "Brand#9"] and rep.n_kept == 23
+    assert (rep.n_iter, rep.converged) == (50, False) and round(rep.final_delta, 4) == 0.0107
+    assert q["balanced_series"](spark, SMOKE).count() == 19
+    li = q["leading_internal"](spark, SMOKE).groupBy().sum("n_missing_leading", "n_missing_internal").first()
+    assert tuple(li) == (85, 342)
+    assert q["panel_build"](spark, SMOKE).where("value IS NULL").count() == 351
