@@ -96,6 +96,8 @@ class Params:
     driver_gram_max: int = 4_000_000
     # incomplete rows per task in the executor-side EM (a panel with more is split by salt)
     rows_per_task: int = 200_000
+    # where EM eigendecompositions run: "driver", "executors" or "auto" (by total Gram size)
+    eigen: str = "auto"
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
