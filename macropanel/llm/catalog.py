@@ -1,8 +1,11 @@
 """The operators' queries for __spark_entry__.py: name -> (spark, sf_dir) -> DataFrame, and their DuckDB SQL."""
 
-from macropanel.llm import line_dedup, mixing
+from macropanel.llm import line_dedup, mixing, packing, quality, simhash
 
 QUERIES = {
+    "op2_best_fit_packing": packing.query,
+    "op3_quality_rules": quality.query,
+    "op10_simhash_near_dedup": simhash.query,
     "op6_line_dedup": line_dedup.query,
     "op7_mixing": mixing.query,
 }
