@@ -1,8 +1,11 @@
 """The operators' queries for __spark_entry__.py: name -> (spark, sf_dir) -> DataFrame, and their DuckDB SQL."""
 
-from macropanel.llm import line_dedup, mixing, packing, quality, simhash
+from macropanel.llm import license_scan, line_dedup, mixing, packing, pii, quality, simhash, toxicity
 
 QUERIES = {
+    "op1_license_scan": license_scan.query,
+    "op5_toxicity": toxicity.query,
+    "op9_pii": pii.query,
     "op2_best_fit_packing": packing.query,
     "op3_quality_rules": quality.query,
     "op10_simhash_near_dedup": simhash.query,
