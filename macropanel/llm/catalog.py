@@ -1,8 +1,9 @@
 """The operators' queries for __spark_entry__.py: name -> (spark, sf_dir) -> DataFrame, and their DuckDB SQL."""
 
-from macropanel.llm import license_scan, line_dedup, mixing, packing, pii, quality, simhash, toxicity
+from macropanel.llm import license_scan, line_dedup, mixing, packing, pii, quality, simhash, toxicity, warc
 
 QUERIES = {
+    "op8_warc": warc.query,
     "op1_license_scan": license_scan.query,
     "op5_toxicity": toxicity.query,
     "op9_pii": pii.query,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op8_warc": warc.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
     "op7_mixing": mixing.ORACLE,
 }

@@ -90,7 +90,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
          ("Content-Type", "application/http; msgtype=response")],
         F.when(F.col("revisit"), http).otherwise(F.concat(http, F.col("html"))),
     )
-    host = F.coalesce(F.parse_url("url", F.lit("HOST")), F.lit("")) if False else F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-z]+://([^/?#]*)", 1)
+    host = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-z]+://([^/?#]*)", 1)
     request = _record(
         [("WARC-Type", "request"), ("WARC-Record-ID", _urn("request")), ("WARC-Date", DATE), uri, ("WARC-Concurrent-To", capture), ("Content-Type", "application/http; msgtype=request")],
         F.concat(F.lit("GET "), F.coalesce("url", F.lit("/")), F.lit(" HTTP/1.1\r\nHost: "), host, F.lit(CRLF + CRLF)),
