@@ -1,8 +1,9 @@
 """The operators' queries for __spark_entry__.py: name -> (spark, sf_dir) -> DataFrame, and their DuckDB SQL."""
 
-from macropanel.llm import license_scan, line_dedup, mixing, packing, pii, quality, simhash, toxicity, warc
+from macropanel.llm import ann, license_scan, line_dedup, mixing, packing, pii, quality, simhash, toxicity, warc
 
 QUERIES = {
+    "op4_ann": ann.query,
     "op8_warc": warc.query,
     "op1_license_scan": license_scan.query,
     "op5_toxicity": toxicity.query,

@@ -73,7 +73,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
     p = p.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html").cast("long"))
     place = F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.coalesce("url", F.lit("")).alias("url"))
     first = p.groupBy("digest", "size").agg(F.min(place).alias("first"), F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("size") >= min_revisit_bytes))
-    # only payloads that stand more than once are joined back; the others never travel
+    # a written table, so of known size: broadcast under the session's threshold, else a join that AQE can split
     first = scratch.save(first.select(F.col("digest").alias("_d"), F.col("size").alias("_s"), "first"), "first")
     p = p.join(first, (F.col("digest") == F.col("_d")) & (F.col("size") == F.col("_s")), "left")
     p = p.withColumn("revisit", F.coalesce(place != F.col("first"), F.lit(False)))
