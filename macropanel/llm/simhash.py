@@ -32,8 +32,8 @@ BITS = 3
 #: Bit positions from the highest at which the blocks of a fingerprint begin and end.
 CUTS = (0, 11, 22, 33, 44, 54, 64)
 SEED = 42
-#: Rows and bytes of text that the kernel hashes at a time.
-STEP_BYTES = 4_000_000
+#: Characters of text whose hashes the kernel sums up at a time.
+STEP_CHARS = 1_000_000
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -77,15 +77,15 @@ def with_fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     def kernel(batches):
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            sizes, a, held, out = [len(t or "") for t in texts], 0, 0, []
-            for b in range(len(texts) + 1):
-                if b == len(texts) or (b > a and held + sizes[b] > STEP_BYTES):
-                    out.append(_majority([t or "" for t in texts[a:b]], words))
-                    a, held = b, 0
-                held += sizes[b] if b < len(texts) else 0
-            fp = np.concatenate(out).view(np.int64) if texts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], names=["doc_id", "key", "fp"])
+            texts, held, size, out = batch.column(2), [], 0, [np.zeros(0, np.uint64)]
+            for i in range(batch.num_rows):  # one text at a time becomes a Python string
+                held.append(texts[i].as_py() or "")
+                size += len(held[-1])
+                if size > STEP_CHARS:
+                    out.append(_majority(held, words))
+                    held, size = [], 0
+            out.append(_majority(held, words))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(out).view(np.int64))], names=["doc_id", "key", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(kernel, "doc_id long, key long, fp long")
