@@ -9,7 +9,7 @@
 * A vector near a border goes into every list whose centroid is within ``1 + BORDER`` times its nearest
   distance, up to REPLICAS lists.
 * A query finds centroids by best-first search in an in-memory neighbour graph and probes every list whose
-  centroid is within ``1 + PROBE`` times the nearest distance (no cap on lists). Its nearest lists are searched
+  centroid is within ``1 + PROBE`` times the nearest distance (no cap on lists), and the LEAST nearest anyway. Its nearest lists are searched
   first; from the others only what beats the query's k-th score so far leaves the task.
 * Lists and their queries are dealt in blocks of bounded size, so neither a large list nor a list that many
   queries probe makes a large task.
@@ -38,9 +38,11 @@ LIST_SIZE = 128
 MAX_LISTS = 4096
 REPLICAS = 8
 BORDER = 0.25
-PROBE = 0.22
+PROBE = 0.16
 #: Lists searched first, for the bound on the others.
 FIRST = 8
+#: Nearest lists that are probed whatever their distance.
+LEAST = 24
 #: Vectors and queries of a list that one block holds at most.
 LIST_BLOCK = 4096
 QUERY_BLOCK = 2048
@@ -104,8 +106,8 @@ class Graph:
         self.links = [np.array(sorted(s), np.int64) for s in links]
         self.entries = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(np.int64))
 
-    def within(self, q: np.ndarray, ratio: float) -> list[tuple[float, int]]:
-        """(distance, centroid) of the centroids reached within ``ratio`` times the nearest distance, nearest first.
+    def within(self, q: np.ndarray, ratio: float, least: int = LEAST) -> list[tuple[float, int]]:
+        """(distance, centroid) of the centroids reached within ``ratio`` times the nearest distance, nearest first, and the ``least`` nearest.
 
         The search walks on through centroids up to a wider ratio, so that it isn't stopped by a ridge.
         """
@@ -115,7 +117,7 @@ class Graph:
         todo = list(zip(d(self.entries).tolist(), self.entries.tolist(), strict=True))
         heapq.heapify(todo)
         found, best = [], min(todo)[0]
-        while todo and (todo[0][0] <= best * ratio * 1.02 or len(found) < NEIGHBOURS):
+        while todo and (todo[0][0] <= best * ratio * 1.02 or len(found) < 2 * least):
             x, i = heapq.heappop(todo)
             found.append((x, i))
             new = self.links[i][~seen[self.links[i]]]
@@ -123,7 +125,8 @@ class Graph:
             for y, j in zip(d(new).tolist(), new.tolist(), strict=True):
                 best = min(best, y)
                 heapq.heappush(todo, (y, j))
-        return sorted((x, i) for x, i in found if x <= best * ratio)
+        found.sort()
+        return [f for n, f in enumerate(found) if n < least or f[0] <= best * ratio]
 
 
 def nearest(rows: DataFrame, queries: str, k: int = K, list_size: int = LIST_SIZE, replicas: int = REPLICAS, border: float = BORDER, probe: float = PROBE, sample: int = SAMPLE) -> DataFrame:
