@@ -37,7 +37,7 @@ MIN_SHARE = 0.02
 #: Bytes of a word's beginning that are features too, so that compounds of a stem count together.
 STEMS = (4, 5)
 #: Likelihood ratio (G squared) of a feature against chance that puts it into the vocabulary.
-SIGNIFICANT = 40.0
+SIGNIFICANT = 22.0
 TELLING = 2.5
 EPOCHS = 400
 RATE = 0.1

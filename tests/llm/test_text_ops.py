@@ -71,8 +71,9 @@ def test_fuzzy_search_misses_no_notice_within_its_edits(data):
         at = data.draw(st.integers(0, len(text) - 1))
         kind, c = data.draw(st.sampled_from("ids")), data.draw(st.sampled_from("abz"))
         text[at : at + 1] = {"i": [text[at], c], "d": [], "s": [c]}[kind]
-    joined = " ".join(("lorem " * 5 + "".join(text) + " ipsum" * 3).split())
-    if edit_distance("".join(text), notice) <= k:
+    edited = " ".join("".join(text).split())
+    joined = " ".join(("lorem " * 5 + edited + " ipsum" * 3).split())
+    if edit_distance(edited, notice) <= k:
         found = [s for s in scan.fuzzy(joined) if s[0] == label]
         assert found
     for _, a, b, edits, _ in scan.fuzzy(joined):
@@ -144,7 +145,8 @@ def test_fertility_by_hand(spark):
 
 
 def test_bands_reject_and_keep(spark):
-    prose = " ".join(f"the river town number{i} grows slowly under quiet hills while people walk" for i in range(20))
+    nouns = "river town hill market winter garden letter window harbour teacher road bridge forest mill summer kitchen station".split()
+    prose = " ".join(f"the {a} near our {b} was quiet" for a, b in zip(nouns, nouns[5:] + nouns[:5], strict=True))
     noise = " ".join(f"{i:03d}#%{(i * 7919) % 9973:05d}&*@!{i}" for i in range(120))
     docs = table(spark, [prose, noise, prose, None], langs=["en", "en", None, "xx"]).withColumn("band", F.lit("clash")).withColumn("n_words", F.lit(0))
     rows = {r["doc_id"]: r for r in quality.judged(docs).collect()}
@@ -176,8 +178,8 @@ def test_toxicity_on_held_out_labels(spark):
     held = labels.where("doc_id % 3 = 0").select("doc_id", F.col("toxic").alias("truth"))
     got = toxicity.score(docs.join(held.select("doc_id"), "doc_id", "left_semi"), model).join(held, "doc_id").collect()
     hit = sum(r["toxic"] and r["truth"] == 1 for r in got)
-    assert hit >= 0.9 * sum(r["truth"] == 1 for r in got)
-    assert sum(r["toxic"] and r["truth"] == 0 for r in got) <= 0.01 * sum(r["truth"] == 0 for r in got)
+    assert hit >= 0.85 * sum(r["truth"] == 1 for r in got)
+    assert sum(r["toxic"] and r["truth"] == 0 for r in got) <= 0.005 * sum(r["truth"] == 0 for r in got)
     for r in got:
         p = [r[f"p_ge_{k}"] for k in (1, 2, 3)]
         assert p == sorted(p, reverse=True) and r["expected_severity"] == pytest.approx(sum(p)) and 0 <= r["severity"] <= 3
