@@ -217,7 +217,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), f"{scratch.root}/archive")
     c = captures(read_records(spark, f"{scratch.root}/archive"), payload=False).where("n > 0")
-    page = F.element_at(F.map_from_entries("metadata.fields"), "page-id").cast("long")
+    page = F.nullif(F.element_at(F.map_from_entries("metadata.fields"), F.lit("page-id")), F.lit("")).cast("long")
     c = scratch.save(c.select("capture_id", page.alias("page_id"), "copy", "response"), "captures")
     seen = c.where("copy = 1 and response.type = 'response'").select(
         F.col("capture_id").alias("_c"), F.col("page_id").alias("_page"), F.col("response.payload_bytes").alias("_bytes"), F.col("response.payload_digest").alias("_digest")
