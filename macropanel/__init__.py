@@ -3,9 +3,7 @@ data card, validation, contracts, sinks) as Spark DataFrame jobs."""
 
 import sys as _sys
 
-try:  # ship this package's task code by value, so Python workers need not import it
-    from pyspark import cloudpickle as _cloudpickle
+from pyspark import cloudpickle as _cloudpickle
 
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle: workers must import the package
-    pass
+# ship this package's task code by value, so Python workers need not import it
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -40,83 +40,92 @@ def mackinnon_p(tau: float) -> float:
     return norm_cdf(sum(c * tau**i for i, c in enumerate(coef)))
 
 
-def unpack(xtx_flat: np.ndarray, m: int) -> np.ndarray:
-    """Upper-triangular row-major sums -> symmetric m x m matrix."""
-    a = np.zeros((m, m))
-    iu = np.triu_indices(m)
-    a[iu] = xtx_flat
-    return a + np.triu(a, 1).T
+#: A regressor is dependent on those before it if its pivot falls below this share of its own square.
+PIVOT = 1e-10
 
 
-def ols_from_sums(a: np.ndarray, xty: np.ndarray, yty: float, nobs: float):
-    """(coefficients, ssr, pinv(X'X), rank) for the regression given by its sums."""
-    inv = np.linalg.pinv(a)
-    b = inv @ xty
-    ssr = float(yty - 2.0 * b @ xty + b @ a @ b)
-    rank = int(np.linalg.matrix_rank(a))
-    return b, max(ssr, 0.0), inv, rank
+def cholesky(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower factor of a matrix of unit diagonal, and which columns are independent; a dependent column's are zero."""
+    m = len(a)
+    low, free = np.zeros((m, m)), np.zeros(m, bool)
+    for j in range(m):
+        d = a[j, j] - low[j, :j] @ low[j, :j]
+        if d > PIVOT:
+            free[j] = True
+            low[j, j] = math.sqrt(d)
+            low[j + 1 :, j] = (a[j + 1 :, j] - low[j + 1 :, :j] @ low[j, :j]) / low[j, j]
+    return low, free
 
 
-def aic(ssr: float, nobs: float, rank: int) -> float:
-    if ssr <= 0.0:
-        return -math.inf
-    return nobs * (math.log(2.0 * math.pi) + math.log(ssr / nobs) + 1.0) + 2.0 * rank
+def _scaled(a: np.ndarray, xty: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """X'X of unit diagonal, X'y to go with it, and the columns' norms."""
+    norm = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
+    return a / norm[:, None] / norm[None, :], xty / norm, norm
+
+
+def _forward(low: np.ndarray, free: np.ndarray, rhs: np.ndarray) -> np.ndarray:
+    """Solution of low w = rhs, zero at dependent columns."""
+    w = np.zeros(len(rhs))
+    for j in np.flatnonzero(free):
+        w[j] = (rhs[j] - low[j, :j] @ w[:j]) / low[j, j]
+    return w
 
 
 def choose_lag(a: np.ndarray, xty: np.ndarray, yty: float, nobs: float, maxlag: int) -> int:
     """Lag with the smallest AIC on the common sample; ties go to the shorter lag.
 
-    Column order of ``a``: constant, lagged level, lagged differences 1..L.
+    Columns of ``a``: constant, lagged level, lagged differences 1..L. One factor holds every leading sub-model:
+    the residual sum at lag p is what the first p + 2 components of the forward solution leave of y'y.
     """
+    m = maxlag + 2
+    unit, rhs, _ = _scaled(a[:m, :m], xty[:m])
+    low, free = cholesky(unit)
+    explained, rank = np.cumsum(_forward(low, free, rhs) ** 2), np.cumsum(free)
     best, best_p = math.inf, 0
     for p in range(maxlag + 1):
-        idx = np.arange(p + 2)
-        _, ssr, _, rank = ols_from_sums(a[np.ix_(idx, idx)], xty[idx], yty, nobs)
-        v = aic(ssr, nobs, rank)
+        v = aic(max(yty - explained[p + 1], 0.0), nobs, int(rank[p + 1]))
         if v < best:
             best, best_p = v, p
     return best_p
 
 
+def aic(ssr: float, nobs: float, rank: int) -> float:
+    if ssr <= 0.0:
+        return -math.inf
+    return nobs * (math.log(2.0 * math.pi) + math.log(ssr / nobs) + 1.0) + 2.0 * rank
+
+
 def tau_stat(a: np.ndarray, xty: np.ndarray, yty: float, nobs: float, p: int) -> float | None:
-    """t-ratio of the lagged level at lag ``p`` (its own sample)."""
-    idx = np.arange(p + 2)
-    b, ssr, inv, rank = ols_from_sums(a[np.ix_(idx, idx)], xty[idx], yty, nobs)
-    dof = nobs - rank
-    if dof <= 0 or ssr <= 0.0 or inv[1, 1] <= 0.0:
+    """t-ratio of the lagged level at lag ``p`` (its own sample); None if the level is dependent on the rest.
+
+    With the level as last column its coefficient over its standard error is the last component of the forward
+    solution over the residual's deviation.
+    """
+    order = [0, *range(2, p + 2), 1]
+    unit, rhs, _ = _scaled(a[np.ix_(order, order)], xty[order])
+    low, free = cholesky(unit)
+    w = _forward(low, free, rhs)
+    ssr, dof = yty - float(w @ w), nobs - int(free.sum())
+    if dof <= 0 or ssr <= 0.0 or not free[-1]:
         return None
-    return float(b[1] / math.sqrt(ssr / dof * inv[1, 1]))
+    return float(w[-1] / math.sqrt(ssr / dof))
 
 
-def adf_dense(x: np.ndarray) -> tuple[float, int, float] | None:
-    """Direct least squares on one series (test oracle): (tau, lag, p-value)."""
-    x = np.asarray(x, dtype=float)
-    x = x[np.isfinite(x)]
-    n = len(x)
-    if n < 6 or x.max() == x.min():
-        return None
-    maxlag = maxlag_for(n)
-    dx = np.diff(x)
+def sums_of(x: np.ndarray, dx: np.ndarray, lags: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, int]:
+    """X'X, X'y, y'y and count of the rows (lagged level, difference, lagged differences)."""
+    xm = np.column_stack([np.ones(len(x)), x, lags]) if len(x) else np.zeros((0, 2 + lags.shape[1]))
+    return xm.T @ xm, xm.T @ dx, float(dx @ dx), len(x)
 
-    def design(p: int, start: int):
-        rows = range(start, n - 1)  # index into dx
-        y = np.array([dx[t] for t in rows])
-        cols = [np.ones(len(y)), np.array([x[t] for t in rows])]
-        cols += [np.array([dx[t - j] for t in rows]) for j in range(1, p + 1)]
-        return np.column_stack(cols), y
 
-    best, best_p = math.inf, 0
-    for p in range(maxlag + 1):
-        xm, y = design(p, maxlag)
-        coef, *_ = np.linalg.lstsq(xm, y, rcond=None)
-        ssr = float(((y - xm @ coef) ** 2).sum())
-        v = aic(ssr, len(y), xm.shape[1])
-        if v < best:
-            best, best_p = v, p
-    xm, y = design(best_p, best_p)
-    coef, *_ = np.linalg.lstsq(xm, y, rcond=None)
-    resid = y - xm @ coef
-    s2 = float(resid @ resid) / (len(y) - xm.shape[1])
-    cov = s2 * np.linalg.inv(xm.T @ xm)
-    tau = float(coef[1] / math.sqrt(cov[1, 1]))
-    return tau, best_p, mackinnon_p(tau)
+def own_sample(sums: tuple, head: np.ndarray, lag: int, maxlag: int) -> tuple:
+    """The sums of the sample that starts at ``lag``: those of the common sample, which starts at ``maxlag``, and the rows between.
+
+    ``head`` holds the series' first ``maxlag + 2`` values, which the rows between are made of.
+    """
+    a, b, c, n = sums
+    m = lag + 2
+    d = np.diff(head)
+    rows = range(lag, min(maxlag, len(d)))
+    lags = np.array([[d[t - j] for j in range(1, lag + 1)] for t in rows]).reshape(len(rows), lag)
+    a2, b2, c2, n2 = sums_of(np.array([head[t] for t in rows]), np.array([d[t] for t in rows]), lags)
+    return a[:m, :m] + a2, b[:m] + b2, c + c2, n + n2

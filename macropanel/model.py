@@ -41,6 +41,7 @@ DATA_CARD_SCHEMA = T.StructType(
     [
         T.StructField(PANEL, T.StringType(), False),
         T.StructField(SERIES, T.StringType(), False),
+        T.StructField("pos", T.IntegerType(), True),
         T.StructField("first_obs_date", T.DateType(), True),
         T.StructField("last_obs_date", T.DateType(), True),
         T.StructField("n_obs", T.LongType(), False),
@@ -66,6 +67,13 @@ VALIDATION_COLUMNS = [
 ]
 
 
+def nan_to_null(df, column: str = VALUE):
+    """NaN in ``column`` is a missing value, as null is; every entry of a panel goes through here."""
+    from pyspark.sql import functions as F
+
+    return df.withColumn(column, F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double")))
+
+
 def require_columns(df, columns: list[str], what: str = "panel") -> None:
     """Shape guard: a long panel must carry its key, date and value columns."""
     missing = [c for c in columns if c not in df.columns]
@@ -85,19 +93,8 @@ class Params:
     outlier_k: float = 10.0
     date_floor: date = date(1959, 1, 1)
     pipeline_version: str = "v2"
-    # EM replay length before the state of incomplete rows is re-based (checkpointed)
-    rebase_every: int = 10
-    # ... but only once replaying costs more than this many multiply-adds per iteration
-    rebase_min_work: float = 5e7
-    # hard cap on the projector bytes broadcast per iteration; reaching it forces a re-base
-    max_broadcast_bytes: int = 64 * 1024 * 1024
-    # total Gram entries (sum of N^2 over panels) the driver may hold before EM moves the
-    # eigendecompositions to executors
-    driver_gram_max: int = 4_000_000
     # incomplete rows per task in the executor-side EM (a panel with more is split by salt)
     rows_per_task: int = 200_000
-    # where EM eigendecompositions run: "driver", "executors" or "auto" (by total Gram size)
-    eigen: str = "auto"
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -39,21 +39,41 @@ def kept_flag(n_missing: F.Column, n_rows: F.Column, max_missing_frac: float) ->
 
 
 def build_data_card(
-    transformed: DataFrame | None, series: DataFrame | None = None, max_missing_frac: float = 0.5, counts: DataFrame | None = None
+    transformed: DataFrame | None,
+    series: DataFrame | None = None,
+    max_missing_frac: float = 0.5,
+    counts: DataFrame | None = None,
+    kept: DataFrame | None = None,
+    dropped: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per series present in the panel (and listed in ``series`` if given).
+    """One row per series present in the panel (and listed in ``series`` if given; its ``pos`` comes along).
 
-    ``counts`` (the output of ``series_counts``) may be given instead of the panel.
+    ``counts`` (the output of ``series_counts``) may be given instead of the panel. ``kept`` and ``dropped``
+    (panel_id, series_id) are a caller's own selection: a series in neither is ``not_in_panel``. Without them
+    the missing fraction decides.
     """
     c = counts if counts is not None else series_counts(transformed)
+    order = [x for x in ("pos",) if series is not None and x in series.columns]
     if series is not None:
-        c = c.join(F.broadcast(series.select(*K)), K, "left_semi")
+        c = c.join(series.select(*K, *order), K)
     t = F.greatest(F.col("n_rows"), F.lit(1))
     n_missing = F.col("n_missing_leading") + F.col("n_missing_internal")
-    kept = kept_flag(n_missing, F.col("n_rows"), max_missing_frac)
+    over = F.lit(f"missing_frac>{max_missing_frac}")
+    if kept is None and dropped is None:
+        keep = kept_flag(n_missing, F.col("n_rows"), max_missing_frac)
+        reason = F.when(~keep, over)
+    else:
+        for name, ids in (("_kept", kept), ("_dropped", dropped)):
+            if ids is None:
+                c = c.withColumn(name, F.lit(False))
+            else:
+                c = c.join(ids.select(*K).distinct().withColumn(name, F.lit(True)), K, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+        keep = F.col("_kept")
+        reason = F.when(~keep, F.when(F.col("_dropped"), over).otherwise("not_in_panel"))
     return c.select(
         PANEL,
         SERIES,
+        *order,
         "first_obs_date",
         "last_obs_date",
         "n_obs",
@@ -62,8 +82,8 @@ def build_data_card(
         F.round(n_missing / t, 4).alias("frac_missing"),
         F.round(F.col("n_missing_leading") / t, 4).alias("frac_missing_leading"),
         F.round(F.col("n_missing_internal") / t, 4).alias("frac_missing_internal"),
-        kept.alias("kept"),
-        F.when(~kept, F.lit(f"missing_frac>{max_missing_frac}")).alias("drop_reason"),
+        keep.alias("kept"),
+        reason.alias("drop_reason"),
     )
 
 
@@ -81,7 +101,7 @@ def kept_series(transformed: DataFrame | None, series: DataFrame, max_missing_fr
         mf = counts.select(*K, "n_rows", (F.col("n_missing_leading") + F.col("n_missing_internal")).alias("n_missing"))
     else:
         mf = missing_fraction(transformed)
-    present = mf.join(F.broadcast(series.select(*K, "pos")), K)
+    present = mf.join(series.select(*K, "pos"), K)
     return present.select(
         PANEL, SERIES, "pos", "n_rows", "n_missing", kept_flag(F.col("n_missing"), F.col("n_rows"), max_missing_frac).alias("kept")
     )
@@ -89,7 +109,7 @@ def kept_series(transformed: DataFrame | None, series: DataFrame, max_missing_fr
 
 def mask(transformed: DataFrame, kept: DataFrame) -> DataFrame:
     """Missingness mask of kept series (I3): true where the cell will be imputed."""
-    ks = F.broadcast(kept.where("kept").select(*K))
+    ks = kept.where("kept").select(*K)
     return transformed.join(ks, K, "left_semi").select(PANEL, SERIES, DATE, F.col(VALUE).isNull().alias("imputed"))
 
 
@@ -100,12 +120,12 @@ def balanced_series(card: DataFrame, cutoff: date) -> DataFrame:
 
 def balanced_projection(df: DataFrame, balanced: DataFrame) -> DataFrame:
     """Rows of ``df`` (panel or mask) whose series is balanced."""
-    return df.join(F.broadcast(balanced.select(*K)), K, "left_semi")
+    return df.join(balanced.select(*K), K, "left_semi")
 
 
 def leading_internal(transformed: DataFrame, kept: DataFrame) -> DataFrame:
     """Leading / internal missing counts of kept series."""
-    ks = F.broadcast(kept.where("kept").select(*K))
+    ks = kept.where("kept").select(*K)
     return series_counts(transformed).join(ks, K, "left_semi").select(
         PANEL, SERIES, "n_rows", "n_missing_leading", "n_missing_internal"
     )
@@ -119,7 +139,7 @@ def imputation_counts(
     kept/dropped id lists are ordered by header position; the cell fractions
     use T * n_kept as denominator.
     """
-    sc = (counts if counts is not None else series_counts(transformed)).join(F.broadcast(series.select(*K, "pos")), K)
+    sc = (counts if counts is not None else series_counts(transformed)).join(series.select(*K, "pos"), K)
     n_missing = F.col("n_missing_leading") + F.col("n_missing_internal")
     kept = kept_flag(n_missing, F.col("n_rows"), max_missing_frac)
     per = sc.select(PANEL, SERIES, "pos", "n_rows", n_missing.alias("n_missing"), "n_missing_leading", "n_missing_internal", kept.alias("kept"))

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from macropanel.model import DATA_CARD_SCHEMA, DATE, K, SERIES, VALUE
+from macropanel.model import DATA_CARD_SCHEMA, DATE, K, PANEL, SERIES, VALUE
 
-CONTRACTS = ("raw", "transformed", "mask", "data_card")
+CONTRACTS = ("raw", "transformed", "imputed", "mask", "data_card")
 
 
 class ContractError(ValueError):
@@ -43,7 +43,7 @@ def _counts(df: DataFrame, rules: list[tuple[str, str, Column]]) -> list[Column]
 
 
 def _static(df: DataFrame, contract: str) -> list[tuple[str, str, int]]:
-    if contract in ("raw", "transformed"):
+    if contract in ("raw", "transformed", "imputed"):
         return _schema_rules(df, contract, {DATE: T.DateType(), VALUE: T.DoubleType()})
     if contract == "mask":
         return _schema_rules(df, contract, {DATE: T.DateType(), "imputed": T.BooleanType()})
@@ -62,8 +62,10 @@ def violations(df: DataFrame, contract: str) -> DataFrame:
 
 def violations_sql_part(df: DataFrame, contract: str) -> DataFrame:
     """The value-level rules only, as one lazy DataFrame (no driver round trip)."""
-    if contract in ("raw", "transformed"):
+    if contract in ("raw", "transformed", "imputed"):
         rules = [("not_null", DATE, F.col(DATE).isNull()), ("not_null", SERIES, F.col(SERIES).isNull())]
+        if contract == "imputed":  # nothing is missing after imputation
+            rules.append(("not_null", VALUE, F.col(VALUE).isNull() | F.isnan(VALUE)))
         keys = K + [DATE]
     elif contract == "mask":
         rules = [("not_null", DATE, F.col(DATE).isNull()), ("not_null", "imputed", F.col("imputed").isNull())]
@@ -93,15 +95,40 @@ def violations_sql_part(df: DataFrame, contract: str) -> DataFrame:
     return stacked.unionByName(dups)
 
 
-def all_violations(artifacts: dict[str, DataFrame]) -> DataFrame:
-    """Union of the value-level rule counts of several artifacts (contract name -> DF)."""
-    return reduce(DataFrame.unionByName, [violations_sql_part(df, c) for c, df in artifacts.items()])
+def density_violations(panel: DataFrame) -> DataFrame:
+    """Rows (artifact, rule, column, n): cells that a panel's (series, date) grid lacks, per panel.
 
+    A panel is dense if each of its series has a cell at each of its dates; the lags and the slice of the
+    transforms, and the row vectors of the imputation, count on that.
+    """
+    cells = panel.select(PANEL, SERIES, DATE).distinct()
+    size = cells.groupBy(PANEL).agg(F.count(F.lit(1)).alias("cells"), F.countDistinct(DATE).alias("dates"), F.countDistinct(SERIES).alias("ids"))
+    lack = size.select(F.coalesce(PANEL, F.lit("")).alias(PANEL), (F.col("dates") * F.col("ids") - F.col("cells")).alias("n")).where("n > 0")
+    return lack.select(F.lit("input").alias("artifact"), F.lit("dense").alias("rule"), F.concat(F.lit("cells of panel "), PANEL).alias("column"), "n")
 
-def enforce(artifacts: dict[str, DataFrame]) -> None:
+
+def check_input(panel: DataFrame) -> None:
+    """The panel as it comes in: keys, types and density, before anything is computed from it."""
+    failures = [("input", r, c, n) for _, r, c, n in [("raw", *x) for x in _static(panel, "raw")] if n > 0]
+    if not failures:
+        counts = violations_sql_part(panel, "raw").where("n > 0").withColumn("artifact", F.lit("input"))
+        named = panel.agg(F.count_if(F.col(PANEL).isNull()).alias("n")).select(F.lit("input").alias("artifact"), F.lit("not_null").alias("rule"), F.lit(PANEL).alias("column"), "n").where("n > 0")
+        failures = [tuple(r) for r in counts.unionByName(named).unionByName(density_violations(panel)).collect()]
+    if failures:
+        raise ContractError(failures)
+
+
+def all_violations(artifacts: dict[str, DataFrame], contracts: dict[str, str] | None = None) -> DataFrame:
+    """Union of the value-level rule counts of several artifacts (name -> DF; the contract is named alike unless given)."""
+    of = contracts or {}
+    return reduce(DataFrame.unionByName, [violations_sql_part(df, of.get(c, c)).withColumn("artifact", F.lit(c)) for c, df in artifacts.items()])
+
+
+def enforce(artifacts: dict[str, DataFrame], contracts: dict[str, str] | None = None) -> None:
     """Check every artifact (schema on the driver, values in one job); raise once listing all failures."""
-    failures = [(c, r, col, n) for c, df in artifacts.items() for r, col, n in _static(df, c) if n > 0]
-    for r in all_violations(artifacts).where("n > 0").collect():
+    of = contracts or {}
+    failures = [(c, r, col, n) for c, df in artifacts.items() for r, col, n in _static(df, of.get(c, c)) if n > 0]
+    for r in all_violations(artifacts, of).where("n > 0").collect():
         failures.append((r.artifact, r.rule, r.column, r.n))
     if failures:
         raise ContractError(failures)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from macropanel.functions.quantile import pick, quantile_rank, rank_columns
-from macropanel.model import DATE, K, VALUE
+from macropanel.model import DATE, K, VALUE, nan_to_null
 
 _STAT_COLS = ["_n", "_median", "_q25", "_q75"]
 
@@ -19,19 +19,17 @@ _STAT_COLS = ["_n", "_median", "_q25", "_q75"]
 def with_series_stats(panel: DataFrame, method: str = "nearest") -> DataFrame:
     """Attach per-series n, median, q25, q75 to every row (windows only, no join)."""
     rank, n = rank_columns(K, VALUE)
-    ranked = panel.withColumn("_rk", rank).withColumn("_n", n)
+    ranked = panel.select("*", rank.alias("_rk"), n.alias("_n"))
     w_all = Window.partitionBy(*K)
     rk, n = F.col("_rk"), F.col("_n")
-    lo_mid = F.floor((n - 1) / 2).cast("long")
-    hi_mid = F.ceil((n - 1) / 2).cast("long")
-    return (
-        ranked.withColumn("_m_lo", pick(rk, lo_mid, VALUE).over(w_all))
-        .withColumn("_m_hi", pick(rk, hi_mid, VALUE).over(w_all))
-        .withColumn("_q25", pick(rk, quantile_rank(0.25, n, method), VALUE).over(w_all))
-        .withColumn("_q75", pick(rk, quantile_rank(0.75, n, method), VALUE).over(w_all))
-        .withColumn("_median", (F.col("_m_lo") + F.col("_m_hi")) / 2)
-        .drop("_rk", "_m_lo", "_m_hi")
-    )
+    at = {
+        "_m_lo": F.floor((n - 1) / 2).cast("long"),
+        "_m_hi": F.ceil((n - 1) / 2).cast("long"),
+        "_q25": quantile_rank(0.25, n, method),
+        "_q75": quantile_rank(0.75, n, method),
+    }
+    picked = ranked.select("*", *[pick(rk, r, VALUE).over(w_all).alias(c) for c, r in at.items()])  # one window for all four
+    return picked.select(*panel.columns, "_n", "_q25", "_q75", ((F.col("_m_lo") + F.col("_m_hi")) / 2).alias("_median"))
 
 
 def _band(k: float):
@@ -44,13 +42,13 @@ def remove_outliers(panel: DataFrame, k: float = 10.0, method: str = "nearest")
     lower, upper = _band(k)
     v = F.col(VALUE)
     cleaned = F.when((v >= lower) & (v <= upper), v)
-    return with_series_stats(panel, method).withColumn(VALUE, cleaned).drop(*_STAT_COLS)
+    return with_series_stats(nan_to_null(panel), method).withColumn(VALUE, cleaned).drop(*_STAT_COLS)
 
 
 def outlier_bounds(panel: DataFrame, k: float = 10.0, method: str = "nearest") -> DataFrame:
     """One row per series: n, median, q25, q75, lower, upper."""
     lower, upper = _band(k)
-    stats = with_series_stats(panel, method)
+    stats = with_series_stats(nan_to_null(panel), method)
     return stats.groupBy(*K).agg(
         F.max("_n").cast("long").alias("n_obs"),
         F.max("_median").alias("median"),

@@ -40,11 +40,17 @@ def tcode_value(tcode: Column, v: Column, l1: Column, l2: Column, lv: Column, ll
     )
 
 
+def unknown_tcodes(series: DataFrame) -> DataFrame:
+    """The rows of the series dimension whose code is none of the seven."""
+    return series.where(F.col("tcode").isNotNull() & ~F.col("tcode").isin(*TCODES))
+
+
 def check_tcodes(series: DataFrame) -> None:
-    """Eager check on the (small) series dimension: unknown codes raise, naming the series."""
-    bad = series.where(F.col("tcode").isNotNull() & ~F.col("tcode").isin(*TCODES)).select("series_id", "tcode").limit(5).collect()
-    if bad:
-        raise ValueError("unknown tcode: " + ", ".join(f"{r.tcode} (series: {r.series_id})" for r in bad))
+    """Unknown codes raise before any transform, with every (code, series) pair that has one."""
+    bad = unknown_tcodes(series).groupBy("tcode").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_set("series_id")), ", ").alias("ids"))
+    found = sorted((r["tcode"], r["n"], r["ids"]) for r in bad.collect())
+    if found:
+        raise ValueError("; ".join(f"unknown tcode: {c} ({n} series: {ids})" for c, n, ids in found))
 
 
 def apply_tcode(panel: DataFrame, tcode: Column, slice_rows: int = 0) -> DataFrame:
@@ -52,7 +58,7 @@ def apply_tcode(panel: DataFrame, tcode: Column, slice_rows: int = 0) -> DataFra
     w = series_window()
     v = F.col(VALUE)
     lv = F.when(v > 0, F.ln(v))
-    staged = panel.withColumn("_lv", lv)
+    staged = panel.select("*", lv.alias("_lv"))
     l1, l2 = F.lag(VALUE, 1).over(w), F.lag(VALUE, 2).over(w)
     ll1, ll2 = F.lag("_lv", 1).over(w), F.lag("_lv", 2).over(w)
     out = staged.withColumn("_rn", F.row_number().over(w)).withColumn(
@@ -67,12 +73,11 @@ def apply_tcode(panel: DataFrame, tcode: Column, slice_rows: int = 0) -> DataFra
 def transform_all(panel: DataFrame, series: DataFrame, check: bool = True) -> DataFrame:
     """Dispatch each series to its code (T9), then drop the first two rows.
 
-    ``series`` holds one row per series: broadcasting it is bounded by the
-    series count. Series missing from ``series`` pass through untransformed.
+    Series missing from ``series`` pass through untransformed.
     """
     if check:
         check_tcodes(series)
-    codes = F.broadcast(series.select(*K, "tcode"))
+    codes = series.select(*K, "tcode")
     cols = panel.columns
     joined = panel.join(codes, K, "left")
     return apply_tcode(joined, F.col("tcode"), slice_rows=2).select(*cols)

@@ -1,11 +1,11 @@
 """Per-series validation (V1-V3): basic quality flags and the ADF stationarity test.
 
-ADF on Spark: the lags come from ``lag()`` over the series window, every
-regression enters only through sums of products, so each series reduces to
-one row of sums with a ``groupBy``; a ``mapInPandas`` pass then solves the
-small systems on those rows. Two aggregations: lag choice by AIC on the
-common sample, then the refit at the chosen lag on its own longer sample.
-No series history is ever gathered into one place.
+Every regression of the test enters only through sums of products. One window
+per series gives each row its lags; an Arrow kernel turns rows into sums, a row
+per series and batch; a small solve per series reads those. The refit at the
+chosen lag has a longer sample: the rows it adds are made from the series' first
+few values, which travel with the sums, so there is no second pass. No series
+history is ever gathered into one place.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from macropanel.functions import adf as A
@@ -62,100 +63,99 @@ def df_tstat_lag0(panel: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ full ADF
 
+ADF = "panel_id string, series_id string, adf_lag int, adf_stat double, adf_pvalue double, adf_status string"
+SUMS = "panel_id string, series_id string, maxlag int, chunk long, xtx array<double>, xty array<double>, yty double, nobs long, head array<double>"
 
-def _sum_exprs(m: int) -> list[Column]:
-    """Sums of products of regressors ``c0..c{m-1}`` and ``y`` (one SQL string each)."""
-    out = [F.expr(f"sum(c{a} * c{b}) AS s_{a}_{b}") for a in range(m) for b in range(a, m)]
-    out += [F.expr(f"sum(c{a} * y) AS sy_{a}") for a in range(m)]
-    return out + [F.expr("sum(y * y) AS syy"), F.expr("count(1) AS nobs")]
 
+def _sums_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (series, i, level, difference, lagged differences) -> sums of products per series and batch.
 
-def _regressors(big_l: int, limit: str) -> list[str]:
-    """Constant, lagged level, lagged differences (zero past the series' limit)."""
-    cols = ["1.0D AS c0", "x1 AS c1"] + [f"IF({j} <= {limit}, d{j}, 0.0D) AS c{j + 1}" for j in range(1, big_l + 1)]
-    return cols + ["dx AS y"]
-
-
-def _unpack_row(row: pd.Series, m: int) -> tuple[np.ndarray, np.ndarray, float, float]:
-    flat = np.array([row[f"s_{a}_{b}"] for a in range(m) for b in range(a, m)], dtype=float)
-    xty = np.array([row[f"sy_{a}"] for a in range(m)], dtype=float)
-    return A.unpack(flat, m), xty, float(row["syy"]), float(row["nobs"])
-
-
-def _choose_kernel(m: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            lags = [A.choose_lag(*_unpack_row(r, m), int(r["maxlag"])) for _, r in pdf.iterrows()]
-            yield pd.DataFrame({PANEL: pdf[PANEL], SERIES: pdf[SERIES], "adf_lag": np.array(lags, dtype="int32")})
-
-    return run
-
-
-def _tau_kernel(m: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            taus, ps = [], []
-            for _, r in pdf.iterrows():
-                tau = A.tau_stat(*_unpack_row(r, m), int(r["adf_lag"]))
-                taus.append(np.nan if tau is None else tau)
-                ps.append(np.nan if tau is None else A.mackinnon_p(tau))
-            yield pd.DataFrame({PANEL: pdf[PANEL], SERIES: pdf[SERIES], "adf_lag": pdf["adf_lag"], "adf_stat": taus, "adf_pvalue": ps})
-
-    return run
-
-
-def adf_test(panel: DataFrame, min_obs: int = 30, max_obs: int | None = None) -> DataFrame:
-    """Per series with >= ``min_obs`` finite values: lag (AIC), statistic, p-value.
-
-    Constant series get null statistic and p-value (the test is undefined).
-    ``max_obs`` is any upper bound on a series' length (it sizes the lag
-    columns; columns past a series' own maximum lag are zero). Without it a
-    count aggregate over the input finds one.
+    A series' rows come one after another, so a batch holds few pieces of series; the first values of a series
+    go along, for the refit on the longer sample of a shorter lag.
     """
-    w = Window.partitionBy(*K).orderBy(DATE)
-    wall = Window.partitionBy(*K)
-    # the length rule counts non-null values; the test then runs on the finite ones
-    nonnull = panel.where(F.col(VALUE).isNotNull()).withColumn("_nn", F.count(F.lit(1)).over(wall))
-    fin = _finite(nonnull.where(F.col("_nn") >= min_obs)).select(
-        *K,
-        DATE,
-        VALUE,
-        (F.row_number().over(w) - 1).alias("i"),
-        F.count(F.lit(1)).over(wall).alias("n"),
-        F.avg(VALUE).over(wall).alias("mu"),
-        (F.max(VALUE).over(wall) == F.min(VALUE).over(wall)).alias("const"),
-    ).where((F.col("n") >= 6) & ~F.col("const"))
-    max_n = max_obs if max_obs is not None else panel.groupBy(*K).agg(F.count(VALUE).alias("c")).agg(F.max("c")).first()[0]
-    if max_n is None or max_n < max(min_obs, 6):
-        return panel.sparkSession.createDataFrame([], "panel_id string, series_id string, adf_lag int, adf_stat double, adf_pvalue double")
-    big_l = A.maxlag_for(int(max_n))
-    xc = F.col(VALUE) - F.col("mu")
-    staged = fin.withColumn("x1", F.lag(xc, 1).over(w)).withColumn("dx", xc - F.col("x1"))
-    staged = staged.selectExpr(*K, "i", "n", "x1", "dx", *[f"lag(dx, {j}) OVER (PARTITION BY panel_id, series_id ORDER BY date) AS d{j}" for j in range(1, big_l + 1)])
+    names = [f.split()[0] for f in SUMS.split(", ")]
+    for batch in batches:
+        i, maxlag = batch.column("i").to_numpy(), batch.column("maxlag").to_numpy()
+        x, dx = batch.column("x1").to_numpy(zero_copy_only=False), batch.column("dx").to_numpy(zero_copy_only=False)
+        keys = batch.column(PANEL).to_pandas() + "\0" + batch.column(SERIES).to_pandas()
+        code, _ = pd.factorize(keys)
+        starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else []
+        out = []
+        for a, b in zip(starts, [*starts[1:], len(code)], strict=True):
+            m = int(maxlag[a])
+            rows = np.arange(a, b)[i[a:b] >= m + 1]  # the common sample: every lag up to maxlag is there
+            lags = np.array([row[1 : m + 1] for row in batch.column("d").take(pa.array(rows)).to_pylist()], float).reshape(len(rows), m)
+            s = A.sums_of(x[rows], dx[rows], lags)
+            early = np.arange(a, b)[i[a:b] <= m + 1]  # i counts from 1: value i - 1 is the level of row i
+            head = x[early].tolist()
+            out.append((batch.column(PANEL)[a].as_py(), batch.column(SERIES)[a].as_py(), m, int(i[a]), s[0].ravel().tolist(), s[1].tolist(), s[2], s[3], head))
+        if out:
+            types = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.int64(), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+
+def _solve(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One series' partial sums (a row per Arrow batch it spans) -> lag, t-ratio, p-value."""
+    pdf = pdf.sort_values("chunk")
+    m = int(pdf["maxlag"].iloc[0])
+    total = tuple(np.sum(np.stack(pdf[c].to_list()), axis=0) for c in ("xtx", "xty"))
+    sums = (total[0].reshape(m + 2, m + 2), total[1], float(pdf["yty"].sum()), int(pdf["nobs"].sum()))
+    lag = A.choose_lag(*sums, m)
+    tau = A.tau_stat(*A.own_sample(sums, np.concatenate(pdf["head"].to_list()), lag, m), lag)
+    row = {PANEL: pdf[PANEL].iloc[0], SERIES: pdf[SERIES].iloc[0], "adf_lag": lag, "adf_stat": tau}
+    return pd.DataFrame([row | {"adf_pvalue": None if tau is None else A.mackinnon_p(tau), "adf_status": "ok" if tau is not None else "degenerate"}])
+
+
+def adf_test(panel: DataFrame, min_obs: int = 30) -> DataFrame:
+    """Per series: lag (AIC), statistic, p-value and status.
+
+    ``adf_status``: ``ok``; ``short`` (fewer than ``min_obs`` non-null values, or fewer than 6 finite ones);
+    ``constant``; ``degenerate`` (the level is a combination of the other regressors). All but ``ok`` have null
+    statistic and p-value.
+
+    Each series is centred and scaled by its own deviation, so lag, statistic and p-value don't depend on its
+    unit. Its lags are one array per row, as long as its own maximum lag asks; the rows go straight from the
+    window into an Arrow kernel that returns sums, so no lag is written anywhere.
+    """
+    w, wall = Window.partitionBy(*K).orderBy(DATE), Window.partitionBy(*K)
+    value = F.col(VALUE)
+    lengths = panel.groupBy(*K).agg(
+        F.count(VALUE).alias("nn"),
+        F.count_if(value.isNotNull() & ~value.isin(INF, NINF) & ~F.isnan(value)).alias("n"),
+        F.min(F.when(~value.isin(INF, NINF) & ~F.isnan(value), value)).alias("lo"),
+        F.max(F.when(~value.isin(INF, NINF) & ~F.isnan(value), value)).alias("hi"),
+    )
+    short = (F.col("nn") < min_obs) | (F.col("n") < 6)
+    status = F.when(short, "short").when(F.col("lo") == F.col("hi"), "constant")
+    told = lengths.select(*K, "n", status.alias("adf_status"))
+    longest = told.where("adf_status is null").agg(F.max("n").alias("n")).first()["n"]
+    none = told.where("adf_status is not null").select(*K, F.lit(None).cast("int").alias("adf_lag"), F.lit(None).cast("double").alias("adf_stat"), F.lit(None).cast("double").alias("adf_pvalue"), "adf_status")
+    if longest is None:
+        return none
+    fin = _finite(panel.join(told.where("adf_status is null").select(*K), K, "left_semi"))
+    fin = fin.select(*K, DATE, VALUE, F.count(VALUE).over(wall).alias("n"), F.avg(VALUE).over(wall).alias("mu"), F.stddev_pop(VALUE).over(wall).alias("sd"))
     n = F.col("n")
-    staged = staged.withColumn("maxlag", F.least(F.floor(n / 2) - 2, F.ceil(F.lit(12.0) * F.pow(n / 100.0, 0.25))).cast("int"))
-    staged = staged.checkpoint(eager=True)  # read by both aggregations; reliable, nothing left cached
-    m = big_l + 2
-
-    common = staged.where(F.col("i") >= F.col("maxlag") + 1).selectExpr(*K, "maxlag", *_regressors(big_l, "maxlag"))
-    s2 = common.groupBy(*K).agg(F.max("maxlag").alias("maxlag"), *_sum_exprs(m))
-    chosen = s2.mapInPandas(_choose_kernel(m), "panel_id string, series_id string, adf_lag int")
-    own = staged.join(chosen, K).where(F.col("i") >= F.col("adf_lag") + 1).selectExpr(*K, "adf_lag", *_regressors(big_l, "adf_lag"))
-    s3 = own.groupBy(*K).agg(F.max("adf_lag").alias("adf_lag"), *_sum_exprs(m))
-    out = s3.mapInPandas(_tau_kernel(m), "panel_id string, series_id string, adf_lag int, adf_stat double, adf_pvalue double")
-    return out.select(*K, "adf_lag", F.when(~F.isnan("adf_stat"), F.col("adf_stat")).alias("adf_stat"), F.when(~F.isnan("adf_pvalue"), F.col("adf_pvalue")).alias("adf_pvalue"))
-
-
-def build_validation(panel: DataFrame, series: DataFrame | None = None, min_obs: int = 30, max_obs: int | None = None) -> DataFrame:
-    """V3: one row per series (present in ``series`` if given)."""
+    maxlag = F.least(F.floor(n / 2) - 2, F.ceil(F.lit(12.0) * F.pow(n / 100.0, 0.25))).cast("int")
+    x = fin.select(*K, DATE, maxlag.alias("maxlag"), ((F.col(VALUE) - F.col("mu")) / F.col("sd")).alias("x"), (F.row_number().over(w) - 1).alias("i"))
+    x = x.withColumn("x1", F.lag("x", 1).over(w)).withColumn("dx", F.col("x") - F.col("x1"))
+    # the row's own difference and those before it, newest first, as many as the series' own maximum lag asks
+    before = F.reverse(F.collect_list("dx").over(w.rowsBetween(-A.maxlag_for(int(longest)), 0)))
+    lagged = x.select(*K, "i", "maxlag", "x1", "dx", F.slice(before, 1, F.col("maxlag") + 1).alias("d")).where("i >= 1")
+    sums = lagged.mapInArrow(_sums_kernel, SUMS)
+    return sums.groupBy(*K).applyInPandas(_solve, ADF).unionByName(none)
+
+
+def build_validation(panel: DataFrame, series: DataFrame | None = None, min_obs: int = 30) -> DataFrame:
+    """V3: one row per series (present in ``series`` if given, with its ``pos`` if it has one)."""
     q = series_quality(panel)
+    order = [c for c in ("pos",) if series is not None and c in series.columns]
     if series is not None:
-        q = q.join(F.broadcast(series.select(*K)), K, "left_semi")
-    adf = adf_test(panel, min_obs, max_obs)
-    j = q.join(adf, K, "left")
+        q = q.join(series.select(*K, *order), K)
+    j = q.join(adf_test(panel, min_obs), K, "left")
     return j.select(
         PANEL,
         SERIES,
+        *order,
         "n_obs",
         "null_rate",
         "flag_sparse",

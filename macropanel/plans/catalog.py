@@ -16,6 +16,7 @@ from macropanel.model import BRAND_PARAMS, DATE, K, PANEL, SERIES, VALUE
 from macropanel.operators import card as C
 from macropanel.operators import outliers as O
 from macropanel.operators import stationarity as S
+from macropanel.plans import inputs as I
 from macropanel.plans import oracle as Q
 from macropanel.operators import contracts as CT
 from macropanel.operators import factors as FA
@@ -36,7 +37,7 @@ def r6(c) -> F.Column:
 
 
 def brand(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return P.brand_fixture_panel(spark, sf)
+    return I.brand_fixture_panel(spark, sf)
 
 
 def cleaned(spark, sf):
@@ -86,7 +87,7 @@ def q_transform_all(spark, sf):
 
 def q_data_card(spark, sf):
     t, series = transformed(spark, sf, materialize=False)
-    return C.build_data_card(t, series, P_.max_missing_frac)
+    return C.build_data_card(t, series, P_.max_missing_frac).drop("pos")
 
 
 def q_vintage_path(spark, sf):
@@ -102,7 +103,7 @@ def q_vintage_path(spark, sf):
 
 def _ingested(spark, sf):
     panel, series = brand(spark, sf)
-    return V.parse_lines(V.panel_to_lines(panel, series), P_.date_floor)
+    return V.parse_lines(V.split_lines(I.as_files(V.panel_to_lines(panel, series))), P_.date_floor)
 
 
 def q_ingest_long(spark, sf):
@@ -204,7 +205,8 @@ def q_contract_violations(spark, sf):
     t = S.transform_all(clean, series).checkpoint(eager=True)
     card = C.build_data_card(t, series, P_.max_missing_frac)
     m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
-    return CT.all_violations({"raw": clean, "transformed": t, "mask": m, "data_card": card})
+    spoiled = I.spoiled_artifacts(clean, t, m, card.drop("pos"), series)
+    return CT.all_violations({name: df.checkpoint(eager=True) for name, df in spoiled.items()})
 
 
 def q_artifact_manifest(spark, sf):
@@ -236,8 +238,11 @@ def q_em_pca_impute(spark, sf):
     return _em(spark, sf).imputed
 
 
-def q_em_pca_observed(spark, sf):
-    return _em(spark, sf).imputed.where(~F.col("imputed")).select(PANEL, SERIES, DATE, r6(VALUE).alias(VALUE))
+def q_em_rank1_refill(spark, sf):
+    """One EM step with one factor: what SQL can follow by power iteration."""
+    t, series = transformed(spark, sf)
+    one = FA.em_impute(t, series, P_.with_(k=1, max_iter=1)).imputed
+    return one.select(PANEL, SERIES, DATE, "imputed", r6(VALUE).alias(VALUE))
 
 
 def q_em_pca_report(spark, sf):
@@ -250,10 +255,10 @@ def q_adf_validation(spark, sf):
 
 
 def q_many_panel_impute(spark, sf):
-    panel, series = P.many_fact_panels(spark, sf)
+    panel, series = I.many_fact_panels(spark, sf)
     raw = O.remove_outliers(panel, P_.outlier_k)
     t = S.transform_all(raw, series)
-    return FA.em_impute(t, series, P_).report
+    return FA.em_impute(t, series, P_).imputed
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -281,7 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "artifact_manifest": q_artifact_manifest,
     "run_summary_counts": q_run_summary_counts,
     "em_pca_impute": q_em_pca_impute,
-    "em_pca_observed": q_em_pca_observed,
+    "em_rank1_refill": q_em_rank1_refill,
     "em_pca_report": q_em_pca_report,
     "adf_validation": q_adf_validation,
     "many_panel_impute": q_many_panel_impute,
@@ -314,11 +319,11 @@ FROM stats""",
 # ---------------------------------------------------------------- oracles for the remaining queries
 
 _CONTRACT_RULES = {
-    "raw": ("clean", [("not_null", "date"), ("not_null", "series_id")], ["panel_id", "series_id", "date"]),
-    "transformed": ("transformed", [("not_null", "date"), ("not_null", "series_id")], ["panel_id", "series_id", "date"]),
-    "mask": ("mask_rows", [("not_null", "date"), ("not_null", "imputed")], ["panel_id", "series_id", "date"]),
+    "raw": ("bad_raw", [("not_null", "date"), ("not_null", "series_id")], ["panel_id", "series_id", "date"]),
+    "transformed": ("bad_transformed", [("not_null", "date"), ("not_null", "series_id")], ["panel_id", "series_id", "date"]),
+    "mask": ("bad_mask", [("not_null", "date"), ("not_null", "imputed")], ["panel_id", "series_id", "date"]),
     "data_card": (
-        "card",
+        "bad_card",
         [("not_null", "series_id"), ("not_null", "kept")]
         + [(r, c) for c in ("n_obs", "n_missing_leading", "n_missing_internal") for r in ("not_null", "ge_0")]
         + [(r, c) for c in ("frac_missing", "frac_missing_leading", "frac_missing_internal") for r in ("not_null", "in_0_1")],
@@ -327,6 +332,40 @@ _CONTRACT_RULES = {
 }
 
 
+def _spoiled_cells(name: str, src: str, values: str) -> str:
+    return f"""
+{name} AS (
+  SELECT panel_id, series_id, CASE WHEN pos = 7 AND month(date) = 2 THEN NULL ELSE date END AS date, {values} FROM {src}
+  UNION ALL SELECT panel_id, series_id, date, {values} FROM {src} WHERE pos = 3 AND month(date) = 7)"""
+
+
+def _spoiled_card() -> str:
+    counts = [
+        f"CASE WHEN pos = {9 + k} THEN -1 - {c} WHEN pos = {12 + k} THEN NULL ELSE {c} END AS {c}"
+        for k, c in enumerate(("n_obs", "n_missing_leading", "n_missing_internal"))
+    ]
+    fractions = [
+        f"CASE WHEN pos = {15 + k} THEN {c} + 1.5 WHEN pos = {18 + k} THEN NULL ELSE {c} END AS {c}"
+        for k, c in enumerate(("frac_missing", "frac_missing_leading", "frac_missing_internal"))
+    ]
+    return f"""
+bad_card AS (
+  SELECT panel_id, series_id, CASE WHEN pos = 21 THEN NULL ELSE kept END AS kept, {', '.join(counts + fractions)}
+  FROM (SELECT * FROM card UNION ALL SELECT * FROM card WHERE pos = 4) q)
+"""
+
+
+_SPOILED = ",".join(
+    [
+        "",
+        _spoiled_cells("bad_raw", "clean", "value"),
+        _spoiled_cells("bad_transformed", "transformed", "value"),
+        _spoiled_cells("bad_mask", "mask_pos", "CASE WHEN pos = 8 AND month(date) = 3 THEN NULL ELSE imputed END AS imputed"),
+        _spoiled_card(),
+    ]
+)
+
+
 def _rule_sql(rule: str, col: str) -> str:
     return {"not_null": f"{col} IS NULL", "ge_0": f"{col} < 0", "in_0_1": f"({col} < 0 OR {col} > 1)"}[rule]
 
@@ -359,7 +398,10 @@ def _manifest_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-_MASK_ROWS = ",\nmask_rows AS (SELECT panel_id, series_id, date, value IS NULL AS imputed FROM kept_cells)\n"
+_MASK_ROWS = (
+    ",\nmask_pos AS (SELECT panel_id, series_id, pos, date, value IS NULL AS imputed FROM kept_cells)"
+    ",\nmask_rows AS (SELECT panel_id, series_id, date, imputed FROM mask_pos)\n"
+)
 _ALLM = Q.ALL.rstrip("\n") + _MASK_ROWS
 _IMP_COUNTS = """
 ic0 AS (
@@ -385,7 +427,9 @@ SELECT ref_date, strftime(ref_date - INTERVAL 1 MONTH, '%Y-%m') AS vintage,
   '{LANDING}/' || strftime(ref_date - INTERVAL 1 MONTH, '%Y-%m') || '-md.csv' AS path,
   lpad(CAST(year(ref_date) AS VARCHAR), 4, '0') || '-' || lpad(CAST(month(ref_date) AS VARCHAR), 2, '0') AS pinned_vintage
 FROM o""",
-        "ingest_long": Q.chain(Q.PANEL_CTE) + "SELECT panel_id, series_id, date, value FROM panel WHERE date >= DATE '1959-01-01'",
+        "ingest_long": Q.chain(Q.PANEL_CTE)
+        + f"""SELECT panel_id, series_id, date, CASE WHEN month(date) = 11 AND pos >= {I.SHORT_LINE - 1} THEN NULL ELSE value END AS value
+FROM panel WHERE date >= DATE '1959-01-01'""",
         "series_dim": Q.chain(Q.PANEL_CTE) + "SELECT DISTINCT panel_id, series_id, pos, tcode FROM panel",
         "missing_fraction": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE, Q.TRANSFORMED_CTE)
         + """SELECT panel_id, series_id, CAST(count(*) AS BIGINT) AS n_rows, CAST(count_if(value IS NULL) AS BIGINT) AS n_missing,
@@ -426,7 +470,7 @@ SELECT panel_id, series_id, CAST(m AS BIGINT) AS n_pairs,
   round(CASE WHEN m >= 3 AND sxx > 0 AND syy - (sxy / sxx) * sxy > 0
         THEN (sxy / sxx) / sqrt((syy - (sxy / sxx) * sxy) / (m - 2) / sxx) END, 6) AS df_tstat
 FROM s""",
-        "contract_violations": _ALLM + _contracts_sql(),
+        "contract_violations": _ALLM.rstrip("\n") + _SPOILED + _contracts_sql(),
         "artifact_manifest": _ALLM + _manifest_sql(),
         "run_summary_counts": Q.ALL.rstrip("\n")
         + ","
@@ -437,6 +481,23 @@ SELECT ic.panel_id, ic.n_dates AS rows, CAST((SELECT count(*) FROM card c WHERE
   CAST((SELECT count(*) FROM card c WHERE c.panel_id = ic.panel_id AND c.kept AND c.first_obs_date <= DATE '1995-12-01') AS BIGINT) AS balanced_n_series,
   ic.frac_imputed, ic.frac_imputed_leading, ic.frac_imputed_internal
 FROM ic""",
-        "em_pca_observed": Q.ALL + "SELECT panel_id, series_id, date, round(value, 6) AS value FROM kept_cells WHERE value IS NOT NULL",
+        "em_rank1_refill": Q.ALL_STD.replace("WITH ", "WITH RECURSIVE ", 1).rstrip("\n")
+        + """,
+placed AS (
+  SELECT s.*, CAST(dense_rank() OVER (PARTITION BY s.panel_id ORDER BY k.pos) AS INT) AS i
+  FROM standardized s JOIN kept k ON s.panel_id = k.panel_id AND s.series_id = k.series_id),
+gram AS (
+  SELECT a.i, b.i AS j, sum(coalesce(a.z, 0) * coalesce(b.z, 0)) AS g FROM placed a JOIN placed b ON a.date = b.date GROUP BY a.i, b.i),
+matrix AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(g ORDER BY j) AS r FROM gram GROUP BY i) q),
+power(n, v) AS (
+  SELECT 0, list_transform(m, lambda r: CAST(1 + r[1] / 1e9 AS DOUBLE)) FROM matrix
+  UNION ALL
+  SELECT n + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+  FROM (SELECT n, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM power, matrix WHERE n < 3000) q),
+top AS (SELECT v FROM power WHERE n = 3000),
+scores AS (SELECT date, sum(coalesce(z, 0) * v[i]) AS f FROM placed, top GROUP BY date)
+SELECT p.panel_id, p.series_id, p.date, p.value IS NULL AS imputed,
+  round(CASE WHEN p.value IS NULL THEN s.f * t.v[p.i] * p.sd + p.mu ELSE p.value END, 6) AS value
+FROM placed p JOIN scores s ON p.date = s.date, top t""",
     }
 )

@@ -18,9 +18,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macropanel.model import DATE, K, PANEL, SERIES, VALUE, Params, require_columns
+from macropanel.model import DATE, K, PANEL, SERIES, VALUE, Params, nan_to_null, require_columns
 from macropanel.operators import card as C
-from macropanel.operators.contracts import enforce
+from macropanel.operators.contracts import check_input, enforce
 from macropanel.operators.factors import em_impute
 from macropanel.operators.outliers import remove_outliers
 from macropanel.operators.stationarity import check_tcodes, transform_all, with_leading_flag
@@ -43,7 +43,6 @@ class Prepared:
     validation: DataFrame
     report: DataFrame
     summary: DataFrame
-    states: dict
     timings: dict
 
 
@@ -53,6 +52,8 @@ def prepare(panel: DataFrame, series: DataFrame, params: Params = Params()) -> P
     require_columns(series, [PANEL, SERIES, "pos", "tcode"], "series dimension")
     t0 = time.perf_counter()
     check_tcodes(series)
+    panel = nan_to_null(panel)
+    check_input(panel)
     raw = remove_outliers(panel, params.outlier_k).checkpoint(eager=True)
     t1 = time.perf_counter()
     transformed = with_leading_flag(transform_all(raw, series, check=False)).checkpoint(eager=True)
@@ -67,9 +68,7 @@ def prepare(panel: DataFrame, series: DataFrame, params: Params = Params()) -> P
     imputed = em.imputed
     out_panel = imputed.select(PANEL, SERIES, DATE, VALUE)
     mask = imputed.select(PANEL, SERIES, DATE, "imputed")
-    kept = card.where("kept").select(*K)
-    max_t = max([s.t for s in em.states.values()], default=0)
-    validation = build_validation(out_panel, kept, max_obs=max_t)
+    validation = build_validation(out_panel, card.where("kept").select(*K, "pos"))
     n_bal = balanced.groupBy(PANEL).agg(F.count(F.lit(1)).alias("balanced_n_series"))
     report = (
         em.report.join(n_bal, PANEL, "left")
@@ -91,24 +90,34 @@ def prepare(panel: DataFrame, series: DataFrame, params: Params = Params()) -> P
         validation=validation,
         report=report,
         summary=summary,
-        states=em.states,
         timings=timings,
     )
 
 
+#: The contract that each artifact is held against (the validation frame has none).
+CONTRACT_OF = {
+    "raw": "raw",
+    "transformed": "imputed",
+    "mask": "mask",
+    "data_card": "data_card",
+    "transformed_balanced": "imputed",
+    "mask_balanced": "mask",
+}
+
+
 def write_all(p: Prepared, out_dir: str, now: datetime | None = None) -> DataFrame:
-    """Check every contract first (raise listing all failures), then write; return the manifest.
+    """Check every frame that is about to be written (raise listing all failures), then write; return the manifest.
 
     The balanced artifacts are written only when at least one series
-    qualifies. The manifest is computed from the files just written, limited
-    to this run's partitions.
+    qualifies. ``now`` names the partition of the run: pass the same for a
+    retry, and the retry replaces what the first attempt wrote.
     """
-    enforce({"raw": p.raw, "transformed": p.transformed.drop("leading"), "mask": p.mask, "data_card": p.card})
     year, month, stamp = W.run_stamp(now)
     out = out_dir.rstrip("/")
     parquet = {"raw": p.raw, "transformed": p.panel, "mask": p.mask, "data_card": p.card, "validation": p.validation}
     if not p.balanced.isEmpty():
         parquet.update({"transformed_balanced": p.panel_balanced, "mask_balanced": p.mask_balanced})
+    enforce({name: df for name, df in parquet.items() if name in CONTRACT_OF}, CONTRACT_OF)
     jobs = [(W.write_parquet, df, f"{out}/{name}") for name, df in parquet.items()]
     jobs.append((W.write_json, p.report, f"{out}/imputation"))
     jobs.append((W.write_json, p.summary, f"{out}/summary"))
@@ -116,10 +125,13 @@ def write_all(p: Prepared, out_dir: str, now: datetime | None = None) -> DataFra
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         for f in [pool.submit(fn, df, path, year, month) for fn, df, path in jobs]:
             f.result()
-    panels = [r[PANEL] for r in p.report.select(PANEL).collect()]  # one row per panel
     spark = p.raw.sparkSession
-    this_run = (F.col("year") == F.lit(year)) & (F.col("month") == F.lit(month)) & F.col(PANEL).isin(panels)
-    written = [(name, spark.read.parquet(f"{out}/{name}").where(this_run).drop("year", "month")) for name in parquet]
-    man = reduce(DataFrame.unionByName, [W.manifest(name, df, stamp, stamp) for name, df in written])
+    panels = p.report.select(F.col(PANEL).alias("_panel"))
+    this_run = (F.col("year") == F.lit(year)) & (F.col("month") == F.lit(month))
+
+    def mine(df: DataFrame) -> DataFrame:
+        return df.where(this_run).join(panels, F.col(PANEL) == F.col("_panel"), "left_semi").drop("year", "month")
+
+    man = reduce(DataFrame.unionByName, [W.manifest(name, mine(spark.read.parquet(f"{out}/{name}")), stamp, stamp) for name in parquet])
     W.write_parquet(man, f"{out}/manifest", year, month)
-    return spark.read.parquet(f"{out}/manifest").where(this_run)
+    return spark.read.parquet(f"{out}/manifest").where(this_run).join(panels, F.col(PANEL) == F.col("_panel"), "left_semi")

@@ -24,7 +24,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("MACROPANEL_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("MACROPANEL_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

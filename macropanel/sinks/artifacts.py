@@ -21,9 +21,19 @@ def run_stamp(now: datetime | None = None) -> tuple[str, str, str]:
     return now.strftime("%Y"), now.strftime("%m"), now.isoformat()
 
 
+#: Series that one task writes of a panel: a large panel is dealt over several files, a small one is one file.
+SERIES_SALTS = 8
+
+
+def _clustered(df: DataFrame) -> DataFrame:
+    """Rows of a panel in few tasks, so that a partition gets few files; a large panel is split by series."""
+    key = [F.pmod(F.xxhash64(SERIES), F.lit(SERIES_SALTS))] if SERIES in df.columns else []
+    return df.repartition(PANEL, *key)
+
+
 def write_parquet(df: DataFrame, path: str, year: str, month: str) -> None:
     (
-        df.withColumn("year", F.lit(year))
+        _clustered(df).withColumn("year", F.lit(year))
         .withColumn("month", F.lit(month))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

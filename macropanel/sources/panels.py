@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from macropanel.model import DATE, PANEL, SERIES, VALUE
+from macropanel.model import DATE, PANEL, SERIES, VALUE, nan_to_null
 from macropanel.session import ensure_checkpoint_dir
 
 
@@ -30,44 +30,38 @@ def facts_to_panel(facts: DataFrame, step: str = "1 MONTH") -> tuple[DataFrame,
 
     The facts are the output of the big scan + aggregate and are tiny next to
     it (months x series), so they are checkpointed once to the session's
-    reliable checkpoint folder: every use below reads them, not the fact
-    tables, and lineage is cut. Each series is expanded over its panel's month
-    range with ``posexplode(sequence(...))``; the panel range and the series
-    rank come from a window over the per-series rows (one row per series).
+    reliable checkpoint folder, and so is the series dimension that is made
+    from them. The spine of each series and its facts go through one exchange
+    by (panel, series) and meet there in an aggregate by date; everything per
+    series that follows stays in that partitioning.
     """
     ensure_checkpoint_dir(facts.sparkSession)
-    facts = facts.checkpoint(eager=True)
-    per_series = facts.groupBy(PANEL, SERIES).agg(F.min(DATE).alias("_lo"), F.max(DATE).alias("_hi"))
-    w = Window.partitionBy(PANEL)
-    series = per_series.select(
-        PANEL,
-        SERIES,
-        F.min("_lo").over(w).alias("_lo"),
-        F.max("_hi").over(w).alias("_hi"),
-        (F.row_number().over(w.orderBy(SERIES)) - 1).cast("int").alias("pos"),
+    facts = nan_to_null(facts).checkpoint(eager=True)
+    bounds = facts.groupBy(PANEL).agg(F.min(DATE).alias("_lo"), F.max(DATE).alias("_hi"))
+    rank = F.row_number().over(Window.partitionBy(PANEL).orderBy(SERIES)) - 1  # over one row per series
+    series = facts.select(PANEL, SERIES).distinct().join(bounds, PANEL)
+    series = series.select(PANEL, SERIES, rank.cast("int").alias("pos"), "_lo", "_hi").checkpoint(eager=True)
+    spine = series.select(
+        PANEL, SERIES, F.posexplode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias("m", DATE), "pos"
     )
-    grid = series.select(
-        PANEL, SERIES, "pos", F.posexplode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias("m", DATE)
-    )
-    cells = grid.join(facts, [PANEL, SERIES, DATE], "left").select(PANEL, SERIES, DATE, VALUE, "pos", F.col("m").cast("int").alias("m"))
-    return cells, series.select(PANEL, SERIES, "pos")
+    spine = spine.select(PANEL, SERIES, DATE, F.col("m").cast("int").alias("m"), "pos", F.lit(None).cast("double").alias(VALUE))
+    seen = facts.select(PANEL, SERIES, DATE, F.lit(None).cast("int").alias("m"), F.lit(None).cast("int").alias("pos"), VALUE)
+    both = spine.unionByName(seen).repartition(PANEL, SERIES)
+    cells = both.groupBy(PANEL, SERIES, DATE).agg(F.max(VALUE).alias(VALUE), F.max("pos").alias("pos"), F.max("m").alias("m")).where("m is not null")
+    return cells.select(PANEL, SERIES, DATE, VALUE, "pos", "m"), series.select(PANEL, SERIES, "pos")
 
 
 def month_brand_facts(lineitem: DataFrame, part: DataFrame, panel_id: str = "brand_revenue") -> DataFrame:
-    """Monthly shipped revenue per part brand.
+    """Monthly shipped revenue per part brand: join, then an aggregate that combines map-side to months x brands.
 
-    lineitem is pre-aggregated by (l_partkey, month) before the join: partial
-    aggregation runs map-side, so a part key that holds a large share of the
-    rows collapses to at most one row per month and task before any shuffle,
-    and the join then sees at most (#months) rows per part key.
+    lineitem is shuffled at most once, for the join, and not at all while part fits the broadcast threshold.
     """
     li = lineitem.select(
         "l_partkey", month_of(F.col("l_shipdate")).alias(DATE), F.col("l_extendedprice").cast("decimal(18,2)").alias("px")
     )
-    pre = li.groupBy("l_partkey", DATE).agg(F.sum("px").alias("px"))
     brands = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias(SERIES))
     return (
-        pre.join(brands, "l_partkey")
+        li.join(brands, "l_partkey")
         .groupBy(DATE, SERIES)
         .agg(F.sum("px").cast("double").alias(VALUE))
         .select(F.lit(panel_id).alias(PANEL), SERIES, DATE, VALUE)
@@ -75,16 +69,15 @@ def month_brand_facts(lineitem: DataFrame, part: DataFrame, panel_id: str = "bra
 
 
 def month_nation_orders(orders: DataFrame, customer: DataFrame, panel_id: str = "nation_orders") -> DataFrame:
-    """Monthly order value per customer nation (pre-aggregated per customer and month)."""
+    """Monthly order value per customer nation: join, then combine map-side."""
     o = orders.select(
         "o_custkey", month_of(F.col("o_orderdate")).alias(DATE), F.col("o_totalprice").cast("decimal(18,2)").alias("px")
     )
-    pre = o.groupBy("o_custkey", DATE).agg(F.sum("px").alias("px"))
     nat = customer.select(
         F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("N"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias(SERIES)
     )
     return (
-        pre.join(nat, "o_custkey")
+        o.join(nat, "o_custkey")
         .groupBy(DATE, SERIES)
         .agg(F.sum("px").cast("double").alias(VALUE))
         .select(F.lit(panel_id).alias(PANEL), SERIES, DATE, VALUE)
@@ -101,55 +94,11 @@ def day_event_values(events: DataFrame, panel_id: str = "event_values") -> DataF
     )
 
 
-def lay_fixture_rules(cells: DataFrame, series: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lay gaps, outliers and tcodes on a dense panel by rule (FIXTURES.md §2).
-
-    ``b`` = series rank in string order within the panel, ``m`` = month index.
-    Returns (panel, series dimension); pure projections, no join.
-    """
-    b = F.col("pos")
-    m = F.col("m")
-    v = F.col(VALUE)
-    value = (
-        F.when((b < 4) & (m < 20), F.lit(None))
-        .when((m * 7 + b * 13) % 29 == 0, F.lit(None))
-        .when((b == 24) & (m % 3 != 0), F.lit(None))
-        .when((b == 5) & (m == 40), v * 1000)
-        .when((b == 10) & (m == 30), -v)
-        .when((b == 6) & (m == 50), F.lit(0.0))
-        .otherwise(v)
-        .cast("double")
-    )
-    tcode = F.when(b == 23, F.lit(None).cast("int")).otherwise((F.lit(1) + b % 7).cast("int"))
-    return cells.select(PANEL, SERIES, DATE, value.alias(VALUE)), series.select(PANEL, SERIES, "pos", tcode.alias("tcode"))
-
-
-def brand_fixture_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The month x brand test panel: (panel, series dimension)."""
-    facts = month_brand_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
-    return lay_fixture_rules(*facts_to_panel(facts))
-
-
-def many_fact_panels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Three panels from three fact tables, prepared together.
-
-    Two monthly panels (brand revenue, nation order value) and one daily panel
-    (event value by type); the same gap/outlier/tcode rules are laid on each
-    panel by series rank.
-    """
-    monthly = month_brand_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part")).unionByName(
-        month_nation_orders(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"))
-    )
-    m_cells, m_series = facts_to_panel(monthly)
-    d_cells, d_series = facts_to_panel(day_event_values(read_table(spark, sf_dir, "events")), step="1 DAY")
-    return lay_fixture_rules(m_cells.unionByName(d_cells), m_series.unionByName(d_series))
-
-
 def unpivot_wide(wide: DataFrame, panel_id: str, series_cols: list[str] | None = None) -> DataFrame:
     """Wide (date + one column per series) -> long panel."""
     cols = series_cols or [c for c in wide.columns if c != DATE]
     long = wide.unpivot([DATE], [F.col(f"`{c}`").cast("double").alias(c) for c in cols], SERIES, VALUE)
-    return long.select(F.lit(panel_id).alias(PANEL), SERIES, DATE, VALUE)
+    return nan_to_null(long.select(F.lit(panel_id).alias(PANEL), SERIES, DATE, VALUE))
 
 
 def to_wide(panel: DataFrame, series_ids: list[str], value_col: str = VALUE) -> DataFrame:

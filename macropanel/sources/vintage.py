@@ -11,6 +11,7 @@ tasks); everything after the line split is columnar Spark SQL.
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,21 +42,32 @@ def vintage_path(base: str, ref: Column, pin: Column | None = None) -> Column:
     return F.concat(F.lit(base.rstrip("/") + "/"), vintage_name(ref, pin), F.lit("-md.csv"))
 
 
-def read_vintage_files(spark: SparkSession, path: str, check_empty: bool = True) -> DataFrame:
-    """``(panel_id, value)``: one row per landed vintage file, whole text.
+def refuse(names: list[str], why: str) -> None:
+    """Raise with every name, if there is one."""
+    if names:
+        raise ValueError(f"{why} ({len(names)}): " + ", ".join(sorted(names)))
+
+
+def read_vintage_files(spark: SparkSession, path: str, vintages: list[str] | None = None) -> DataFrame:
+    """``(panel_id, value)``: one row per landed vintage file, whole text; only ``vintages`` (``YYYY-MM``) if given.
 
     Spark's file sources skip zero-length files, so empty ones are found from
-    the file-system listing (names and sizes only) and raise.
+    the file-system listing (names and sizes only) and raise, as do files whose
+    name names no vintage and vintages that have no file.
     """
-    if check_empty:
-        empty = [f for f, size in _listing(spark, path) if size == 0]
-        if empty:
-            raise ValueError("empty vintage file: " + ", ".join(empty[:5]))
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_path"), "value")
+    named = [(f, re.search(VINTAGE_PATTERN, f), size) for f, size in listing(spark, path)]
+    refuse([f for f, m, _ in named if not m], "file name without a vintage")
+    if vintages is not None:
+        named = [x for x in named if x[1][1] in vintages]
+        refuse(sorted(set(vintages) - {m[1] for _, m, _ in named}), "vintage without a file")
+    refuse([f for f, _, size in named if size == 0], "empty vintage file")
+    if not named:
+        return spark.createDataFrame([], f"{PANEL} string, value string")
+    files = spark.read.text([f for f, _, _ in named], wholetext=True).select(F.col("_metadata.file_path").alias("_path"), "value")
     return files.select(F.regexp_extract("_path", VINTAGE_PATTERN, 1).alias(PANEL), "value")
 
 
-def _listing(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(file, size) of the vintage files under ``path`` (Hadoop FileSystem glob)."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -64,7 +76,7 @@ def _listing(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     for st in fs.globStatus(jpath) or []:
         for f in fs.listStatus(st.getPath()) if st.isDirectory() else [st]:
             name = f.getPath().toString()
-            if f.isFile() and name.endswith("-md.csv"):
+            if f.isFile() and name.endswith(".csv"):
                 found.append((name, f.getLen()))
     return found
 
@@ -95,20 +107,29 @@ def parse_lines(lines: DataFrame, date_floor: date = date(1959, 1, 1)) -> tuple[
     """Lines -> (long panel, series dimension). Rows dated before the floor (or undated) drop."""
     dim = series_dim(lines)
     data = lines.where(F.col("ln") > 1).select(PANEL, "ln", F.split("line", ",").alias("cells"))
+    width = lines.where(F.col("ln") == 0).select(PANEL, F.size(F.split("line", ",")).alias("width"))
     date_text = F.col("cells")[0]
-    dated = data.select(
+    # a cell for every column of the header: a short line's missing cells are null, a long line's extra ones drop
+    dated = data.join(width, PANEL).select(
         PANEL,
         F.to_date(F.when(~date_text.isin(*NULL_TOKENS), date_text), DATE_FORMAT).alias(DATE),
-        F.posexplode("cells").alias("p", "cell"),
+        F.posexplode(F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.get("cells", i))).alias("p", "cell"),
     ).where((F.col("p") > 0) & (F.col(DATE) >= F.lit(date_floor)))
-    value = F.when(~F.col("cell").isin(*NULL_TOKENS), F.col("cell")).cast("double")
+    value = F.nanvl(F.when(~F.col("cell").isin(*NULL_TOKENS), F.col("cell")).cast("double"), F.lit(None).cast("double"))
     cells = dated.select(PANEL, (F.col("p") - 1).cast("int").alias("pos"), DATE, value.alias(VALUE))
     panel = cells.join(dim.select(PANEL, "pos", SERIES), [PANEL, "pos"]).select(PANEL, SERIES, DATE, VALUE)
     return panel, dim
 
 
-def read_vintages(spark: SparkSession, path: str, date_floor: date = date(1959, 1, 1)) -> tuple[DataFrame, DataFrame]:
-    return parse_lines(split_lines(read_vintage_files(spark, path)), date_floor)
+def read_vintages(
+    spark: SparkSession, path: str, date_floor: date = date(1959, 1, 1), ref: date | None = None, pin: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Every landed vintage, or the one that ``ref`` resolves to (the month before it; a ``pin`` wins)."""
+    one = None
+    if ref is not None or pin is not None:
+        at = spark.range(1).select(vintage_name(F.lit(ref or date.today()), F.lit(pin) if pin is not None else None))
+        one = [at.first()[0]]
+    return parse_lines(split_lines(read_vintage_files(spark, path, one)), date_floor)
 
 
 def panel_to_lines(panel: DataFrame, series: DataFrame, date_label: str = "sasdate", code_label: str = "Transform:") -> DataFrame:
@@ -122,7 +143,7 @@ def panel_to_lines(panel: DataFrame, series: DataFrame, date_label: str = "sasda
     codes = hdr.select(
         PANEL, F.lit(1).alias("ln"), F.concat_ws(",", F.lit(code_label), F.transform("s", lambda x: F.coalesce(x["tcode"].cast("string"), F.lit("")))).alias("line")
     )
-    cells = panel.join(F.broadcast(series.select(PANEL, SERIES, "pos")), [PANEL, SERIES])
+    cells = panel.join(series.select(PANEL, SERIES, "pos"), [PANEL, SERIES])
     token = F.element_at(F.array(*[F.lit(t) for t in NULL_TOKENS]), ((F.col("pos") + F.dayofyear(DATE)) % len(NULL_TOKENS) + 1).cast("int"))
     text = F.coalesce(F.col(VALUE).cast("string"), token)
     rows = cells.groupBy(PANEL, DATE).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", text.alias("t")))), lambda x: x["t"]).alias("vals"))

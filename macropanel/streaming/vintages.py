@@ -12,21 +12,25 @@ watermark or state is needed.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from macropanel.model import PANEL, Params
 from macropanel.plans.prepare import prepare, write_all
-from macropanel.sources.vintage import VINTAGE_PATTERN, parse_lines, split_lines
+from macropanel.session import ensure_checkpoint_dir
+from macropanel.sources.vintage import VINTAGE_PATTERN, listing, parse_lines, refuse, split_lines
 
 
 def vintage_files_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*-md.csv")
+    """``(panel_id, path, value)`` per landed file; panel_id is empty where the name names no vintage."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(landing)
-    return files.select(F.regexp_extract(F.col("_metadata.file_path"), VINTAGE_PATTERN, 1).alias(PANEL), "value")
+    return files.select(F.regexp_extract("path", VINTAGE_PATTERN, 1).alias(PANEL), "path", F.col("content").cast("string").alias("value"))
 
 
 def start_vintage_stream(
@@ -36,13 +40,34 @@ def start_vintage_stream(
     checkpoint_location: str,
     params: Params = Params(),
     available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+    started: datetime | None = None,
 ) -> StreamingQuery:
+    """Prepare each newly landed vintage once. A file without a vintage in its name, or without content, fails its batch by name.
+
+    The partition of an epoch is fixed when it is first tried: its time is written next to the stream's
+    checkpoint, so a retry after the end of the month replaces what the first attempt wrote.
+    """
+
+    def stamp(epoch_id: int) -> datetime:
+        path = f"{checkpoint_location.rstrip('/')}-epochs/{epoch_id}"
+        now = (started or datetime.now(tz=timezone.utc)).isoformat()
+        spark.range(1).select(F.lit(now).alias("value")).coalesce(1).write.mode("ignore").text(path)
+        return datetime.fromisoformat(spark.read.text(path).first()["value"])
+
     def process(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
+        now = stamp(epoch_id)
+        # file sources pass over files of no length: those are found in the folder's listing
+        refuse([f for f, size in listing(spark, landing) if size == 0], "empty vintage file")
+        landed = batch.checkpoint(eager=True)  # the files are read once
+        refuse([r["path"] for r in landed.where(F.col(PANEL) == "").select("path").collect()], "file name without a vintage")
+        if landed.isEmpty():
             return
-        panel, series = parse_lines(split_lines(batch), params.date_floor)
-        write_all(prepare(panel, series, params), out_dir)
+        panel, series = parse_lines(split_lines(landed.select(PANEL, "value")), params.date_floor)
+        write_all(prepare(panel, series, params), out_dir, now)
 
-    writer = vintage_files_stream(spark, landing).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
+    ensure_checkpoint_dir(spark)
+    stream = vintage_files_stream(spark, landing, max_files_per_trigger)
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()

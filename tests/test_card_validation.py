@@ -76,40 +76,90 @@ def test_mackinnon_formula_at_critical_values():
     assert A.mackinnon_p(3.0) == 1.0 and A.mackinnon_p(-20.0) == 0.0
 
 
-def test_adf_matches_direct_least_squares(spark):
-    rng = np.random.default_rng(42)
-    cols = {
-        "RW": list(rng.standard_normal(120).cumsum()),
-        "AR": list(np.convolve(rng.standard_normal(120), [1, 0.5, 0.25], mode="same")),
-        "SHORT": [1.0, 2.0, 3.0] + [None] * 117,
-        "CONST": [2.0] * 120,
-    }
-    panel, series = long_panel(spark, cols, month_dates(120))
+def adf_direct(x):
+    """Own direct least squares on one series: (tau, lag, p-value)."""
+    x = np.asarray(x, float)
+    dx, maxlag = np.diff(x), A.maxlag_for(len(x))
+
+    def regression(lag, start):
+        t = np.arange(start, len(dx))
+        xm = np.column_stack([np.ones(len(t)), x[t], *[dx[t - j] for j in range(1, lag + 1)]])
+        scale = np.sqrt((xm**2).sum(axis=0))
+        coef, *_ = np.linalg.lstsq(xm / scale, dx[t], rcond=None)
+        res = dx[t] - xm / scale @ coef
+        return xm / scale, coef, float(res @ res), len(t)
+
+    fits = [regression(p, maxlag) for p in range(maxlag + 1)]
+    lag = int(np.argmin([A.aic(ssr, n, p + 2) for p, (_, _, ssr, n) in enumerate(fits)]))
+    xm, coef, ssr, n = regression(lag, lag)
+    tau = coef[1] / np.sqrt(ssr / (n - lag - 2) * np.linalg.inv(xm.T @ xm)[1, 1])
+    return float(tau), lag, A.mackinnon_p(float(tau))
+
+
+@pytest.fixture(scope="module")
+def shapes():
+    rng = np.random.default_rng(99)
+    ar = [0.0]
+    for e in rng.normal(size=199):
+        ar.append(0.7 * ar[-1] + e)
+    return {"walk": rng.normal(size=200).cumsum() + 40, "ar": np.array(ar), "season": np.sin(np.arange(200) / 3) + rng.normal(scale=0.2, size=200)}
+
+
+@pytest.mark.parametrize("factor", [1e-10, 1e-6, 1.0, 1e6, 1e10])
+def test_adf_does_not_depend_on_the_unit(spark, shapes, factor):
+    panel, _ = long_panel(spark, {k: list(v * factor) for k, v in shapes.items()}, month_dates(200))
     got = {r.series_id: r for r in adf_test(panel).collect()}
-    for sid in ("RW", "AR"):
-        tau, lag, p = A.adf_dense(np.array(cols[sid]))
-        assert got[sid].adf_lag == lag
-        assert got[sid].adf_stat == pytest.approx(tau, rel=1e-7)
-        assert got[sid].adf_pvalue == pytest.approx(p, abs=1e-8)
-    assert "SHORT" not in got
-    v = {r.series_id: r for r in build_validation(panel, series).collect()}
-    assert v["SHORT"].adf_pvalue is None and not v["SHORT"].flag_nonstationary
-    assert v["CONST"].adf_pvalue is None
-    assert v["RW"].adf_pvalue is not None and v["RW"].adf_pvalue == round(got["RW"].adf_pvalue, 4)
-    assert v["RW"].flag_nonstationary == (got["RW"].adf_pvalue >= 0.05)
-
-
-def test_adf_present_for_50_point_walk(spark):
-    vals = list(np.random.default_rng(42).standard_normal(50).cumsum())
-    panel, series = long_panel(spark, {"Y": vals}, month_dates(50))
-    assert build_validation(panel, series).first().adf_pvalue is not None
+    for name, x in shapes.items():
+        tau, lag, p = adf_direct(x)
+        assert (got[name].adf_lag, got[name].adf_status) == (lag, "ok")
+        assert got[name].adf_stat == pytest.approx(tau, rel=1e-6) and got[name].adf_pvalue == pytest.approx(p, abs=1e-7)
+
+
+def test_adf_of_short_and_long_series_in_one_run(spark, shapes):
+    """A series of 4,000 days beside monthly ones: each has its own maximum lag, and batches are merged."""
+    rng = np.random.default_rng(5)
+    days = np.arange(np.datetime64("1990-01-01"), np.datetime64("1990-01-01") + 4000).tolist()
+    long_one = rng.normal(size=4000).cumsum()
+    a, _ = long_panel(spark, {"days": list(long_one)}, days, "d")
+    b, _ = long_panel(spark, {k: list(v) for k, v in shapes.items()}, month_dates(200), "m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        got = {r.series_id: r for r in adf_test(a.unionByName(b)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for name, x in {**shapes, "days": long_one}.items():
+        tau, lag, p = adf_direct(x)
+        assert got[name].adf_lag == lag and got[name].adf_stat == pytest.approx(tau, rel=1e-6) and got[name].adf_pvalue == pytest.approx(p, abs=1e-7)
+
+
+def test_adf_tells_why_there_is_no_statistic(spark):
+    nan, inf = float("nan"), float("inf")
+    cols = {"few": [1.0, 5.0, 2.0] + [None] * 37, "flat": [8.0] * 40, "line": [float(i) for i in range(40)], "inf": [inf] * 36 + [1.0, 2.0, 4.0, 3.0], "nan": [nan] * 40}
+    panel, series = long_panel(spark, cols, month_dates(40))
+    got = {r.series_id: r for r in adf_test(panel).collect()}
+    assert {k: r.adf_status for k, r in got.items()} == {"few": "short", "flat": "constant", "line": "degenerate", "inf": "short", "nan": "short"}
+    assert all(r.adf_stat is None and r.adf_pvalue is None for r in got.values())
+    v = build_validation(panel, series).orderBy("pos").collect()
+    assert [r.series_id for r in v] == list(cols) and not any(r.flag_nonstationary for r in v)
+
+
+def test_one_factor_holds_every_lag(shapes):
+    x = shapes["walk"]
+    dx, m = np.diff(x), 6
+    t = np.arange(m, len(dx))
+    lags = np.column_stack([dx[t - j] for j in range(1, m + 1)])
+    a, b, c, n = A.sums_of(x[t], dx[t], lags)
+    unit, rhs, _ = A._scaled(a, b)
+    w = A._forward(*A.cholesky(unit), rhs)
+    for p in range(m + 1):
+        xm = np.column_stack([np.ones(len(t)), x[t], lags[:, :p]])
+        _, ssr, *_ = np.linalg.lstsq(xm, dx[t], rcond=None)
+        assert c - (w[: p + 2] ** 2).sum() == pytest.approx(float(ssr[0]), rel=1e-9)
 
 
 def test_validation_skips_unknown_ids(spark):
     panel, series = long_panel(spark, {"A": [1.0, 2.0, 3.0]}, month_dates(3))
-    from conftest import long_panel as lp
-
-    _, more = lp(spark, {"A": [1.0], "NONEXISTENT": [1.0]}, month_dates(1))
+    _, more = long_panel(spark, {"A": [1.0], "NONEXISTENT": [1.0]}, month_dates(1))
     rows = build_validation(panel, more).collect()
     assert [r.series_id for r in rows] == ["A"]
 
@@ -127,6 +177,14 @@ def test_df_lag0_matches_numpy(spark):
     assert got == pytest.approx(coef[1] / math.sqrt(cov[1, 1]), abs=2e-6)
 
 
+def test_callers_own_selection_is_told_apart(spark):
+    panel, series = long_panel(spark, {"A": [1.0, 2.0], "B": [1.0, None], "C": [3.0, 4.0]}, month_dates(2))
+    pick = lambda *ids: series.where(series.series_id.isin(*ids))
+    card = {r.series_id: r for r in C.build_data_card(panel, series, kept=pick("A"), dropped=pick("B")).collect()}
+    assert [(card[s].kept, card[s].drop_reason) for s in "ABC"] == [(True, None), (False, "missing_frac>0.5"), (False, "not_in_panel")]
+    assert [card[s].pos for s in "ABC"] == [0, 1, 2]
+
+
 def test_card_requires_date(spark):
     panel, series = long_panel(spark, {"A": [1.0, 2.0]}, month_dates(2))
     with pytest.raises(ValueError, match="date"):

@@ -6,101 +6,107 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SAMPLE_CSV
+from conftest import CODES, HEADER, long_panel, month_dates, vintage_rows, vintage_text
 from macropanel.sources import vintage as V
+from macropanel.sources.panels import facts_to_panel, to_wide, unpivot_wide
 
 
-def lines_df(spark, text: str, vintage: str = "1990-06"):
+def lines_df(spark, text: str, vintage: str = "1985-12"):
     return V.split_lines(spark.createDataFrame([(vintage, text)], "panel_id string, value string"))
 
 
-def test_vintage_name_previous_month(spark):
-    df = spark.createDataFrame([(date(2024, 3, 15),), (date(2024, 1, 5),)], "ref date")
-    got = [r[0] for r in df.select(V.vintage_name(F.col("ref"))).collect()]
-    assert got == ["2024-02", "2023-12"]  # January wraps to December of the prior year
+def cells(panel):
+    return {(r.series_id, r.date): r.value for r in panel.collect()}
 
 
-def test_vintage_name_pin_wins_and_is_padded(spark):
-    df = spark.createDataFrame([(date(2024, 3, 15), "2021-7"), (date(2024, 3, 15), None)], "ref date, pin string")
-    got = [r[0] for r in df.select(V.vintage_name(F.col("ref"), F.col("pin"))).collect()]
-    assert got == ["2021-07", "2024-02"]
-    path = df.select(V.vintage_path("/base/", F.col("ref"))).first()[0]
-    assert path == "/base/2024-02-md.csv"
+def land(folder: str, files: dict[str, str]) -> str:
+    os.makedirs(folder, exist_ok=True)
+    for name, text in files.items():
+        with open(os.path.join(folder, name), "w", newline="") as f:
+            f.write(text)
+    return folder
 
 
-def test_parse_sample_vintage(spark):
-    panel, dim = V.parse_lines(lines_df(spark, SAMPLE_CSV))
-    codes = {r.series_id: r.tcode for r in dim.collect()}
-    assert codes == {"SERIES1": 1, "SERIES2": 5, "SERIES3": 2}
-    assert [r.series_id for r in dim.orderBy("pos").collect()] == ["SERIES1", "SERIES2", "SERIES3"]
-    assert panel.select("date").distinct().count() == 5  # tcode row is not data
-    assert dict(panel.dtypes)["date"] == "date"
-    s2 = [r.value for r in panel.where("series_id = 'SERIES2'").orderBy("date").collect()]
-    assert s2 == [200.0, 202.0, 205.0, 207.0, 210.0]
+@pytest.mark.parametrize(("ref", "pin", "want"), [(date(2011, 8, 31), None, "2011-07"), (date(2012, 1, 1), None, "2011-12"), (date(2012, 3, 30), " ", "2012-02"), (date(2012, 3, 30), "1999-4", "1999-04")])
+def test_vintage_of_a_day(spark, ref, pin, want):
+    df = spark.createDataFrame([(ref, pin)], "ref date, pin string")
+    assert df.select(V.vintage_name(F.col("ref"), F.col("pin")), V.vintage_path("gs://x/", F.col("ref"), F.col("pin"))).first()[:] == (want, f"gs://x/{want}-md.csv")
 
 
-def test_date_floor(spark):
-    text = "sasdate,X\ntcode,1\n1/1/1958,99.0\n1/1/1959,100.0\n2/1/1959,101.0"
-    panel, _ = V.parse_lines(lines_df(spark, text))
-    rows = panel.orderBy("date").collect()
-    assert len(rows) == 2 and rows[0].date == date(1959, 1, 1)
+def test_published_file_parses_to_its_numbers(spark):
+    panel, dim = V.parse_lines(lines_df(spark, vintage_text()))
+    assert [(r.series_id, r.tcode) for r in dim.orderBy("pos").collect()] == [(h, CODES[h]) for h in HEADER]
+    days = month_dates(9, date(1985, 3, 1))
+    assert cells(panel) == {(h, d): v for h, vs in vintage_rows().items() for d, v in zip(days, vs, strict=True)}
 
 
-def test_null_tokens_crlf_label_and_blank_lines(spark):
-    text = "sasdate,A,B,S&P 500\r\nTransform:,2,,5.0\r\n1/1/1990,.,NaN,1\r\n02/01/1990,,2,3\r\n\r\n"
+def test_rows_before_the_floor_go(spark):
+    panel, _ = V.parse_lines(lines_df(spark, vintage_text()), date_floor=date(1985, 8, 1))
+    assert sorted({d for _, d in cells(panel)}) == [date(1985, m, 1) for m in (8, 9, 10, 11)]
+
+
+def test_short_and_long_lines_give_a_cell_for_every_column(spark):
+    text = "d,A,B,C\nt,2\n4/1/2001,1\n5/1/2001,1,2,3,4,5\n6/1/2001,,NaN,.\n,9,9,9\n"
     panel, dim = V.parse_lines(lines_df(spark, text))
-    codes = {r.series_id: r.tcode for r in dim.collect()}
-    assert codes == {"A": 2, "B": None, "S&P 500": 5}
-    vals = {(r.series_id, r.date.month): r.value for r in panel.collect()}
-    assert vals[("A", 1)] is None and vals[("B", 1)] is None and vals[("A", 2)] is None
-    assert vals[("S&P 500", 2)] == 3.0
-    assert panel.select("date").distinct().count() == 2  # blank trailing lines drop out
-
-
-def test_short_tcode_line_leaves_rest_null(spark):
-    _, dim = V.parse_lines(lines_df(spark, "sasdate,A,B\ntcode,4\n1/1/1990,1,2"))
-    assert {r.series_id: r.tcode for r in dim.collect()} == {"A": 4, "B": None}
-
-
-def test_read_files_and_empty_file_raises(spark, tmp_dir):
-    with open(os.path.join(tmp_dir, "1990-06-md.csv"), "w") as f:
-        f.write(SAMPLE_CSV)
-    panel, dim = V.read_vintages(spark, tmp_dir)
-    assert {r.panel_id for r in dim.collect()} == {"1990-06"}
-    assert panel.count() == 15
-    empty = os.path.join(tmp_dir, "empty")
-    os.makedirs(empty)
-    open(os.path.join(empty, "1990-07-md.csv"), "w").close()
-    with pytest.raises(ValueError, match="empty vintage"):
-        V.read_vintages(spark, empty)
-    with pytest.raises(Exception, match="empty vintage"):
-        V.split_lines(spark.createDataFrame([("1990-07", "")], "panel_id string, value string")).collect()
+    got = cells(panel)
+    assert len(got) == 9 and [got[(s, date(2001, 4, 1))] for s in "ABC"] == [1.0, None, None]
+    assert [got[(s, date(2001, 5, 1))] for s in "ABC"] == [1.0, 2.0, 3.0]
+    assert [got[(s, date(2001, 6, 1))] for s in "ABC"] == [None] * 3
+    assert {r.series_id: r.tcode for r in dim.collect()} == {"A": 2, "B": None, "C": None}
 
 
-def test_malformed_number_raises(spark):
-    panel, _ = V.parse_lines(lines_df(spark, "sasdate,A\ntcode,1\n1/1/1990,abc"))
-    with pytest.raises(Exception):
+def test_words_for_numbers_fail(spark):
+    panel, _ = V.parse_lines(lines_df(spark, "d,A\nt,1\n4/1/2001,many\n"))
+    with pytest.raises(Exception, match="many"):
         panel.collect()
 
 
-def test_round_trip_through_lines(spark):
-    from conftest import long_panel, month_dates
+def test_landing_folder(spark, tmp_dir):
+    folder = land(os.path.join(tmp_dir, "in"), {"1985-11-md.csv": vintage_text(8), "1985-12-md.csv": vintage_text(9)})
+    panel, dim = V.read_vintages(spark, folder)
+    assert {r.panel_id: r.n for r in panel.groupBy("panel_id").agg(F.count("*").alias("n")).collect()} == {"1985-11": 24, "1985-12": 27}
+    assert dim.count() == 6
+    resolved, _ = V.read_vintages(spark, folder, ref=date(1985, 12, 24))
+    assert {r.panel_id for r in resolved.collect()} == {"1985-11"}
+    pinned, _ = V.read_vintages(spark, folder, ref=date(1985, 12, 24), pin="1985-12")
+    assert pinned.count() == 27
+    with pytest.raises(ValueError, match="vintage without a file.*2004-02"):
+        V.read_vintages(spark, folder, ref=date(2004, 3, 1))
+
+
+def test_every_bad_file_is_named(spark, tmp_dir):
+    empties = [f"1986-{m:02d}-md.csv" for m in range(1, 9)]
+    folder = land(os.path.join(tmp_dir, "in"), {"1985-11-md.csv": vintage_text(3)} | dict.fromkeys(empties, ""))
+    with pytest.raises(ValueError) as e:
+        V.read_vintages(spark, folder)
+    assert all(n in str(e.value) for n in empties)
+    odd = land(os.path.join(tmp_dir, "odd"), {"notes.csv": "x"})
+    with pytest.raises(ValueError, match="without a vintage.*notes.csv"):
+        V.read_vintages(spark, odd)
+    with pytest.raises(Exception, match="empty vintage"):
+        lines_df(spark, "").collect()
+
 
+def test_panel_to_lines_and_back(spark):
     panel, series = long_panel(spark, {"A": [1.5, None, 3.25], "B": [None, 2e7, 1e-3]}, month_dates(3), "v1", {"A": 2})
     back, dim = V.parse_lines(V.panel_to_lines(panel, series))
     assert sorted(back.collect()) == sorted(panel.collect())
     assert {r.series_id: r.tcode for r in dim.collect()} == {"A": 2, "B": None}
 
 
-def test_unpivot_and_wide_export_round_trip(spark):
-    from macropanel.sources.panels import to_wide, unpivot_wide
-
-    wide_df = spark.createDataFrame(
-        [(date(1990, 1, 1), 1.0, None), (date(1990, 2, 1), 2.0, 5.0)], "date date, `S&P 500` double, `b.c` double"
-    )
-    long = unpivot_wide(wide_df, "w")
-    assert long.count() == 4 and {r.series_id for r in long.collect()} == {"S&P 500", "b.c"}
-    back = to_wide(long, ["S&P 500", "b.c"])
-    assert [tuple(r)[2:] for r in back.collect()] == [(1.0, None), (2.0, 5.0)]
+def test_wide_and_back(spark):
+    frame = spark.createDataFrame([(date(2003, 5, 1), 4.0, None, float("nan")), (date(2003, 6, 1), 8.5, 5.0, 1.0)], "date date, `a b` double, `c.d` double, e double")
+    long = unpivot_wide(frame, "w")
+    assert long.count() == 6 and long.where("value is null").count() == 2  # NaN is missing
+    assert [tuple(r)[2:] for r in to_wide(long, ["a b", "c.d", "e"]).collect()] == [(4.0, None, None), (8.5, 5.0, 1.0)]
     with pytest.raises(ValueError, match="case"):
-        to_wide(long, ["AB", "ab"])
+        to_wide(long, ["Ab", "aB"])
+
+
+def test_spine_is_dense_and_keeps_every_fact(spark):
+    facts = [("p", "x", date(2000, 1, 1), 1.0), ("p", "x", date(2000, 4, 1), float("nan")), ("p", "y", date(2000, 6, 1), 2.0), ("q", "x", date(1999, 12, 1), 3.0)]
+    panel, series = facts_to_panel(spark.createDataFrame(facts, "panel_id string, series_id string, date date, value double"))
+    rows = panel.collect()
+    assert sorted((r.panel_id, r.series_id, r.date, r.m) for r in rows) == sorted([("p", s, date(2000, m, 1), m - 1) for s in "xy" for m in range(1, 7)] + [("q", "x", date(1999, 12, 1), 0)])
+    assert {(r.panel_id, r.series_id, r.date.month): r.value for r in rows if r.value is not None} == {("p", "x", 1): 1.0, ("p", "y", 6): 2.0, ("q", "x", 12): 3.0}
+    assert sorted(map(tuple, series.collect())) == [("p", "x", 0), ("p", "y", 1), ("q", "x", 0)]
