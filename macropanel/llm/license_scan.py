@@ -1,9 +1,9 @@
 """License scans: fuzzy search for short notices, with pigeonhole-split exact seeds and verified edits.
 
 A text becomes its lower-case words joined by single spaces. A notice that may differ in k edits is split into
-k + 1 seeds; wherever the notice occurs with at most k edits, one seed occurs as it is. An automaton finds all
-seeds in one pass; around each the regex library's bounded-error matching verifies the notice and reports span
-and edits. Base phrases are counted exactly, at every place where their words stand one after another.
+2k + 1 seeds; wherever the notice occurs with at most k edits, k + 1 of them occur as they are, each at most k
+characters off its place. An automaton finds all seeds in one pass; where enough of a notice's seeds lie
+together, the regex library's bounded-error matching verifies the notice and reports span and edits. Base phrases are counted exactly, at every place where their words stand one after another.
 
 Defined results: null and empty texts have no words, no places and no labels (empty strings, score 0, null
 first_word and last_word); places may overlap and are all counted; rows are judged one by one, so repeated
@@ -12,6 +12,8 @@ rows repeat their result; an empty table gives an empty result; only doc_id and
 
 from __future__ import annotations
 
+from collections import Counter
+
 import ahocorasick
 import pyarrow as pa
 import regex
@@ -50,8 +52,8 @@ TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 
 
 def seeds(notice: str, edits: int) -> list[tuple[int, str]]:
-    """The notice cut into edits + 1 seeds of nearly equal length: (place in the notice, seed)."""
-    n = edits + 1
+    """The notice cut into 2 * edits + 1 seeds of nearly equal length: (place in the notice, seed)."""
+    n = 2 * edits + 1
     at = [len(notice) * k // n for k in range(n + 1)]
     return [(a, notice[a:b]) for a, b in zip(at, at[1:], strict=False)]
 
@@ -63,30 +65,48 @@ class Scanner:
         for label, texts in notices.items():
             for notice in texts:
                 k = len(notice) // chars_per_edit
-                for at, seed in seeds(notice, k):
-                    found.setdefault(seed, []).append((len(self.notices), at))
+                for piece, (at, seed) in enumerate(seeds(notice, k)):
+                    found.setdefault(seed, []).append((len(self.notices), piece, at))
                 self.notices.append((label, notice, k, regex.compile(rf"(?e)(?:{regex.escape(notice, literal_spaces=True)}){{e<={k}}}")))
         self.automaton = ahocorasick.Automaton()
         for seed, uses in found.items():
             self.automaton.add_word(seed, (len(seed), uses))
         self.automaton.make_automaton()
 
-    def fuzzy(self, joined: str) -> list[tuple]:
-        """(label, start, end, edits, length of the notice) in ``joined``; the windows of a notice's seeds that overlap are searched as one."""
-        windows: dict[int, list[list[int]]] = {}
+    def regions(self, joined: str) -> dict[int, list[list[int]]]:
+        """By notice, where k + 1 of its seeds stand in an order and at distances that k edits can explain; overlapping ones as one."""
+        hits: dict[int, list[tuple[int, int]]] = {}
         for end, (size, uses) in self.automaton.iter(joined):
-            for which, at in uses:
-                _, notice, k, _ = self.notices[which]
-                a = end + 1 - size - at
-                lo, hi = max(0, a - k), min(len(joined), a + len(notice) + k)
-                of = windows.setdefault(which, [])
-                if of and lo <= of[-1][1]:
-                    of[-1][1] = max(of[-1][1], hi)
-                    of[-1][0] = min(of[-1][0], lo)
-                else:
-                    of.append([lo, hi])
+            for which, piece, at in uses:
+                hits.setdefault(which, []).append((end + 1 - size - at, piece))
+        out = {}
+        for which, starts in hits.items():
+            _, notice, k, _ = self.notices[which]
+            if len(starts) <= k:
+                continue
+            starts.sort()
+            of, low, held = [], 0, Counter()
+            for start, piece in starts:
+                held[piece] += 1
+                while starts[low][0] < start - 2 * k:
+                    held[starts[low][1]] -= 1
+                    if not held[starts[low][1]]:
+                        del held[starts[low][1]]
+                    low += 1
+                if len(held) > k:
+                    lo, hi = max(0, starts[low][0] - k), min(len(joined), start + len(notice) + 2 * k)
+                    if of and lo <= of[-1][1]:
+                        of[-1][1] = max(of[-1][1], hi)
+                    else:
+                        of.append([lo, hi])
+            if of:
+                out[which] = of
+        return out
+
+    def fuzzy(self, joined: str) -> list[tuple]:
+        """(label, start, end, edits, length of the notice) in ``joined``."""
         spans = []
-        for which, of in windows.items():
+        for which, of in self.regions(joined).items():
             label, notice, _, pattern = self.notices[which]
             for lo, hi in of:
                 spans += [(label, m.start(), m.end(), sum(m.fuzzy_counts), len(notice)) for m in pattern.finditer(joined, lo, hi)]
