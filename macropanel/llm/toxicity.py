@@ -17,7 +17,6 @@ toxic if one of them says so; null labels are no labels; without labels of both
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from macropanel.llm.common import Scratch
 from macropanel.llm.license_scan import TABLE
 
 GRADES = 3
@@ -61,44 +61,20 @@ class Model:
         return 1.0 / (1.0 + np.exp(np.clip(self.cuts - score, -50, 50)))
 
 
-def _odds(toxic: np.ndarray, sets: list[set[bytes]]) -> dict[bytes, tuple[float, float]]:
-    """Of every feature that is not too rare: its log odds between the classes, and its likelihood ratio against chance."""
-    df1, df0 = Counter(), Counter()
-    for t, s in zip(toxic, sets, strict=True):
-        (df1 if t else df0).update(s)
-    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
-    out, least = {}, max(MIN_TEXTS, MIN_SHARE * n1)
-    for w in df1.keys() | df0.keys():
-        a, b = df1[w], df0[w]
-        if a + b >= least:
-            odds = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
-            share = (a + b) / (n1 + n0)
-            out[w] = odds, 2 * ((a and a * np.log(a / (n1 * share))) + (b and b * np.log(b / (n0 * share))))
-    return out
-
-
-def grades(toxic: np.ndarray, sets: list[set[bytes]], telling_at: float = TELLING) -> np.ndarray:
-    """0 for the clean, 1 to GRADES for the toxic by how many telling features they have."""
-    telling = {w for w, (odds, g) in _odds(toxic, sets).items() if odds > telling_at and g >= SIGNIFICANT}
-    n = np.array([len(s & telling) for s in sets])
-    at = np.quantile(n[toxic == 1], [k / GRADES for k in range(1, GRADES)])
-    return np.where(toxic == 1, 1 + (n[:, None] > at[None, :]).sum(axis=1), 0)
-
-
-def vocabulary(toxic: np.ndarray, sets: list[set[bytes]], most: int = MAX_VOCABULARY) -> list[bytes]:
-    """The features whose log odds between the classes are significant, the most significant first."""
-    size = {w: g for w, (_, g) in _odds(toxic, sets).items() if g >= SIGNIFICANT}
-    return sorted(size, key=lambda w: (-size[w], w))[:most]
-
-
-def fit(sets: list[set[bytes]], toxic: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, l2: float = L2) -> Model:
-    """Maximum likelihood by Adam on the binary splits y >= k, which share w; cut points stay in order."""
-    y = grades(toxic, sets)
-    vocab = vocabulary(toxic, sets)
-    index = {w: i for i, w in enumerate(vocab)}
-    cols = [np.array(sorted(index[w] for w in s if w in index), np.int64) for s in sets]
-    row = np.repeat(np.arange(len(sets)), [len(c) for c in cols])
-    col = np.concatenate(cols) if len(row) else np.zeros(0, np.int64)
+def grades(toxic: np.ndarray, telling: np.ndarray) -> np.ndarray:
+    """0 for the clean, 1 to GRADES for the toxic by their number of telling features."""
+    at = np.quantile(telling[toxic == 1], [k / GRADES for k in range(1, GRADES)])
+    return np.where(toxic == 1, 1 + (telling[:, None] > at[None, :]).sum(axis=1), 0)
+
+
+def fit(found: list[list[int]], toxic: np.ndarray, vocab: list[bytes], odds: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, l2: float = L2) -> Model:
+    """Maximum likelihood by Adam on the binary splits y >= k, which share w; cut points stay in order.
+
+    ``found``: per text the places of its features in ``vocab``; ``odds``: the features' log odds.
+    """
+    sizes = [len(f) for f in found]
+    row, col = np.repeat(np.arange(len(found)), sizes), np.array([j for f in found for j in f], np.int64)
+    y = grades(toxic, np.bincount(row, weights=odds[col] > TELLING, minlength=len(found)))
     target = (y[:, None] >= np.arange(1, GRADES + 1)[None, :]).astype(float)
     w, gap = np.zeros(len(vocab)), np.array([1.0] + [0.0] * (GRADES - 1))  # cuts = first, then steps of exp(gap)
     p, m, v = np.concatenate((w, gap)), 0.0, 0.0
@@ -106,10 +82,10 @@ def fit(sets: list[set[bytes]], toxic: np.ndarray, epochs: int = EPOCHS, rate: f
     for t in range(1, epochs + 1):
         steps = np.exp(p[n + 1 :])
         cuts = p[n] + np.concatenate(([0.0], np.cumsum(steps)))
-        z = np.bincount(row, weights=p[col], minlength=len(sets))
+        z = np.bincount(row, weights=p[col], minlength=len(found))
         err = 1.0 / (1.0 + np.exp(np.clip(cuts[None, :] - z[:, None], -50, 50))) - target
         by_cut = -err.mean(axis=0)
-        g = np.concatenate((np.bincount(col, weights=err.sum(axis=1)[row], minlength=n) / len(sets) + l2 * p[:n], [by_cut.sum()], steps * np.cumsum(by_cut[::-1])[::-1][1:]))
+        g = np.concatenate((np.bincount(col, weights=err.sum(axis=1)[row], minlength=n) / len(found) + l2 * p[:n], [by_cut.sum()], steps * np.cumsum(by_cut[::-1])[::-1][1:]))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     cuts = p[n] + np.concatenate(([0.0], np.cumsum(np.exp(p[n + 1 :]))))
@@ -117,7 +93,7 @@ def fit(sets: list[set[bytes]], toxic: np.ndarray, epochs: int = EPOCHS, rate: f
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
-    """doc_id, toxic, words (distinct): at most half of ``max_fit_rows`` documents of each class, those of the smallest hash."""
+    """doc_id, toxic, words (distinct features): at most half of ``max_fit_rows`` documents of each class, those of the smallest hash."""
     order = F.xxhash64("doc_id", F.lit("fit"))
     one = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     picked = one.where("toxic = 1").orderBy(order, "doc_id").limit(max_fit_rows // 2).union(one.where("toxic = 0").orderBy(order, "doc_id").limit(max_fit_rows // 2))
@@ -125,18 +101,42 @@ def sample(docs: DataFrame, labels: DataFrame, max_fit_rows: int = MAX_FIT_ROWS)
 
     def kernel(batches):
         for batch in batches:
-            sets = [sorted(features(t.as_py())) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sets, pa.list_(pa.binary()))], names=["doc_id", "toxic", "words"])
+            for a in range(0, batch.num_rows, 200):
+                part = batch.slice(a, 200)
+                sets = [sorted(features(t.as_py())) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sets, pa.list_(pa.binary()))], names=["doc_id", "toxic", "words"])
 
     return texts.select("doc_id", "text", "toxic").mapInArrow(kernel, "doc_id long, toxic int, words array<binary>")
 
 
+def vocabulary(sampled: DataFrame, n1: int, n0: int, most: int = MAX_VOCABULARY) -> list[tuple[bytes, float]]:
+    """(feature, log odds) of the features whose likelihood ratio against chance is significant, the most significant first."""
+    df = sampled.select("toxic", F.explode("words").alias("w")).groupBy("w").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    df = df.where(F.col("a") + F.col("b") >= F.lit(max(MIN_TEXTS, MIN_SHARE * n1)))
+    odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
+    share = (F.col("a") + F.col("b")) / F.lit(float(n1 + n0))
+    term = lambda c, n: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (n * share))).otherwise(0.0)
+    df = df.select("w", odds.alias("odds"), (2 * (term("a", n1) + term("b", n0))).alias("g")).where(F.col("g") >= SIGNIFICANT)
+    return [(bytes(r["w"]), r["odds"]) for r in df.orderBy(F.desc("g"), "w").limit(most).collect()]
+
+
 def train(docs: DataFrame, labels: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model | None:
-    rows = sorted(((r["doc_id"], r["toxic"], r["words"]) for r in sample(docs, labels, max_fit_rows).toLocalIterator()), key=lambda r: r[0])
-    toxic = np.array([r[1] for r in rows], np.int64)
-    if not len(toxic) or toxic.min() == toxic.max():
+    """The model, or None without labels of both classes. The driver gets the vocabulary and its places in the sample only."""
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sampled = scratch.save(sample(docs, labels, max_fit_rows), "sample")
+    n = {r["toxic"]: r["count"] for r in sampled.groupBy("toxic").count().collect()}
+    if not n.get(1) or not n.get(0):
         return None
-    return fit([set(map(bytes, r[2])) for r in rows], toxic)
+    vocab = vocabulary(sampled, n[1], n[0])
+    place = {w: i for i, (w, _) in enumerate(vocab)}
+
+    def kernel(batches):
+        for batch in batches:
+            found = [[place[w] for w in (x.as_py() for x in words) if w in place] for words in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "toxic", "found"])
+
+    rows = sorted(map(tuple, sampled.mapInArrow(kernel, "doc_id long, toxic int, found array<int>").collect()))
+    return fit([r[2] for r in rows], np.array([r[1] for r in rows]), [w for w, _ in vocab], np.array([o for _, o in vocab]))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -187,19 +187,26 @@ def test_toxicity_on_held_out_labels(spark):
 
 def test_cumulative_link_learns_an_order():
     rng = np.random.default_rng(0)
-    bad = [f"bad{i}".encode() for i in range(12)]
-    good = [f"word{i}".encode() for i in range(200)]
-    sets, toxic = [], []
+    bad, good = list(range(12)), list(range(12, 200))
+    vocab, odds = [f"w{i}".encode() for i in range(200)], np.array([5.0] * 12 + [0.0] * 188)
+    found, toxic = [], []
     for i in range(600):
         n = int(rng.integers(1, 10)) if i % 2 else 0
-        sets.append({*rng.choice(good, 30).tolist(), *rng.choice(bad, n, replace=False).tolist()} if n else set(rng.choice(good, 30).tolist()))
+        found.append([*rng.choice(good, 30, replace=False).tolist(), *rng.choice(bad, n, replace=False).tolist()])
         toxic.append(i % 2)
-    m = toxicity.fit(sets, np.array(toxic))
+    m = toxicity.fit(found, np.array(toxic), vocab, odds)
     assert (np.diff(m.cuts) > 0).all()
-    e = [m.severity(set(bad[:n])).sum() for n in (0, 1, 4, 9)]
+    e = [m.severity({vocab[j] for j in bad[:n]}).sum() for n in (0, 1, 4, 9)]
     assert e == sorted(e) and e[0] < 0.5 and e[-1] > 2
 
 
+def test_vocabulary_counts_over_the_whole_sample(spark):
+    rows = [(i, i % 2, [b"both", b"bad" if i % 2 else b"good", b"x%d" % i]) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, toxic int, words array<binary>")
+    got = dict(toxicity.vocabulary(df, 100, 100))
+    assert set(got) == {b"bad", b"good"} and got[b"bad"] == pytest.approx(np.log(100.5 / 101) - np.log(0.5 / 101)) and got[b"good"] < 0
+
+
 def test_toxicity_edge_rows(spark):
     docs = table(spark, ["fine words", None, ""], [1, 1, None]).withColumn("toxic", F.lit("clash"))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
