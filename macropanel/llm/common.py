@@ -46,13 +46,13 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.col(text).cast("string").isNull(), whole(text))
 
 
-def chunks(items: list, sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Slices [a, b) of ``items`` whose sizes sum to about ``most``; a larger item is a slice of its own."""
+def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Slices [a, b) of items whose sizes sum to about ``most``; a larger item is a slice of its own."""
     a, held = 0, 0
     for b, n in enumerate(sizes):
         if b > a and held + n > most:
             yield a, b
             a, held = b, 0
         held += n
-    if a < len(items):
-        yield a, len(items)
+    if a < len(sizes):
+        yield a, len(sizes)

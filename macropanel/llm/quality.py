@@ -19,6 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +43,8 @@ BANDS = {
 }
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-STEP_CHARS = 4_000_000
+#: Bytes of text that the kernel takes out of Arrow at a time.
+STEP_BYTES = 1_500_000
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -168,9 +170,8 @@ def measures(docs: DataFrame, bands: dict = BANDS, vocab_dir: str | None = None,
         vocabs = vocabularies(vocab_dir)
         for batch in batches:
             text, lang = batch.column(1), batch.column(2)
-            texts, langs = [t or "" for t in text.to_pylist()], lang.to_pylist()
-            for a, b in chunks(texts, [len(t) for t in texts], STEP_CHARS):
-                m = _measure(texts[a:b], langs[a:b], vocabs, bands)
+            for a, b in chunks(pc.fill_null(pc.binary_length(text), 0).to_pylist(), STEP_BYTES):
+                m = _measure([t or "" for t in text[a:b].to_pylist()], lang[a:b].to_pylist(), vocabs, bands)
                 cols = [batch.column(0)[a:b]] + [pa.array(np.asarray(m[c], np.int64)) for c in MEASURES] + [pa.array(np.asarray(m[c], np.float64)) for c in FERTILITY]
                 cols += [pa.array(np.asarray(m["n_tokens"], np.int64)), pa.array(m["band"], pa.string())]
                 names = ["doc_id", *MEASURES, *FERTILITY, "n_tokens", "band"]
