@@ -93,8 +93,8 @@ class Params:
     outlier_k: float = 10.0
     date_floor: date = date(1959, 1, 1)
     pipeline_version: str = "v2"
-    # incomplete rows per task in the executor-side EM (a panel with more is split by salt)
-    rows_per_task: int = 200_000
+    # cells of a panel's incomplete rows that one EM task holds; a panel with more is dealt over several
+    cells_per_task: int = 4_000_000
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

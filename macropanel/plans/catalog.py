@@ -238,13 +238,22 @@ def q_em_pca_impute(spark, sf):
     return _em(spark, sf).imputed
 
 
-def q_em_rank1_refill(spark, sf):
+def _rank1(spark, sf, **params):
     """One EM step with one factor: what SQL can follow by power iteration."""
     t, series = transformed(spark, sf)
-    one = FA.em_impute(t, series, P_.with_(k=1, max_iter=1)).imputed
+    one = FA.em_impute(t, series, P_.with_(k=1, max_iter=1, **params)).imputed
     return one.select(PANEL, SERIES, DATE, "imputed", r6(VALUE).alias(VALUE))
 
 
+def q_em_rank1_refill(spark, sf):
+    return _rank1(spark, sf)
+
+
+def q_em_rank1_dealt(spark, sf):
+    """The same with the panel's rows dealt over several tasks, as a panel of any size would be."""
+    return _rank1(spark, sf, cells_per_task=200)
+
+
 def q_em_pca_report(spark, sf):
     return _em(spark, sf).report
 
@@ -258,7 +267,7 @@ def q_many_panel_impute(spark, sf):
     panel, series = I.many_fact_panels(spark, sf)
     raw = O.remove_outliers(panel, P_.outlier_k)
     t = S.transform_all(raw, series)
-    return FA.em_impute(t, series, P_).imputed
+    return FA.em_impute(t, series, P_.with_(max_iter=10, cells_per_task=2_000)).imputed
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -287,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_summary_counts": q_run_summary_counts,
     "em_pca_impute": q_em_pca_impute,
     "em_rank1_refill": q_em_rank1_refill,
+    "em_rank1_dealt": q_em_rank1_dealt,
     "em_pca_report": q_em_pca_report,
     "adf_validation": q_adf_validation,
     "many_panel_impute": q_many_panel_impute,
@@ -501,3 +511,4 @@ SELECT p.panel_id, p.series_id, p.date, p.value IS NULL AS imputed,
 FROM placed p JOIN scores s ON p.date = s.date, top t""",
     }
 )
+ORACLES["em_rank1_dealt"] = ORACLES["em_rank1_refill"]
