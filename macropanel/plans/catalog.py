@@ -133,7 +133,7 @@ def q_mask(spark, sf):
 
 def _std(spark, sf):
     t, series = transformed(spark, sf)
-    kidx = FA.kept_index(t, series, P_.max_missing_frac)
+    kidx = FA.kept_index(t, series, P_.max_missing_frac).checkpoint(eager=True)  # read by the moments and by both sides of the names
     return FA.standardize(t, kidx), kidx
 
 
@@ -190,8 +190,8 @@ def q_balanced_panel(spark, sf):
 
 
 def q_series_quality(spark, sf):
-    t, _ = transformed(spark, sf, materialize=False)
-    return VA.series_quality(t)
+    t, series = transformed(spark, sf, materialize=False)
+    return VA.series_quality(I.with_infinities(t, series))
 
 
 def q_df_tstat_lag0(spark, sf):
@@ -312,10 +312,19 @@ def _tcode_sql(code: int) -> str:
 
 ORACLES: dict[str, str] = {
     "panel_build": Q.chain(Q.PANEL_CTE) + "SELECT panel_id, series_id, date, pos, tcode, value FROM panel",
-    "outlier_bounds": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE)
-    + """SELECT panel_id, series_id, CAST(n AS BIGINT) AS n_obs, round(median, 6) AS median, round(q25, 6) AS q25,
+    # by sorted lists, not by ranks: the median averages the middle two, the quartiles stand at the nearest rank
+    "outlier_bounds": Q.chain(Q.PANEL_CTE).rstrip("\n")
+    + """,
+lists AS (
+  SELECT panel_id, series_id, list_sort(list(value) FILTER (WHERE value IS NOT NULL)) AS l, median(value) AS median
+  FROM panel GROUP BY panel_id, series_id),
+picked AS (
+  SELECT panel_id, series_id, len(l) AS n, median,
+    l[CAST(floor(0.25 * (len(l) - 1) + 0.5) AS INT) + 1] AS q25, l[CAST(floor(0.75 * (len(l) - 1) + 0.5) AS INT) + 1] AS q75
+  FROM lists)
+SELECT panel_id, series_id, CAST(n AS BIGINT) AS n_obs, round(median, 6) AS median, round(q25, 6) AS q25,
   round(q75, 6) AS q75, round(median - 10.0 * (q75 - q25), 6) AS lower, round(median + 10.0 * (q75 - q25), 6) AS upper
-FROM stats""",
+FROM picked""",
     "remove_outliers": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE) + "SELECT panel_id, series_id, date, value FROM clean",
     **{f"tcode_{c}": _tcode_sql(c) for c in S.TCODES},
     "transform_all": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE, Q.TRANSFORMED_CTE)
@@ -464,12 +473,14 @@ SELECT panel_id, kept_ids, dropped_ids, n_dates, n_kept, n_dropped, n_imputed, n
         + """SELECT m.panel_id, m.series_id, m.date, m.imputed FROM mask_rows m
 JOIN card c ON m.panel_id = c.panel_id AND m.series_id = c.series_id
 WHERE c.kept AND c.first_obs_date <= DATE '1995-12-01'""",
-        "series_quality": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE, Q.TRANSFORMED_CTE)
-        + """SELECT panel_id, series_id, CAST(count(value) AS BIGINT) AS n_obs,
+        "series_quality": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE, Q.TRANSFORMED_CTE).rstrip("\n")
+        + """,
+odd AS (SELECT panel_id, series_id, CASE WHEN pos % 9 = 2 AND month(date) = 6 THEN CAST('Infinity' AS DOUBLE) * CASE WHEN pos > 9 THEN -1 ELSE 1 END ELSE value END AS value FROM transformed)
+SELECT panel_id, series_id, CAST(count(value) AS BIGINT) AS n_obs,
   round(count_if(value IS NULL) / greatest(count(*), 1), 4) AS null_rate,
   round(count_if(value IS NULL) / greatest(count(*), 1), 4) > 0.5 AS flag_sparse,
   count_if(isinf(value)) > 0 AS flag_infinite
-FROM transformed GROUP BY panel_id, series_id""",
+FROM odd GROUP BY panel_id, series_id""",
         "df_tstat_lag0": Q.chain(Q.PANEL_CTE, Q.CLEAN_CTE, Q.TRANSFORMED_CTE)
         + """, fin AS (SELECT panel_id, series_id, date, value FROM transformed WHERE value IS NOT NULL AND NOT isinf(value) AND NOT isnan(value)),
 d AS (SELECT panel_id, series_id, lag(value, 1) OVER w AS x1, value - lag(value, 1) OVER w AS dx

@@ -80,6 +80,14 @@ def spoiled_artifacts(clean: DataFrame, transformed: DataFrame, mask: DataFrame,
     return {"raw": cells(clean), "transformed": cells(transformed), "mask": cells(flags), "data_card": c}
 
 
+def with_infinities(panel: DataFrame, series: DataFrame) -> DataFrame:
+    """The June values of every ninth series as infinities of either sign."""
+    pos = series.select(PANEL, SERIES, F.col("pos").alias("_p"))
+    infinite = F.when(F.col("_p") > 9, F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    odd = F.when((F.col("_p") % 9 == 2) & (F.month(DATE) == 6), infinite).otherwise(F.col(VALUE))
+    return panel.join(pos, [PANEL, SERIES]).withColumn(VALUE, odd).drop("_p")
+
+
 #: Cells that a short line still has, its date among them.
 SHORT_LINE = 10
 
