@@ -53,6 +53,15 @@ def many_fact_panels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return lay_fixture_rules(m_cells.unionByName(d_cells), m_series.unionByName(d_series))
 
 
+def wide_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """About 840 dates x 125 series: shipped revenue by three-day period, brand and size class (the bench's large panel)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("d"), F.col("l_extendedprice").alias("px"))
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.concat_ws("-", "p_brand", (F.col("p_size") % 5).cast("string")).alias(SERIES))
+    period = F.date_add(F.lit("1990-01-01").cast("date"), (F.floor(F.datediff("d", F.lit("1990-01-01")) / 3) * 3).cast("int"))
+    facts = li.join(part, "l_partkey").groupBy(period.alias(DATE), SERIES).agg(F.sum("px").alias(VALUE))
+    return lay_fixture_rules(*facts_to_panel(facts.select(F.lit("wide").alias(PANEL), SERIES, DATE, VALUE), step="3 DAY"))
+
+
 def spoiled_artifacts(clean: DataFrame, transformed: DataFrame, mask: DataFrame, card: DataFrame, series: DataFrame) -> dict[str, DataFrame]:
     """The artifacts with faults laid on by rule, so that every contract rule has something to count.
 
