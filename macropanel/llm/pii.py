@@ -44,6 +44,8 @@ CONTEXT = 80
 ROUNDS = 3
 MIN_SUPPORT = 3
 CONFIDENCE = 0.8
+#: Parts that a pattern's edges are dealt over.
+SALTS = 16
 
 SPANS = "array<struct<start:int,end:int,value:string>>"
 
@@ -125,14 +127,16 @@ def bootstrap(marked: DataFrame, scratch: Scratch, rounds: int, min_support: int
     seen = F.explode(F.concat("base", "candidates")).alias("x")
     seed = (F.col("x.kind") != "id").cast("double")
     each = marked.select(seen).select(F.col("x.value").alias("value"), seed.alias("seed"), F.explode(F.array(F.concat(F.lit("<"), "x.left"), F.concat(F.lit("="), "x.around"))).alias("pattern"))
-    edges = scratch.save(each.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "edges")
+    salt = F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int").alias("salt")
+    edges = scratch.save(each.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).select("*", salt), "edges")
     belief = scratch.save(edges.groupBy("value").agg(F.max("seed").alias("belief")), "belief-0")
     for k in range(1, rounds + 1):
         known = edges.join(belief.select(F.col("value").alias("_v"), "belief"), F.col("value") == F.col("_v")).drop("_v")
         held = F.when(F.col("belief") >= confidence, F.col("belief")).otherwise(0.0)
         score = known.groupBy("pattern").agg(F.sum(F.when(held > 0, 1).otherwise(0)).alias("support"), (F.sum(held) / F.count("*")).alias("score"))
-        score = score.where(F.col("support") >= min_support).select(F.col("pattern").alias("_p"), "score")
-        best = edges.join(score, F.col("pattern") == F.col("_p"), "left").groupBy("value").agg(F.max("seed").alias("seed"), F.max("score").alias("score"))
+        # a pattern as common as a third of all edges meets its score in SALTS tasks
+        score = score.where(F.col("support") >= min_support).select(F.col("pattern").alias("_p"), "score", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
+        best = edges.join(score, (F.col("pattern") == F.col("_p")) & (F.col("salt") == F.col("_s")), "left").groupBy("value").agg(F.max("seed").alias("seed"), F.max("score").alias("score"))
         belief = scratch.save(best.select("value", F.when(F.col("seed") == 1, 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("belief")), f"belief-{k}")
         scratch.drop(f"belief-{k - 1}")
     return belief.where(F.col("belief") >= confidence)
