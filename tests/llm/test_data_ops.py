@@ -143,7 +143,7 @@ def targets_by_hand(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
         capped |= above
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.dictionaries(st.sampled_from(["a", "B", "é", "zz", None, "src10", "src2"]), st.integers(0, 400), min_size=1))
 def test_targets_against_the_resharing_loop(spark_for_hypothesis, sizes):
     spark = spark_for_hypothesis
