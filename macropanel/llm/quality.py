@@ -6,8 +6,13 @@ tokens in bits, and the byte-fallback share: tokens that stand for single bytes
 vocabulary lacks (piece_bpe_32k) or that end inside a character (byte_bpe_50k). A document is rejected if a
 measure lies outside the band of its language, or, where the language has none, of its script.
 
-The bands are parameters, wide enough for any ordinary text of the language; they come from no corpus pass, so
-a document's verdict does not depend on what else is in the table.
+The outer bands are parameters, wide enough for any ordinary text of the language. Inside them each vocabulary has a
+lower limit of its own per language, from the table itself: characters per token may lie ``TIMES`` upper quartiles of
+the language's shortfalls below its median (less in long texts, which vary less), entropy as far below the median of
+the language's texts of like length. The statistics are exact percentiles of measures rounded to three places over
+the distinct measures of documents that the base rules keep, so copies count once and labels have no part in it.
+A language of under ``MIN_DOCS`` such documents, and entropy in a length class of under ``MIN_CLASS``, has the outer
+band only. A document's verdict therefore depends on the table it stands in.
 
 Defined results: null and empty texts have no words: all measures are 0 and base_failed holds (fewer than 50
 words); a null or unknown language takes the band of the script of most of the text's letters; repeated rows
@@ -20,11 +25,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from macropanel.llm.common import chunks
+from macropanel.llm.common import Scratch, chunks
 from macropanel.llm.tokens import byte_bpe, vocab_path
 
 #: Bands (least, most) by language or script: characters per token, byte-fallback share, token entropy in bits.
@@ -41,6 +46,11 @@ BANDS = {
     "cjk": {"chars_per_token": (0.25, 4.0), "byte_share": (0.0, 0.90), "entropy": (4.5, 14.0)},
     "other": {"chars_per_token": (0.15, 8.0), "byte_share": (0.0, 1.00), "entropy": (4.5, 14.0)},
 }
+#: The limits from the table: shortfalls allowed, and the least shortfall that is one (a share of the median, bits).
+TIMES = 8.0
+LEAST_SHARE, LEAST_BITS = 0.05, 0.25
+#: Least documents of a language and of a length class (half a doubling of tokens); tokens over which a text varies no less.
+MIN_DOCS, MIN_CLASS, LONG = 100, 20, 1024
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Bytes of text that the kernel takes out of Arrow at a time.
@@ -48,6 +58,8 @@ STEP_BYTES = 1_500_000
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
 
+VOCABS = ("", "byte_bpe_")
+
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FERTILITY = ["chars_per_token", "byte_share", "entropy", "byte_bpe_chars_per_token", "byte_bpe_byte_share", "byte_bpe_entropy"]
 SCHEMA = ", ".join(["doc_id long", *[f"{c} long" for c in MEASURES], *[f"{c} double" for c in FERTILITY], "n_tokens long", "band string"])
@@ -186,22 +198,64 @@ def measures(docs: DataFrame, bands: dict = BANDS, vocab_dir: str | None = None,
     return rows.mapInArrow(kernel, schema.add(rows.schema["row"]) if keep else schema)
 
 
+def _length_class() -> Column:
+    return F.floor(2 * F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int")
+
+
+def _weight() -> Column:
+    """How much less than one of MIN_TOKENS a text of so many tokens varies."""
+    return F.sqrt(F.least(F.greatest(F.col("n_tokens"), F.lit(1)), F.lit(LONG)) / MIN_TOKENS)
+
+
+def _lookup(entries: dict, key: Column) -> Column:
+    """The arrays of numbers, by key; null where there is none."""
+    if not entries:
+        return F.lit(None).cast("array<double>")
+    return F.try_element_at(F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), F.array(*[F.lit(n).cast("double") for n in v]))]), key)
+
+
+def own_limits(m: DataFrame, scratch: Scratch) -> list[Column]:
+    """The least characters per token and entropy of either vocabulary, from the measures ``m`` (with base_failed); null: none.
+
+    The driver gets a row per language and a row per language and length class.
+    """
+    chars, bits = [f"{v}chars_per_token" for v in VOCABS], [f"{v}entropy" for v in VOCABS]
+    once = scratch.save(m.where(~F.col("base_failed")).select("band", "n_tokens", *chars, *bits).distinct(), "distinct")
+    middle = lambda c, at=0.5: F.percentile(F.round(c, 3), at)
+    per_band = once.groupBy("band").agg(F.count("*").alias("n"), *[middle(c).alias(c) for c in chars]).where(F.col("n") >= MIN_DOCS).collect()
+    per_class = once.groupBy("band", _length_class().alias("cls")).agg(F.count("*").alias("n"), *[middle(c).alias(c) for c in bits]).where(F.col("n") >= MIN_CLASS).collect()
+    known = {r["band"] for r in per_band}
+    usual = _lookup({r["band"]: [r[c] for c in chars] for r in per_band}, F.col("band"))
+    alike = _lookup({f"{r['band']} {r['cls']}": [r[c] for c in bits] for r in per_class if r["band"] in known}, F.concat_ws(" ", "band", _length_class()))
+    levels = [F.get(x, F.lit(k)) for x in (usual, alike) for k in range(len(VOCABS))]
+    weights = [_weight()] * len(VOCABS) + [F.lit(1.0)] * len(VOCABS)
+    short = [middle((level - F.col(c)) * w, 0.75).alias(c) for c, level, w in zip(chars + bits, levels, weights, strict=True)]
+    spread = _lookup({r["band"]: [r[c] for c in chars + bits] for r in once.where(F.col("band").isin(*known)).groupBy("band").agg(*short).collect()} if known else {}, F.col("band"))
+    scratch.drop("distinct")
+    least = [LEAST_SHARE * level for level in levels[: len(VOCABS)]] + [F.lit(LEAST_BITS)] * len(VOCABS)
+    return [level - F.greatest(TIMES * F.get(spread, F.lit(k)) / w, lo) for k, (level, w, lo) in enumerate(zip(levels, weights, least, strict=True))]
+
+
 def judged(docs: DataFrame, bands: dict = BANDS, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, vocab_dir: str | None = None, keep: bool = False) -> DataFrame:
     """The measures with base_failed, reject (the first measure outside its band, else null) and kept."""
-    m = measures(docs, bands, vocab_dir, keep)
+    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+    scratch = Scratch(docs.sparkSession, "quality")
+    m = scratch.save(measures(docs, bands, vocab_dir, keep).withColumn("base_failed", base), "measures")  # measured once, read by the statistics too
+    own = own_limits(m, scratch)
     limits = F.create_map(*[x for name, b in bands.items() for x in (F.lit(name), F.array(*[F.lit(float(v)) for c in ("chars_per_token", "byte_share", "entropy") for v in b[c]]))])
     limit = F.element_at(limits, F.col("band"))
-    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     reject = F.lit(None).cast("string")
     for k, c in reversed(list(enumerate(("chars_per_token", "byte_share", "entropy")))):
-        vocab = [c] if c == "byte_share" else [c, f"byte_bpe_{c}"]  # a byte-level vocabulary has no fallback to speak of
+        vocab = [c] if c == "byte_share" else [f"{v}{c}" for v in VOCABS]  # a byte-level vocabulary has no fallback to speak of
         out = F.lit(False)
-        for v in vocab:
+        for i, v in enumerate(vocab):
             out = out | (F.col(v) < F.get(limit, F.lit(2 * k))) | (F.col(v) > F.get(limit, F.lit(2 * k + 1)))
+            if c != "byte_share":
+                out = out | F.coalesce(F.col(v) < own[k + i], F.lit(False))  # k: 0 for characters, 2 for entropy
         if c == "entropy":
             out = out & (F.col("n_tokens") >= MIN_TOKENS)
         reject = F.when(out, F.lit(c)).otherwise(reject)
-    return m.withColumn("base_failed", base).withColumn("reject", reject).withColumn("kept", ~F.col("base_failed") & F.col("reject").isNull())
+    return m.withColumn("reject", reject).withColumn("kept", ~F.col("base_failed") & F.col("reject").isNull())
 
 
 def passing(docs: DataFrame, **params) -> DataFrame:

@@ -163,6 +163,23 @@ def test_quality_keeps_the_labelled_good(spark):
     assert j.where("not base_failed and not kept").count() == 0
 
 
+def test_quality_rejects_held_out_bad_and_keeps_held_out_good(spark):
+    """Of the documents that the base rules keep: most of those labelled bad go, those labelled good stay (odd doc_ids only)."""
+    d = "/root/testdata/sf0.1"
+    j = quality.query(spark, d).join(spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality"), "doc_id").where("not base_failed and doc_id % 2 = 1")
+    n = {r["quality"]: (r["n"], r["out"]) for r in j.groupBy("quality").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("out")).collect()}
+    assert n[0][1] >= 0.75 * n[0][0] and n[1][1] <= 0.002 * n[1][0]
+
+
+def test_quality_limits_do_not_count_copies(spark):
+    """One text a thousand times over moves no limit."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'")
+    copy = docs.orderBy("doc_id").limit(1).crossJoin(spark.range(1000).select(F.col("id").alias("_i"))).withColumn("doc_id", F.lit(10**9) + F.col("_i")).drop("_i")
+    a = {r["doc_id"]: r["kept"] for r in quality.judged(docs).collect()}
+    b = {r["doc_id"]: r["kept"] for r in quality.judged(docs.unionByName(copy)).where("doc_id < 1000000000").collect()}
+    assert a == b and not all(a.values())
+
+
 @pytest.mark.parametrize(("text", "script"), [("hello", "latin"), ("привет мир", "cyrillic"), ("漢字かな", "cjk"), ("שלום", "other"), ("", "latin")])
 def test_script_of(text, script):
     assert quality.script_of(text) == script
