@@ -3,9 +3,13 @@
 Base entities (email, ip, card, phone) are found by regular expressions over whole texts. Their places come
 from the lengths of what lies between the matches, so no Python counts characters.
 
-They seed the bootstrap. Lexical patterns are the two words before an entity, and the word before with the
-word after. A bipartite graph ties patterns to instances: the seeds, and candidates (identifier-shaped strings
-with a digit that overlap no seed). Each round scores a pattern by the belief in its distinct instances, and
+They seed the bootstrap, and so do secrets: candidates of at least 20 hex digits, letters among them, that are
+assigned to a key, token, secret or password; secrets are found spans of kind ``id``, not base spans. Lexical
+patterns are the two words before an entity, the word before with the word after, and, for values with a letter and
+a digit, the one word before (with what stands between) together with the shape of the value; a context without any
+word is none. Values of digits alone have no such wider pattern: most are cards that fail their check. A bipartite
+graph ties patterns to instances: the seeds, and candidates (identifier-shaped strings of 6 characters or more with a
+digit, in one piece or in spaced groups that each hold a digit, that overlap no base span). Each round scores a pattern by the belief in its distinct instances, and
 believes a candidate as its best pattern is scored; a pattern counts once ``min_support`` distinct believed
 instances support it. After ``rounds`` rounds, candidates that are believed by ``confidence`` or more are spans
 of kind ``id``, wherever their value stands.
@@ -37,8 +41,16 @@ PATTERNS = {
 }
 #: What a text must hold for a kind to be looked for at all.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-#: An identifier-shaped string: 6 to 64 characters with a digit, set off by white space, quotes, brackets or = and :.
-CANDIDATE = r"(?<![^\s=:\"'(<\[])(?=[A-Za-z@._+/#-]{0,63}[0-9])[A-Za-z0-9][A-Za-z0-9@._+/#-]{4,62}[A-Za-z0-9](?=[.,;:!?)>\]\"']*+(?:\s|$))"
+#: An identifier-shaped string: 6 characters or more with a digit, set off by white space, quotes, brackets or = and :, or closed by a quote.
+#: First in spaced groups of capitals and digits (a digit in each, a letter in the first), else in one piece.
+GROUP = r"(?=[A-Z]{0,6}+[0-9])[A-Z0-9]{2,8}+"
+CANDIDATE = (
+    r"(?<![^\s=:\"'(<\[])(?:(?=[0-9]{0,8}+[A-Z])" + GROUP + r"(?:\x20" + GROUP + r")+(?=[.,;:!?)>\]\"']*+(?:\s|$)|[\"'])"
+    r"|(?=[A-Za-z@._+/#-]*+[0-9])[A-Za-z0-9][A-Za-z0-9@._+/#-]{4,}[A-Za-z0-9](?=[.,;:!?)>\]\"']*+(?:\s|$)|[\"']))"
+)
+#: What a secret is assigned to, as the (lower case) text before it ends, and what it looks like.
+ASSIGNED = r"(?:key|token|secret|password|passwd|pwd)[\"']?\s*+[=:]\s*+[\"']?$"
+SECRET = r"^(?=[0-9]*+[A-Fa-f])[0-9A-Fa-f]{20,}$"
 #: Code points on either side in which context words are sought.
 CONTEXT = 80
 ROUNDS = 3
@@ -86,14 +98,27 @@ def holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def shape(value: Column) -> Column:
+    """hex or word and the length of a value without signs, else its signs with w for what stands between."""
+    length = F.length(value).cast("string")
+    signs = F.regexp_replace(value, "[A-Za-z0-9]+", "w")
+    return F.when(F.rlike(value, F.lit("^[0-9A-Fa-f]+$")), F.concat(F.lit("hex"), length)).when(signs == "w", F.concat(F.lit("word"), length)).otherwise(signs)
+
+
 def _words(kind: Column, text: Column, span: Column) -> Column:
-    """The span with its context: the two words before, and the word before with the word after."""
-    before = F.split(F.rtrim(F.lower(F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1, span["start"] - F.greatest(span["start"] - CONTEXT, F.lit(0))))), r"\s+")
+    """The span with its context: the two words before, the word before with the word after, the word before with the shape; and whether it is a secret."""
+    ahead = F.lower(F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1, span["start"] - F.greatest(span["start"] - CONTEXT, F.lit(0))))
+    before = F.split(F.rtrim(ahead), r"\s+")
     after = F.split(F.ltrim(F.lower(F.substring(text, span["end"] + 1, F.lit(CONTEXT)))), r"\s+")
     last, second = F.get(before, F.size(before) - 1), F.get(before, F.size(before) - 2)
+    value = span["value"]
+    worded = F.regexp_extract(F.rtrim(ahead), r"[\p{L}\p{N}_]++[^\p{L}\p{N}_]*+$", 0)
+    mixed = F.rlike(value, F.lit("[A-Za-z]")) & F.rlike(value, F.lit("[0-9]")) & (worded != "")
     return F.struct(
         kind.alias("kind"), span["start"].alias("start"), span["end"].alias("end"), span["value"].alias("value"),
         F.concat_ws(" ", second, last).alias("left"), F.concat_ws(" _ ", last, F.get(after, F.lit(0))).alias("around"),
+        F.when(mixed, F.concat_ws("|", worded, shape(value))).alias("worded"),
+        ((kind == "id") & F.rlike(value, F.lit(SECRET)) & F.rlike(ahead, F.lit(ASSIGNED))).alias("secret"),
     )
 
 
@@ -125,8 +150,12 @@ def extract(docs: DataFrame) -> DataFrame:
 def bootstrap(marked: DataFrame, scratch: Scratch, rounds: int, min_support: int, confidence: float) -> DataFrame:
     """instance values (value, belief) of candidates that confident patterns believe in."""
     seen = F.explode(F.concat("base", "candidates")).alias("x")
-    seed = (F.col("x.kind") != "id").cast("double")
-    each = marked.select(seen).select(F.col("x.value").alias("value"), seed.alias("seed"), F.explode(F.array(F.concat(F.lit("<"), "x.left"), F.concat(F.lit("="), "x.around"))).alias("pattern"))
+    seed = ((F.col("x.kind") != "id") | F.col("x.secret")).cast("double")
+    patterns = F.array(F.concat(F.lit("<"), "x.left"), F.concat(F.lit("="), "x.around"), F.concat(F.lit("w"), "x.worded"))
+    # by a pattern of signs alone any quoted value would be taken; a value without patterns keeps one of its own
+    patterns = F.filter(patterns, lambda p: F.rlike(F.substring(p, 2, 2**30), F.lit(r"[\p{L}\p{N}]")))
+    patterns = F.when(F.size(patterns) > 0, patterns).otherwise(F.array(F.concat(F.lit("!"), "x.value")))
+    each = marked.select(seen).select(F.col("x.value").alias("value"), seed.alias("seed"), F.explode(patterns).alias("pattern"))
     salt = F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int").alias("salt")
     edges = scratch.save(each.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).select("*", salt), "edges")
     belief = scratch.save(edges.groupBy("value").agg(F.max("seed").alias("belief")), "belief-0")

@@ -305,6 +305,19 @@ def test_bootstrap_finds_unseen_identifiers(spark):
     assert not any(found[i] for i in (*range(6), 7, 9, 10))
 
 
+def test_bootstrap_finds_secrets_and_what_stands_like_them(spark):
+    """Hex after token = is a seed; a like shape after the same word, spaced groups and long values are candidates; other assignments stay."""
+    hexes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(6)]
+    texts = [f'set token = "{h}"{"###" if i == 5 else ""} now{i} x' for i, h in enumerate(hexes)] + [f"mail box {i} reference number user{i}@mail.example" for i in range(16)]
+    long, spaced = "Zq7" * 40, "XK41 22B7 901C"
+    texts += [f"reference number {long} then", f"reference number {spaced} then", f"copy {hexes[0]} stands alone"]
+    texts += ['version = "10.2.33-beta" and', 'day = "2024-05-17" and', f'sha1 = "{hashlib.sha1(b"other").hexdigest()}" and', "the 1234567890123456 is no card"]
+    found = {r["doc_id"]: [s["value"] for s in r["found"]] for r in pii.find_pii(table(spark, texts)).collect()}
+    assert [found[i] for i in range(6)] == [[h] for h in hexes]
+    assert found[22] == [long] and found[23] == [spaced] and found[24] == [hexes[0]]
+    assert not any(found[i] for i in (*range(6, 22), *range(25, 29)))
+
+
 def test_pii_edge_rows_and_digest(spark):
     docs = table(spark, ["x a@b.cd", "x a@b.cd", None], [1, 1, None]).withColumn("base", F.lit(1)).withColumn("found", F.lit(2))
     rows = pii.find_pii(docs).collect()
