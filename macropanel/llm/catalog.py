@@ -1,6 +1,6 @@
 """The operators' queries for __spark_entry__.py: name -> (spark, sf_dir) -> DataFrame, and their DuckDB SQL."""
 
-from macropanel.llm import ann, license_scan, line_dedup, mixing, packing, pii, quality, simhash, toxicity, warc
+from macropanel.llm import ann, conversations, license_scan, line_dedup, mixing, packing, pii, quality, runs, simhash, token_counts, toxicity, warc
 
 QUERIES = {
     "op4_ann": ann.query,
@@ -13,6 +13,9 @@ QUERIES = {
     "op10_simhash_near_dedup": simhash.query,
     "op6_line_dedup": line_dedup.query,
     "op7_mixing": mixing.query,
+    "op11_conversation_repair": conversations.query,
+    "op12_token_counts": token_counts.query,
+    "op13_periodic_runs": runs.query,
 }
 
 ORACLES = {

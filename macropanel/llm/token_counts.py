@@ -115,7 +115,7 @@ def frequent_words(docs: DataFrame, table_words: int = TABLE_WORDS, tracked: int
     """word, count: about the most frequent runs of letters of all texts, by a sketch that is merged in two levels."""
     words = docs.select(F.explode(F.split(F.lower(whole()), r"[^\p{L}]+")).alias("word")).where("word != ''")
     sketches = words.groupBy((F.spark_partition_id() % merged).alias("g")).agg(F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("sketch"))
-    top = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(F.expr(f"approx_top_k_estimate(sketch, {table_words})").alias("top"))
+    top = sketches.groupBy(F.col("g") < 0).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(F.expr(f"approx_top_k_estimate(sketch, {table_words})").alias("top"))
     return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("word"), F.col("t.count").alias("count"))
 
 
