@@ -95,6 +95,8 @@ class Params:
     pipeline_version: str = "v2"
     # cells of a panel's incomplete rows that one EM task holds; a panel with more is dealt over several
     cells_per_task: int = 4_000_000
+    # series up to which a panel's Gram matrix is formed; a wider panel is worked on by passes over its rows
+    gram_series: int = 1_500
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
