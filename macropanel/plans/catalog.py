@@ -18,6 +18,7 @@ from macropanel.operators import outliers as O
 from macropanel.operators import stationarity as S
 from macropanel.plans import inputs as I
 from macropanel.plans import oracle as Q
+from macropanel.plans import oracle_em as OE
 from macropanel.operators import contracts as CT
 from macropanel.operators import factors as FA
 from macropanel.operators import validation as VA
@@ -230,12 +231,34 @@ def q_run_summary_counts(spark, sf):
 
 
 def _em(spark, sf):
+    """All steps at the production k, the panel's rows dealt over several tasks as a panel of any size would be."""
     t, series = transformed(spark, sf)
-    return FA.em_impute(t, series, P_)
+    return FA.em_impute(t, series, P_.with_(cells_per_task=500))
+
+
+def _in_deviations(imputed: DataFrame) -> DataFrame:
+    """Cells with ``z``, their value less the mean of their series' observed cells, over their deviation."""
+    seen = F.when(~F.col("imputed"), F.col(VALUE))
+    moments = imputed.groupBy(*K).agg(F.avg(seen).alias("mu"), F.stddev_pop(seen).alias("sd"))
+    return imputed.join(moments, K).select(*K, DATE, "imputed", ((F.col(VALUE) - F.col("mu")) / F.col("sd")).alias("z"))
 
 
 def q_em_pca_impute(spark, sf):
-    return _em(spark, sf).imputed
+    return _in_deviations(_em(spark, sf).imputed).withColumn("z", r6("z") + 0.0)  # no negative zero
+
+
+def q_em_wide_impute(spark, sf):
+    """Quarters x parts, as many series as the part table has rows: beyond ``gram_series`` no Gram matrix is formed."""
+    panel, series = I.wide_part_panel(spark, sf)
+    em = FA.em_impute(panel, series, P_)
+    return em.report.drop("kept_series", "dropped_series").join(em.imputed, PANEL, "left")
+
+
+def q_em_wide_rank1(spark, sf):
+    """One step at k = 1 of the same panel, always by passes over the rows."""
+    panel, series = I.wide_part_panel(spark, sf)
+    one = FA.em_impute(panel, series, P_.with_(k=1, max_iter=1, gram_series=0, cells_per_task=5_000)).imputed
+    return _in_deviations(one).withColumn("z", F.round("z", 4) + 0.0)
 
 
 def _rank1(spark, sf, **params):
@@ -255,7 +278,10 @@ def q_em_rank1_dealt(spark, sf):
 
 
 def q_em_pca_report(spark, sf):
-    return _em(spark, sf).report
+    r = _em(spark, sf).report
+    ids = [F.array_join(c, ",").alias(c) for c in ("kept_series", "dropped_series")]
+    fractions = [r6(c).alias(c) for c in ("frac_imputed", "frac_imputed_leading", "frac_imputed_internal")]
+    return r.select(PANEL, *ids, "n_iter", "converged", F.round("final_delta", 8).alias("final_delta"), *fractions, "k_factors", "n_kept", "n_dropped", "n_dates")
 
 
 def q_adf_validation(spark, sf):
@@ -296,6 +322,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "artifact_manifest": q_artifact_manifest,
     "run_summary_counts": q_run_summary_counts,
     "em_pca_impute": q_em_pca_impute,
+    "em_wide_impute": q_em_wide_impute,
+    "em_wide_rank1": q_em_wide_rank1,
     "em_rank1_refill": q_em_rank1_refill,
     "em_rank1_dealt": q_em_rank1_dealt,
     "em_pca_report": q_em_pca_report,
@@ -524,3 +552,50 @@ FROM placed p JOIN scores s ON p.date = s.date, top t""",
     }
 )
 ORACLES["em_rank1_dealt"] = ORACLES["em_rank1_refill"]
+
+_EM = OE.em_chain(P_.k, P_.max_iter, P_.tol)
+ORACLES["em_pca_impute"] = _EM + "SELECT panel_id, series_id, date, imputed, round(z, 6) + 0.0 AS z FROM em_cells"
+ORACLES["em_pca_report"] = (
+    _EM
+    + ","
+    + _IMP_COUNTS
+    + f"""
+SELECT panel_id, kept_ids AS kept_series, dropped_ids AS dropped_series, CAST(n_iter AS INT) AS n_iter, delta < {P_.tol} AS converged,
+  round(delta, 8) AS final_delta, frac_imputed, frac_imputed_leading, frac_imputed_internal, k_factors,
+  CAST(n_kept AS INT) AS n_kept, CAST(n_dropped AS INT) AS n_dropped, n_dates
+FROM ic, em_end"""
+)
+ORACLES["adf_validation"] = (
+    _EM
+    + ","
+    + OE.adf_cte()
+    + """
+SELECT c.panel_id, c.series_id, c.n_obs, 0.0::DOUBLE AS null_rate, false AS flag_sparse, false AS flag_infinite,
+  round(a.p, 4) AS adf_pvalue, coalesce(a.p >= 0.05, false) AS flag_nonstationary
+FROM (SELECT panel_id, series_id, count(*) AS n_obs FROM em_cells GROUP BY panel_id, series_id) c
+LEFT JOIN adf a ON a.panel_id = c.panel_id AND a.series_id = c.series_id"""
+)
+# the leading direction of the quarters' own products, by power iteration; a step's refill needs no more at k = 1
+ORACLES["em_wide_rank1"] = """WITH RECURSIVE facts AS (
+  SELECT CAST(date_trunc('quarter', l_shipdate) AS DATE) AS date, l_partkey AS p, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value
+  FROM lineitem GROUP BY 1, 2),
+dates AS (
+  SELECT CAST(d AS DATE) AS date FROM (SELECT min(date) AS lo, max(date) AS hi FROM facts) b, generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 3 MONTH) AS g(d)),
+grid AS (SELECT d.date, s.p, f.value FROM dates d CROSS JOIN (SELECT DISTINCT p FROM facts) s LEFT JOIN facts f ON f.date = d.date AND f.p = s.p),
+moments AS (
+  SELECT p, avg(value) AS mu, CASE WHEN stddev_pop(value) < 1e-12 THEN 1.0 ELSE stddev_pop(value) END AS sd
+  FROM grid GROUP BY p HAVING avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END) <= 0.5),
+scaled AS (SELECT g.date, g.p, g.value, (g.value - mu) / sd AS z FROM grid g JOIN moments m ON g.p = m.p),
+vectors AS (SELECT date, list(coalesce(z, 0) ORDER BY p) AS r FROM scaled GROUP BY date),
+products AS (SELECT a.date, list(list_dot_product(a.r, b.r) ORDER BY b.date) AS k FROM vectors a, vectors b GROUP BY a.date),
+square AS (SELECT list(k ORDER BY date) AS m, list(date ORDER BY date) AS dates FROM products),
+power(n, u) AS (
+  SELECT 0, list_transform(m, lambda r: CAST(1 + r[1] / 1e9 AS DOUBLE)) FROM square
+  UNION ALL
+  SELECT n + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+  FROM (SELECT n, list_transform(m, lambda r: list_dot_product(r, u)) AS w FROM power, square WHERE n < 5000) q),
+top AS (SELECT unnest(dates) AS date, unnest(u) AS u FROM power, square WHERE n = 5000),
+scores AS (SELECT s.p, sum(t.u * coalesce(s.z, 0)) AS f FROM scaled s JOIN top t ON s.date = t.date GROUP BY s.p)
+SELECT 'part_revenue' AS panel_id, 'P' || lpad(CAST(s.p AS VARCHAR), 12, '0') AS series_id, s.date, s.value IS NULL AS imputed,
+  round(CASE WHEN s.value IS NULL THEN t.u * c.f ELSE s.z END, 4) + 0.0 AS z
+FROM scaled s JOIN top t ON s.date = t.date JOIN scores c ON s.p = c.p"""

@@ -62,6 +62,16 @@ def wide_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return lay_fixture_rules(*facts_to_panel(facts.select(F.lit("wide").alias(PANEL), SERIES, DATE, VALUE), step="3 DAY"))
 
 
+def wide_part_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Quarters x parts: shipped revenue per part, a series per row of the part table that was shipped. No codes are laid on."""
+    li = read_table(spark, sf_dir, "lineitem")
+    quarter = F.to_date(F.date_trunc("quarter", "l_shipdate"))
+    series = F.concat(F.lit("P"), F.lpad(F.col("l_partkey").cast("string"), 12, "0"))
+    facts = li.groupBy(quarter.alias(DATE), series.alias(SERIES)).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias(VALUE))
+    cells, dim = facts_to_panel(facts.select(F.lit("part_revenue").alias(PANEL), SERIES, DATE, VALUE), step="3 MONTH")
+    return cells.select(PANEL, SERIES, DATE, VALUE), dim.select(PANEL, SERIES, "pos", F.lit(None).cast("int").alias("tcode"))
+
+
 def spoiled_artifacts(clean: DataFrame, transformed: DataFrame, mask: DataFrame, card: DataFrame, series: DataFrame) -> dict[str, DataFrame]:
     """The artifacts with faults laid on by rule, so that every contract rule has something to count.
 
