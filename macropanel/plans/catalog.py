@@ -278,6 +278,11 @@ def q_em_rank1_dealt(spark, sf):
 
 
 def q_em_pca_report(spark, sf):
+    return _em(spark, sf).report
+
+
+def q_em_report_k8(spark, sf):
+    """The same report with ids joined and numbers rounded, for its SQL."""
     r = _em(spark, sf).report
     ids = [F.array_join(c, ",").alias(c) for c in ("kept_series", "dropped_series")]
     fractions = [r6(c).alias(c) for c in ("frac_imputed", "frac_imputed_leading", "frac_imputed_internal")]
@@ -327,6 +332,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "em_rank1_refill": q_em_rank1_refill,
     "em_rank1_dealt": q_em_rank1_dealt,
     "em_pca_report": q_em_pca_report,
+    "em_report_k8": q_em_report_k8,
     "adf_validation": q_adf_validation,
     "many_panel_impute": q_many_panel_impute,
 }
@@ -555,7 +561,7 @@ ORACLES["em_rank1_dealt"] = ORACLES["em_rank1_refill"]
 
 _EM = OE.em_chain(P_.k, P_.max_iter, P_.tol)
 ORACLES["em_pca_impute"] = _EM + "SELECT panel_id, series_id, date, imputed, round(z, 6) + 0.0 AS z FROM em_cells"
-ORACLES["em_pca_report"] = (
+ORACLES["em_report_k8"] = (
     _EM
     + ","
     + _IMP_COUNTS
