@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macropanel.model import DATE, K, VALUE
+from macropanel.session import write_faults
 
 TCODES = (1, 2, 3, 4, 5, 6, 7)
+#: Unknown codes, and series of each, that an error names.
+NAMED = 20
 
 
 def series_window():
@@ -46,11 +49,16 @@ def unknown_tcodes(series: DataFrame) -> DataFrame:
 
 
 def check_tcodes(series: DataFrame) -> None:
-    """Unknown codes raise before any transform, with every (code, series) pair that has one."""
-    bad = unknown_tcodes(series).groupBy("tcode").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_set("series_id")), ", ").alias("ids"))
-    found = sorted((r["tcode"], r["n"], r["ids"]) for r in bad.collect())
+    """Unknown codes raise before any transform: each code with its number of series and the first of them, and a table of all."""
+    bad = unknown_tcodes(series)
+    by = bad.groupBy("tcode").agg(F.count(F.lit(1)).alias("n"))
+    first = bad.withColumn("k", F.row_number().over(Window.partitionBy("tcode").orderBy("series_id"))).where(F.col("k") <= NAMED)
+    first = first.groupBy("tcode").agg(F.array_join(F.sort_array(F.collect_set("series_id")), ", ").alias("ids"))
+    found = sorted((r["tcode"], r["n"], r["ids"]) for r in by.join(first, "tcode").orderBy("tcode").limit(NAMED).collect())
     if found:
-        raise ValueError("; ".join(f"unknown tcode: {c} ({n} series: {ids})" for c, n, ids in found))
+        path = write_faults(bad, "unknown-tcodes")
+        shown = "; ".join(f"unknown tcode: {c} ({n} series: {ids}{', ...' if n > NAMED else ''})" for c, n, ids in found)
+        raise ValueError(f"{shown} (all in {path})")
 
 
 def apply_tcode(panel: DataFrame, tcode: Column, slice_rows: int = 0) -> DataFrame:

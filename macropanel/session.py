@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -50,3 +51,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="macropanel-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by all executors")
+
+
+def write_faults(faults: DataFrame, name: str) -> str:
+    """Write rows that an error is about as a table of the checkpoint folder; its path."""
+    path = f"{ensure_checkpoint_dir(faults.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    faults.write.parquet(path)
+    return path
+
+
+def told(faults: DataFrame, name: str, column: str, most: int = 20) -> str | None:
+    """The first values of ``column`` in order, how many rows there are, and where all of them are; None if there is none."""
+    if faults.isEmpty():
+        return None
+    path = write_faults(faults, name)
+    written = faults.sparkSession.read.schema(faults.schema).parquet(path)
+    n = written.count()
+    first = [str(r[0]) for r in written.select(column).orderBy(column).limit(most).collect()]
+    return ", ".join(first) + (f" and {n - most} more" if n > most else "") + f" (all in {path})"

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macropanel.model import DATE, PANEL, SERIES
+from macropanel.sinks.digest import digest_columns, row_text
 
 
 def run_stamp(now: datetime | None = None) -> tuple[str, str, str]:
@@ -67,20 +68,20 @@ def manifest_counts(name: str, df: DataFrame) -> DataFrame:
 
 
 def manifest(name: str, df: DataFrame, written_at: str, extraction_ts: str) -> DataFrame:
-    """Counts plus an order-free content checksum (XOR of 64-bit row hashes), one aggregate.
+    """Counts plus an order-free content checksum (``digest``: sums of MD5 halves over the multiset of rows), one aggregate.
 
     The checksum is the same whatever the partitioning or row order and merges
     like any partial aggregate.
     """
     has_date = DATE in df.columns
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    a, b = digest_columns(row_text(df))
     return df.groupBy(PANEL).agg(
         F.lit(name).alias("artifact"),
         F.count(F.lit(1)).cast("long").alias("n_rows"),
         F.countDistinct(SERIES).cast("long").alias("n_series"),
         (F.date_format(F.min(DATE), "MM/yyyy") if has_date else F.lit(None).cast("string")).alias("date_first"),
         (F.date_format(F.max(DATE), "MM/yyyy") if has_date else F.lit(None).cast("string")).alias("date_last"),
-        F.bit_xor(row_hash).alias("checksum"),
+        F.concat_ws("-", a, b).alias("checksum"),
         F.lit(written_at).alias("written_at"),
         F.lit(extraction_ts).alias("extraction_ts"),
     )
