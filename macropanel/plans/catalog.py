@@ -8,6 +8,7 @@ operators run over it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +23,35 @@ from macropanel.plans import oracle_em as OE
 from macropanel.operators import contracts as CT
 from macropanel.operators import factors as FA
 from macropanel.operators import validation as VA
+from macropanel.plans.prepare import prepare
 from macropanel.sinks import artifacts as W
+from macropanel.sinks import published as R
+from macropanel.sinks.digest import digest_sql
 from macropanel.sources import panels as P
 from macropanel.sources import vintage as V
+from macropanel.streaming.vintages import read_quarantine, start_vintage_stream
 
 P_ = BRAND_PARAMS
 LANDING = "/landing/vintages"
+#: The vintage as which a panel is landed, and the digits of doubles in digests that SQL states too.
+VINTAGE, DIGITS = "2002-01", 5
+
+
+#: Columns of the artifacts in their digests, with their kind in SQL.
+_CELL = {"panel_id": "varchar", "series_id": "varchar", "date": "date"}
+_FRACTIONS = dict.fromkeys(("frac_missing", "frac_missing_leading", "frac_missing_internal"), "double")
+_CARD = dict.fromkeys(("panel_id", "series_id", "first_obs_date", "last_obs_date", "n_obs", "n_missing_leading", "n_missing_internal", "kept", "drop_reason"), "varchar")
+ARTIFACT_COLUMNS = {"raw": _CELL | {"value": "double"}, "transformed": _CELL | {"value": "double"}, "mask": _CELL | {"imputed": "boolean"}, "data_card": _CARD | _FRACTIONS}
+_VALIDATION = dict.fromkeys(("panel_id", "series_id", "pos", "n_obs", "flag_sparse", "flag_infinite", "flag_nonstationary"), "varchar")
+PUBLISHED = ARTIFACT_COLUMNS | {
+    "data_card": _CARD | _FRACTIONS | {"pos": "int"},
+    "validation": _VALIDATION | {"null_rate": "double", "adf_pvalue": "double"},
+    "transformed_balanced": ARTIFACT_COLUMNS["transformed"],
+    "mask_balanced": ARTIFACT_COLUMNS["mask"],
+}
+#: Vintages that the stream's query lands.
+GOOD_VINTAGES = ("2001-11", "2001-12")
+ODD_VINTAGES = {"2001-07": "number", "2001-08": "code", "2001-09": "twice"}
 
 
 def r6(c) -> F.Column:
@@ -103,8 +127,14 @@ def q_vintage_path(spark, sf):
 
 
 def _ingested(spark, sf):
+    """The panel written as a vintage file and read back by the vintage reader."""
     panel, series = brand(spark, sf)
-    return V.parse_lines(V.split_lines(I.as_files(V.panel_to_lines(panel, series))), P_.date_floor)
+    lines = I.published_lines(V.panel_to_lines(panel, series)).withColumn(PANEL, F.lit(VINTAGE))
+    landing = I.scratch_folder(spark, "landing")
+    V.land_vintages(lines, landing)
+    named = F.lit("brand_revenue").alias(PANEL)
+    back, dim = V.read_vintages(spark, landing, P_.date_floor, pin=VINTAGE)
+    return back.select(named, SERIES, DATE, VALUE), dim.select(named, SERIES, "pos", "tcode")
 
 
 def q_ingest_long(spark, sf):
@@ -216,13 +246,61 @@ def q_artifact_manifest(spark, sf):
     t = S.transform_all(clean, series).checkpoint(eager=True)
     card = C.build_data_card(t, series, P_.max_missing_frac)
     m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
-    parts = [W.manifest_counts(n, d) for n, d in [("raw", clean), ("transformed", t), ("mask", m), ("data_card", card)]]
+    card = card.drop("pos")
+    parts = [W.manifest_counts(n, d.select(*ARTIFACT_COLUMNS[n]), DIGITS) for n, d in [("raw", clean), ("transformed", t), ("mask", m), ("data_card", card)]]
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
     return out
 
 
+def q_contract_failures(spark, sf):
+    """The rows behind ``contract_violations``, over the same spoiled artifacts."""
+    clean, series = cleaned(spark, sf)
+    clean = clean.checkpoint(eager=True)
+    t = S.transform_all(clean, series).checkpoint(eager=True)
+    card = C.build_data_card(t, series, P_.max_missing_frac)
+    m = C.mask(t, C.kept_series(t, series, P_.max_missing_frac))
+    spoiled = I.spoiled_artifacts(clean, t, m, card.drop("pos"), series)
+    found = CT.all_failures(spoiled)
+    fraction = F.format_string("%.4f", F.col("value").cast("double"))
+    return found.withColumn("value", F.when(F.col("column").startswith("frac_") & F.col("value").isNotNull(), fraction).otherwise(F.col("value")))
+
+
+def _published(spark, sf) -> str:
+    """The folder to which a whole run over the brand panel was published."""
+    out = I.scratch_folder(spark, "published")
+    R.publish(prepare(*brand(spark, sf), P_), out)
+    return out
+
+
+def q_published_artifacts(spark, sf):
+    """Every Parquet artifact of a published run, read back: rows and content digest."""
+    return R.published_digests(spark, _published(spark, sf), list(PUBLISHED), DIGITS)
+
+
+def q_published_report(spark, sf):
+    """The two JSON artifacts of a published run, read back and joined."""
+    out = _published(spark, sf)
+    report, summary = (R.read_published(spark, out, name) for name in R.JSON)
+    summary = summary.select(PANEL, "rows", "series_input", "series_kept", "series_dropped", F.col("balanced_n_series").alias("balanced"), "em_iter", "em_converged")
+    fractions = [r6(c).alias(c) for c in ("frac_imputed", "frac_imputed_leading", "frac_imputed_internal")]
+    names = ["n_iter", "converged", "k_factors", "n_kept", "n_dropped", "n_dates", "balanced_n_series", "pipeline_version", "balanced_cutoff_date"]
+    return report.join(summary, PANEL).select(PANEL, *names, F.round("final_delta", 8).alias("final_delta"), *fractions, "rows", "series_input", "series_kept", "series_dropped", "balanced", "em_iter", "em_converged")
+
+
+def q_vintage_stream(spark, sf):
+    """Vintage files landed, streamed in small batches, prepared and written; bad ones set aside: rows per artifact and reason."""
+    panel, series = brand(spark, sf)
+    lines = I.stream_lines(V.panel_to_lines(panel, series), list(GOOD_VINTAGES), ODD_VINTAGES)
+    landing, out, aside, position = (I.scratch_folder(spark, name) for name in ("landing", "stream-out", "quarantine", "stream-position"))
+    V.land_vintages(lines, landing)
+    start_vintage_stream(spark, landing, out, position, P_.with_(k=2), max_files_per_trigger=3, quarantine=aside).awaitTermination()
+    parts = [spark.read.parquet(f"{out}/{name}").select(F.col(PANEL).cast("string").alias(PANEL), F.lit(name).alias("what")) for name in ("raw", "mask", "data_card")]
+    parts.append(read_quarantine(spark, aside).select(PANEL, F.concat(F.lit("quarantine: "), "reason").alias("what")))
+    return reduce(DataFrame.unionByName, parts).groupBy(PANEL, "what").agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
+
+
 def q_run_summary_counts(spark, sf):
     card, t, series = _card(spark, sf)
     counts = C.imputation_counts(t, series, P_.max_missing_frac, P_.k)
@@ -324,7 +402,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "series_quality": q_series_quality,
     "df_tstat_lag0": q_df_tstat_lag0,
     "contract_violations": q_contract_violations,
+    "contract_failures": q_contract_failures,
     "artifact_manifest": q_artifact_manifest,
+    "published_artifacts": q_published_artifacts,
+    "published_report": q_published_report,
+    "vintage_stream": q_vintage_stream,
     "run_summary_counts": q_run_summary_counts,
     "em_pca_impute": q_em_pca_impute,
     "em_wide_impute": q_em_wide_impute,
@@ -437,6 +519,35 @@ def _contracts_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _failures_sql() -> str:
+    parts = []
+    for artifact, (src, rules, keys) in _CONTRACT_RULES.items():
+        date = "date" if "date" in keys else "CAST(NULL AS DATE)"
+        for rule, col in rules:
+            value = f"printf('%.4f', {col})" if col.startswith("frac_") else f"CAST({col} AS VARCHAR)"
+            value = "CAST(NULL AS VARCHAR)" if rule == "not_null" else value
+            parts.append(f"SELECT '{artifact}' AS artifact, '{rule}' AS rule, '{col}' AS \"column\", panel_id, series_id, {date} AS date, {value} AS value, CAST(1 AS BIGINT) AS n FROM {src} WHERE {_rule_sql(rule, col)}")
+        parts.append(
+            f"SELECT '{artifact}' AS artifact, 'unique' AS rule, '{'+'.join(keys[1:])}' AS \"column\", panel_id, series_id, {date} AS date, CAST(NULL AS VARCHAR) AS value, "
+            f"CAST(count(*) - 1 AS BIGINT) AS n FROM {src} GROUP BY {', '.join(keys)} HAVING count(*) > 1"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+def _published_sql() -> str:
+    balanced = "JOIN card c ON q.panel_id = c.panel_id AND q.series_id = c.series_id WHERE c.kept AND c.first_obs_date <= DATE '1995-12-01'"
+    sources = {
+        "raw": "clean",
+        "transformed": "em_cells",
+        "mask": "em_cells",
+        "data_card": "card",
+        "validation": "checked",
+        "transformed_balanced": f"(SELECT q.* FROM em_cells q {balanced}) b",
+        "mask_balanced": f"(SELECT q.* FROM em_cells q {balanced}) b",
+    }
+    return "\nUNION ALL ".join(f"SELECT panel_id, '{name}' AS artifact, CAST(count(*) AS BIGINT) AS n_rows, {digest_sql(PUBLISHED[name], DIGITS)} FROM {src} GROUP BY panel_id" for name, src in sources.items())
+
+
 def _manifest_sql() -> str:
     parts = []
     for artifact, src in [("raw", "clean"), ("transformed", "transformed"), ("mask", "mask_rows"), ("data_card", "card")]:
@@ -447,7 +558,7 @@ def _manifest_sql() -> str:
         )
         parts.append(
             f"SELECT panel_id, '{artifact}' AS artifact, CAST(count(*) AS BIGINT) AS n_rows, "
-            f"CAST(count(DISTINCT series_id) AS BIGINT) AS n_series, {dates} FROM {src} GROUP BY panel_id"
+            f"CAST(count(DISTINCT series_id) AS BIGINT) AS n_series, {dates}, {digest_sql(ARTIFACT_COLUMNS[artifact], DIGITS)} FROM {src} GROUP BY panel_id"
         )
     return "\nUNION ALL ".join(parts)
 
@@ -571,15 +682,38 @@ SELECT panel_id, kept_ids AS kept_series, dropped_ids AS dropped_series, CAST(n_
   CAST(n_kept AS INT) AS n_kept, CAST(n_dropped AS INT) AS n_dropped, n_dates
 FROM ic, em_end"""
 )
-ORACLES["adf_validation"] = (
-    _EM
-    + ","
-    + OE.adf_cte()
-    + """
+_CHECKED = """
 SELECT c.panel_id, c.series_id, c.n_obs, 0.0::DOUBLE AS null_rate, false AS flag_sparse, false AS flag_infinite,
   round(a.p, 4) AS adf_pvalue, coalesce(a.p >= 0.05, false) AS flag_nonstationary
 FROM (SELECT panel_id, series_id, count(*) AS n_obs FROM em_cells GROUP BY panel_id, series_id) c
 LEFT JOIN adf a ON a.panel_id = c.panel_id AND a.series_id = c.series_id"""
+ORACLES["adf_validation"] = _EM + "," + OE.adf_cte() + _CHECKED
+ORACLES["published_artifacts"] = (
+    _EM + "," + OE.adf_cte() + ",\nunplaced AS (" + _CHECKED + "),\nchecked AS (SELECT u.*, k.pos FROM unplaced u JOIN kept k ON u.panel_id = k.panel_id AND u.series_id = k.series_id)\n" + _published_sql()
+)
+ORACLES["published_report"] = (
+    _EM
+    + ","
+    + _IMP_COUNTS
+    + f"""
+SELECT ic.panel_id, CAST(n_iter AS BIGINT) AS n_iter, delta < {P_.tol} AS converged, CAST(k_factors AS BIGINT) AS k_factors, n_kept, n_dropped, n_dates,
+  b.n AS balanced_n_series, '{P_.pipeline_version}' AS pipeline_version, '{P_.balanced_cutoff.isoformat()}' AS balanced_cutoff_date,
+  round(delta, 8) AS final_delta, frac_imputed, frac_imputed_leading, frac_imputed_internal, n_dates AS rows,
+  (SELECT count(*) FROM card) AS series_input, n_kept AS series_kept, n_dropped AS series_dropped, b.n AS balanced, CAST(n_iter AS BIGINT) AS em_iter, delta < {P_.tol} AS em_converged
+FROM ic, em_end, (SELECT count(*) AS n FROM card WHERE kept AND first_obs_date <= DATE '1995-12-01') b"""
+)
+ORACLES["contract_failures"] = _ALLM.rstrip("\n") + _SPOILED + _failures_sql()
+_REASONS = {"number": "malformed number", "code": "unknown tcode", "twice": "date stands twice"}
+ORACLES["vintage_stream"] = (
+    Q.ALL
+    + "SELECT v AS panel_id, what, n_rows FROM (SELECT unnest(["
+    + ", ".join(f"'{v}'" for v in GOOD_VINTAGES)
+    + """]) AS v) g, (
+  SELECT 'raw' AS what, count(*) AS n_rows FROM clean
+  UNION ALL SELECT 'mask', count(*) FROM kept_cells
+  UNION ALL SELECT 'data_card', count(*) FROM card) a
+"""
+    + "".join(f"UNION ALL SELECT '{v}', 'quarantine: {_REASONS[f]}', CAST(1 AS BIGINT)\n" for v, f in ODD_VINTAGES.items())
 )
 # the leading direction of the quarters' own products, by power iteration; a step's refill needs no more at k = 1
 ORACLES["em_wide_rank1"] = """WITH RECURSIVE facts AS (

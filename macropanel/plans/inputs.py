@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from macropanel.model import DATE, PANEL, SERIES, VALUE
+from macropanel.session import ensure_checkpoint_dir
 from macropanel.sources.panels import day_event_values, facts_to_panel, month_brand_facts, month_nation_orders, read_table
 
 
@@ -111,13 +115,37 @@ def with_infinities(panel: DataFrame, series: DataFrame) -> DataFrame:
 SHORT_LINE = 10
 
 
-def as_files(lines: DataFrame) -> DataFrame:
-    """Vintage lines as whole files ``(panel_id, value)``: November's lines end early, and lines dated 50 years before are there too."""
+def published_lines(lines: DataFrame) -> DataFrame:
+    """Vintage lines ``(panel_id, ln, line)`` with the oddities of published files: November's end early, and those dated 50 years before are there too."""
     dated = F.to_date(F.when(F.col("ln") > 1, F.split("line", ",")[0]), "M/d/yyyy")
     short = F.array_join(F.slice(F.split("line", ","), 1, SHORT_LINE), ",")
     cut = lines.select(PANEL, "ln", F.when(F.month(dated) == 11, short).otherwise(F.col("line")).alias("line"), dated.alias("d"))
     early = F.concat(F.date_format(F.add_months("d", -600), "M/d/yyyy"), F.lit(","), F.regexp_replace("line", "^[^,]*,", ""))
     old = cut.where("d is not null").select(PANEL, (F.col("ln") + 100_000).alias("ln"), early.alias("line"))
-    both = cut.select(PANEL, "ln", "line").unionByName(old)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "line"))), lambda x: x["line"]), "\r\n")
-    return both.groupBy(PANEL).agg(text.alias("value"))
+    return cut.select(PANEL, "ln", "line").unionByName(old)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of the checkpoint folder, for files that a query writes and reads back."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stream_lines(lines: DataFrame, good: list[str], odd: dict[str, str]) -> DataFrame:
+    """The lines as several vintages: ``good`` ones as they are, ``odd`` ones (vintage -> fault) with a fault laid on.
+
+    ``number``: the first data lines hold a word for a number; ``code``: the code line is an unknown one; ``twice``: the
+    dates of a year stand twice.
+    """
+    cells, year = F.split("line", ","), F.year(F.to_date(F.when(F.col("ln") > 1, F.split("line", ",")[0]), "M/d/yyyy"))
+    word = F.concat_ws(",", cells[0], F.lit("n/a"), F.slice(cells, 3, F.greatest(F.size(cells) - 2, F.lit(0))))
+    parts = [lines.withColumn(PANEL, F.explode(F.array(*map(F.lit, good))))]
+    for vintage, fault in odd.items():
+        one = lines.withColumn(PANEL, F.lit(vintage))
+        if fault == "number":
+            one = one.withColumn("line", F.when((F.col("ln") > 1) & (year == 1996), word).otherwise(F.col("line")))
+        elif fault == "code":
+            one = one.withColumn("line", F.when(F.col("ln") == 1, F.lit("Transform:,17")).otherwise(F.col("line")))
+        elif fault == "twice":
+            one = one.unionByName(one.where((F.col("ln") > 1) & (year == 1997)))
+        parts.append(one)
+    return reduce(DataFrame.unionByName, parts)

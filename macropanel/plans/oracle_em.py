@@ -66,7 +66,8 @@ em(it, q, delta, z, a, v) AS (
 em_end AS (SELECT it AS n_iter, delta, em.z, k, dates FROM em, shape WHERE q = (m - 1) * {SWEEPS} ORDER BY it DESC LIMIT 1),
 em_dates AS (SELECT unnest(dates) AS date, unnest(z) AS r FROM em_end),
 em_cells AS (
-  SELECT p.panel_id, p.series_id, p.date, p.i, p.value IS NULL AS imputed, CASE WHEN p.value IS NULL THEN e.r[p.i] ELSE p.z END AS z
+  SELECT p.panel_id, p.series_id, p.date, p.i, p.value IS NULL AS imputed, CASE WHEN p.value IS NULL THEN e.r[p.i] ELSE p.z END AS z,
+    CASE WHEN p.value IS NULL THEN e.r[p.i] * p.sd + p.mu ELSE p.value END AS value
   FROM placed p JOIN em_dates e ON p.date = e.date)"""
 
 

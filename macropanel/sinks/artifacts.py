@@ -55,15 +55,17 @@ def write_json(df: DataFrame, path: str, year: str, month: str) -> None:
     )
 
 
-def manifest_counts(name: str, df: DataFrame) -> DataFrame:
-    """Per panel: rows, series, first/last date as ``MM/yyyy`` (the SQL-checkable part)."""
+def manifest_counts(name: str, df: DataFrame, digits: int | None = None) -> DataFrame:
+    """Per panel: rows, series, first/last date as ``MM/yyyy``; with ``digits`` the content digest at that precision (the SQL-checkable part)."""
     has_date = DATE in df.columns
+    content = [] if digits is None else digest_columns(row_text(df, digits))
     return df.groupBy(PANEL).agg(
         F.lit(name).alias("artifact"),
         F.count(F.lit(1)).cast("long").alias("n_rows"),
         F.countDistinct(SERIES).cast("long").alias("n_series"),
         (F.date_format(F.min(DATE), "MM/yyyy") if has_date else F.lit(None).cast("string")).alias("date_first"),
         (F.date_format(F.max(DATE), "MM/yyyy") if has_date else F.lit(None).cast("string")).alias("date_last"),
+        *content,
     )
 
 
