@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from macropanel.functions.quantile import pick, quantile_rank, rank_columns
+from macropanel.functions.quantile import pick, quantile_rank, rank_columns, select_ranks
 from macropanel.model import DATE, K, VALUE, nan_to_null
 
 _STAT_COLS = ["_n", "_median", "_q25", "_q75"]
@@ -59,6 +59,31 @@ def outlier_bounds(panel: DataFrame, k: float = 10.0, method: str = "nearest") -
     )
 
 
+def long_series_stats(panel: DataFrame, method: str = "nearest") -> DataFrame:
+    """One row per series: _n, _median, _q25, _q75, by passes over all partitions instead of one sort per series."""
+    n = panel.groupBy(*K).agg(F.count(VALUE).alias("_n"))
+    c = F.col("_n")
+    ranks = F.create_map(
+        *[x for name, r in (("m_lo", F.floor((c - 1) / 2)), ("m_hi", F.ceil((c - 1) / 2)), ("q25", quantile_rank(0.25, c, method)), ("q75", quantile_rank(0.75, c, method))) for x in (F.lit(name), r.cast("long"))]
+    )
+    targets = n.where("_n > 0").select(*K, F.explode(ranks).alias("target", "rank"))
+    at = select_ranks(panel, targets, K, VALUE).groupBy(*K).agg(*[F.max(F.when(F.col("target") == t, F.col("picked"))).alias(f"_{t}") for t in ("m_lo", "m_hi", "q25", "q75")])
+    return n.join(at, K, "left").select(*K, "_n", ((F.col("_m_lo") + F.col("_m_hi")) / 2).alias("_median"), "_q25", "_q75")
+
+
+def remove_outliers_long(panel: DataFrame, k: float = 10.0, method: str = "nearest") -> DataFrame:
+    """``remove_outliers`` for series too long for one task: same rows, columns and values.
+
+    The band of a series is a row that joins its cells (broadcast while the planner knows it to be small).
+    """
+    panel = nan_to_null(panel)
+    lower, upper = _band(k)
+    v = F.col(VALUE)
+    band = long_series_stats(panel, method).select(*K, lower.alias("_lower"), upper.alias("_upper"))
+    kept = F.when((v >= F.col("_lower")) & (v <= F.col("_upper")), v)
+    return panel.join(band, K, "left").withColumn(VALUE, kept).drop("_lower", "_upper")
+
+
 def outlier_count(panel: DataFrame, k: float = 10.0) -> DataFrame:
     """Per series: how many non-null values the band nulls out."""
     before = panel.select(*K, DATE, F.col(VALUE).isNotNull().alias("_had"))

@@ -96,6 +96,29 @@ def q_remove_outliers(spark, sf):
     return clean.select(PANEL, SERIES, DATE, VALUE)
 
 
+def q_long_series_band(spark, sf):
+    """The band of one series that holds every event: no task sorts or holds it."""
+    e = P.read_table(spark, sf, "events")
+    panel = e.select(F.lit("events").alias(PANEL), F.lit("all").alias(SERIES), F.to_date("ts").alias(DATE), F.col("value").alias(VALUE))
+    stats = O.long_series_stats(panel)
+    lower, upper = O._band(P_.outlier_k)
+    return stats.select(PANEL, SERIES, F.col("_n").alias("n_obs"), r6("_median").alias("median"), r6("_q25").alias("q25"), r6("_q75").alias("q75"), r6(lower).alias("lower"), r6(upper).alias("upper"))
+
+
+def q_remove_outliers_long(spark, sf):
+    panel, _ = brand(spark, sf)
+    return O.remove_outliers_long(panel, P_.outlier_k).select(PANEL, SERIES, DATE, VALUE)
+
+
+def q_wide_and_back(spark, sf):
+    """Nation x month order values as a wide table, one column a nation, and back to cells."""
+    facts = P.month_nation_orders(P.read_table(spark, sf, "orders"), P.read_table(spark, sf, "customer"))
+    cells, series = P.facts_to_panel(facts)
+    names = [r[SERIES] for r in series.orderBy("pos").select(SERIES).collect()]  # the columns of a wide table
+    wide = P.to_wide(cells.select(PANEL, SERIES, DATE, VALUE), names).drop(PANEL)
+    return P.unpivot_wide(wide, "nation_orders")
+
+
 def make_tcode_query(code: int):
     def q(spark, sf):
         clean, _ = cleaned(spark, sf)
@@ -385,6 +408,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "outlier_bounds": q_outlier_bounds,
     "remove_outliers": q_remove_outliers,
     **{f"tcode_{c}": make_tcode_query(c) for c in S.TCODES},
+    "long_series_band": q_long_series_band,
+    "remove_outliers_long": q_remove_outliers_long,
+    "wide_and_back": q_wide_and_back,
     "transform_all": q_transform_all,
     "data_card": q_data_card,
     "vintage_path": q_vintage_path,
@@ -702,6 +728,18 @@ SELECT ic.panel_id, CAST(n_iter AS BIGINT) AS n_iter, delta < {P_.tol} AS conver
   (SELECT count(*) FROM card) AS series_input, n_kept AS series_kept, n_dropped AS series_dropped, b.n AS balanced, CAST(n_iter AS BIGINT) AS em_iter, delta < {P_.tol} AS em_converged
 FROM ic, em_end, (SELECT count(*) AS n FROM card WHERE kept AND first_obs_date <= DATE '1995-12-01') b"""
 )
+ORACLES["remove_outliers_long"] = ORACLES["remove_outliers"]
+ORACLES["long_series_band"] = """WITH l AS (SELECT list_sort(list(value) FILTER (WHERE value IS NOT NULL)) AS l, median(value) AS median FROM events),
+p AS (SELECT len(l) AS n, median, l[CAST(floor(0.25 * (len(l) - 1) + 0.5) AS INT) + 1] AS q25, l[CAST(floor(0.75 * (len(l) - 1) + 0.5) AS INT) + 1] AS q75 FROM l)
+SELECT 'events' AS panel_id, 'all' AS series_id, CAST(n AS BIGINT) AS n_obs, round(median, 6) AS median, round(q25, 6) AS q25,
+  round(q75, 6) AS q75, round(median - 10.0 * (q75 - q25), 6) AS lower, round(median + 10.0 * (q75 - q25), 6) AS upper FROM p"""
+ORACLES["wide_and_back"] = """WITH f AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, 'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS series_id,
+    CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+d AS (SELECT CAST(d AS DATE) AS date FROM (SELECT min(date) AS lo, max(date) AS hi FROM f) b, generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 MONTH) AS g(d))
+SELECT 'nation_orders' AS panel_id, s.series_id, d.date, f.value
+FROM d CROSS JOIN (SELECT DISTINCT series_id FROM f) s LEFT JOIN f ON f.date = d.date AND f.series_id = s.series_id"""
 ORACLES["contract_failures"] = _ALLM.rstrip("\n") + _SPOILED + _failures_sql()
 _REASONS = {"number": "malformed number", "code": "unknown tcode", "twice": "date stands twice"}
 ORACLES["vintage_stream"] = (

@@ -139,3 +139,34 @@ def test_nan_is_a_missing_value(spark):
 def test_flat_series_keeps_only_its_level(spark):
     panel, _ = long_panel(spark, {"flat": [3.0] * 9 + [3.5]}, month_dates(10))
     assert wide(O.remove_outliers(panel))["flat"] == [3.0] * 9 + [None]
+
+
+def test_ranks_by_passes_equal_sorted_values(spark):
+    """Ties, huge and tiny values, equal values only, one value, none, infinities' neighbours."""
+    import random
+
+    from macropanel.functions.quantile import select_ranks
+
+    rng = random.Random(3)
+    groups = {
+        "ties": [float(rng.randrange(5)) for _ in range(400)],
+        "spread": [rng.choice([-1, 1]) * 10.0 ** rng.randint(-300, 300) for _ in range(300)],
+        "same": [2.5] * 50,
+        "one": [7.0],
+        "wide": [-1.7e308, 1.7e308, 0.0, 1e-320, -1e-320, 5.0],
+        "none": [],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in [*vs, None]]
+    cells = spark.createDataFrame(rows, "g string, value double").repartition(5)
+    targets = [(g, f"t{i}", i) for g, vs in groups.items() for i in sorted({0, len(vs) // 4, len(vs) // 2, len(vs) - 1}) if 0 <= i < len(vs)]
+    got = {(r.g, r.target): r.picked for r in select_ranks(cells, spark.createDataFrame(targets, "g string, target string, rank long"), ["g"], "value").collect()}
+    assert got == {(g, t): sorted(groups[g])[i] for g, t, i in targets}
+
+
+def test_long_series_lose_the_same_outliers(spark):
+    from macropanel.operators.outliers import remove_outliers_long
+
+    values = {"a": [1.0, 2.0, 3.0, 2.0, 900.0, None, float("nan"), 1.5], "b": [None] * 8, "c": [4.0] * 7 + [4.1]}
+    panel, _ = long_panel(spark, values, month_dates(8))
+    key = lambda df: sorted(map(str, df.select("series_id", "date", "value").collect()))
+    assert key(remove_outliers_long(panel, 3.0)) == key(O.remove_outliers(panel, 3.0))
