@@ -1,23 +1,26 @@
-"""Approximate nearest neighbours: balanced posting lists with replicated boundary vectors.
+"""Approximate nearest neighbours: balanced posting lists with replicated boundary vectors, at two levels.
 
 * Equal vectors are one class with its ``k + 1`` smallest ids, so a common vector makes no large list; the
   search is between classes, and the ids come back in at the end.
 * Largest inner product becomes nearest distance by one more coordinate, sqrt(M^2 - |x|^2).
-* The lists' centroids come from a bounded sample (SAMPLE vectors of the smallest hash): halved at the median
-  along the main direction until the parts are small, so lists are balanced, then moved to their means.
-  At most MAX_LISTS centroids are broadcast; every vector is indexed.
-* A vector near a border goes into every list whose centroid is within ``1 + BORDER`` times its nearest
-  distance, up to REPLICAS lists.
-* A query finds centroids by best-first search in an in-memory neighbour graph and probes every list whose
-  centroid is within ``1 + PROBE`` times the nearest distance (no cap on lists), and the LEAST nearest anyway. Its nearest lists are searched
-  first; from the others only what beats the query's k-th score so far leaves the task.
-* Lists and their queries are dealt in blocks of bounded size, so neither a large list nor a list that many
+* Cells: about the square root of the number of lists, at most MAX_CELLS. Their centroids come from a bounded sample
+  (SAMPLE vectors of the smallest hash): halved at the median along the main direction, so cells are balanced, then
+  moved to their means. They are broadcast, and queries search them in an in-memory neighbour graph.
+* Lists: a task per cell makes its own in the same way, one for every LIST_SIZE vectors of the cell, from FIT_CELL of its
+  vectors at most. The number of lists grows with the table; their centroids stay in a table, grouped by cell.
+* A vector goes into its nearest list, and near a border into up to REPLICAS lists whose centroids are within
+  ``1 + BORDER`` times its nearest distance. Most vectors are in one list.
+* A query probes the cells within ``1 + CELL_PROBE`` times its nearest cell's distance, and in them the lists within
+  ``1 + PROBE`` times the distance of its NEAR-th nearest list (no number of lists is set). Its NEAR nearest lists are
+  searched first; from the others only what beats its k-th score so far leaves the task.
+* Vectors and queries of a cell are dealt in blocks of bounded size, so neither a large cell nor one that many
   queries probe makes a large task.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor
 do rows without a vec_id, nor vectors of another length than the most frequent one; rows that repeat a
-(vec_id, vector) are one row; rows of one vec_id are each other's own row; an empty table, or a single vector,
-gives no neighbour; fewer candidates than k are all returned if probed; only vec_id and embedding are read.
+(vec_id, vector) are one row; rows of one vec_id are each other's own row; equal scores go by the smaller vec_id, also
+at the k-th place; an empty table, or a single vector, gives no neighbour; fewer candidates than k are all returned if
+probed; only vec_id and embedding are read, other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -34,16 +37,18 @@ from macropanel.llm.common import Scratch
 
 K = 20
 SAMPLE = 20_000
-LIST_SIZE = 128
-MAX_LISTS = 4096
-REPLICAS = 8
-BORDER = 0.25
-PROBE = 0.16
-#: Lists searched first, for the bound on the others.
-FIRST = 8
-#: Nearest lists that are probed whatever their distance.
-LEAST = 24
-#: Vectors and queries of a list that one block holds at most.
+LIST_SIZE = 48
+MAX_CELLS = 4096
+#: Vectors of a cell that its lists are fitted on.
+FIT_CELL = 50_000
+REPLICAS = 2
+BORDER = 0.01
+CELL_PROBE = 0.35
+PROBE = 0.13
+#: The nearest list whose distance the others' are held against; those up to it are searched first. In a table of few
+#: lists it is the one behind a sixteenth of them.
+NEAR = 8
+#: Vectors and queries of a cell that one block holds at most.
 LIST_BLOCK = 4096
 QUERY_BLOCK = 2048
 NEIGHBOURS = 16
@@ -57,6 +62,16 @@ def valid(rows: DataFrame) -> DataFrame:
     return v.dropDuplicates(["vec_id", "v"])
 
 
+def distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Squared distances of the rows of x from those of c."""
+    return np.maximum((x * x).sum(axis=1)[:, None] - 2 * (x @ c.T) + (c * c).sum(axis=1)[None, :], 0.0)
+
+
+def nearest_centroid(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The nearest row of c for every row of x, 1024 rows at a time."""
+    return np.concatenate([distances(x[a : a + 1024], c).argmin(axis=1) for a in range(0, len(x), 1024)])
+
+
 def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 3, seed: int = 0) -> np.ndarray:
     """Means of about ``lists`` parts of equal size, after a few rounds of moving vectors to their nearest mean."""
     rng = np.random.default_rng(seed)
@@ -75,7 +90,7 @@ def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 3, seed: int = 0
         parts += [order[: len(order) // 2], order[len(order) // 2 :]]
     c = np.array([x[p].mean(axis=0) for p in done])
     for _ in range(rounds):
-        near = distances(x, c).argmin(axis=1)
+        near = nearest_centroid(x, c)
         n = np.bincount(near, minlength=len(c))
         sums = np.zeros_like(c)
         np.add.at(sums, near, x)
@@ -83,9 +98,14 @@ def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 3, seed: int = 0
     return c
 
 
-def distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Squared distances of the rows of x from those of c."""
-    return np.maximum((x * x).sum(axis=1)[:, None] - 2 * (x @ c.T) + (c * c).sum(axis=1)[None, :], 0.0)
+def lifted(v: np.ndarray, m: float) -> np.ndarray:
+    """Vectors with the coordinate that brings all to the norm sqrt(m)."""
+    return np.hstack([v, np.sqrt(np.maximum(m - (v * v).sum(axis=1), 0.0))[:, None]])
+
+
+def asking(v: np.ndarray, m: float) -> np.ndarray:
+    """Queries at the norm sqrt(m), with nothing in the further coordinate."""
+    return np.hstack([v * np.sqrt(m / (v * v).sum(axis=1))[:, None], np.zeros((len(v), 1))])
 
 
 class Graph:
@@ -106,8 +126,8 @@ class Graph:
         self.links = [np.array(sorted(s), np.int64) for s in links]
         self.entries = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(np.int64))
 
-    def within(self, q: np.ndarray, ratio: float, least: int = LEAST) -> list[tuple[float, int]]:
-        """(distance, centroid) of the centroids reached within ``ratio`` times the nearest distance, nearest first, and the ``least`` nearest.
+    def within(self, q: np.ndarray, ratio: float) -> list[tuple[float, int]]:
+        """(distance, centroid) of the centroids reached within ``ratio`` times the nearest distance, nearest first.
 
         The search walks on through centroids up to a wider ratio, so that it isn't stopped by a ridge.
         """
@@ -117,7 +137,7 @@ class Graph:
         todo = list(zip(d(self.entries).tolist(), self.entries.tolist(), strict=True))
         heapq.heapify(todo)
         found, best = [], min(todo)[0]
-        while todo and (todo[0][0] <= best * ratio * 1.02 or len(found) < 2 * least):
+        while todo and todo[0][0] <= best * ratio * 1.02:
             x, i = heapq.heappop(todo)
             found.append((x, i))
             new = self.links[i][~seen[self.links[i]]]
@@ -126,111 +146,236 @@ class Graph:
                 best = min(best, y)
                 heapq.heappush(todo, (y, j))
         found.sort()
-        return [f for n, f in enumerate(found) if n < least or f[0] <= best * ratio]
-
-
-def nearest(rows: DataFrame, queries: str, k: int = K, list_size: int = LIST_SIZE, replicas: int = REPLICAS, border: float = BORDER, probe: float = PROBE, sample: int = SAMPLE) -> DataFrame:
-    """query_id, rank, vec_id, score: up to k neighbours of every row that the SQL condition ``queries`` holds for."""
-    spark = rows.sparkSession
-    scratch = Scratch(spark, "ann")
-    v = valid(rows)
-    lengths = v.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows"))
-    dims = (lengths.orderBy(F.desc("rows"), F.desc("n")).first() or {"n": 0})["n"]
-    v = scratch.save(v.where(F.size("v") == dims).withColumn("h", F.xxhash64("v")), "vectors")
-
-    # classes of equal vectors, known by the place of their first row in a written table
-    same = Window.partitionBy("h", "v").orderBy("vec_id")
-    members = scratch.save(v.withColumn("rn", F.row_number().over(same)).where(F.col("rn") <= k + 1), "members")
-    classes = scratch.save(members.where("rn = 1").select(F.monotonically_increasing_id().alias("c"), F.col("vec_id").alias("first"), "h", "v"), "classes")
-    on = classes.select("c", F.col("h").alias("_h"), F.col("v").alias("_v"))
-    equal = (F.col("h") == F.col("_h")) & (F.col("v") == F.col("_v"))
-    members = scratch.save(members.join(on, equal).select("c", "vec_id"), "ids")
-    asked = scratch.save(v.where(queries).join(on, equal).select(F.col("vec_id").alias("query_id"), "c"), "asked")
-
-    stats = classes.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()
-    if not stats["n"]:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    m = float(stats["m"])
-    drawn = classes.orderBy(F.xxhash64("h", F.lit("fit")), "c").limit(sample).select("v").collect()
-    x = np.array([r["v"] for r in drawn])
-    x = np.hstack([x, np.sqrt(np.maximum(m - (x * x).sum(axis=1), 0.0))[:, None]])
-    lists = int(min(MAX_LISTS, -(-stats["n"] // list_size), max(1, len(x) // 8)))
-    centroids = balanced_centroids(x, lists)
-    sent = spark.sparkContext.broadcast(centroids)  # at most MAX_LISTS rows
-    graph = spark.sparkContext.broadcast((lambda g: (g.c, g.links, g.entries))(Graph(centroids)))
-
-    def post(frames):
-        c = sent.value
-        for pdf in frames:
-            for a in range(0, len(pdf), 1024):
-                part = pdf.iloc[a : a + 1024]
-                y = np.array(part["v"].tolist())
-                d = np.sqrt(distances(np.hstack([y, np.sqrt(np.maximum(m - (y * y).sum(axis=1), 0.0))[:, None]]), c))
-                r = min(replicas, len(c))
-                near = np.argpartition(d, r - 1, axis=1)[:, :r]
-                dn = np.take_along_axis(d, near, axis=1)
-                i, j = np.nonzero(dn <= dn.min(axis=1, keepdims=True) * (1 + border))
-                yield pd.DataFrame({"list": near[i, j], "c": part["c"].to_numpy()[i], "first": part["first"].to_numpy()[i], "v": [part["v"].iloc[t] for t in i]})
-
-    def ask(frames):
-        g = Graph.__new__(Graph)
-        g.c, g.links, g.entries = graph.value
-        for pdf in frames:
-            out = {"list": [], "q": [], "v": [], "place": []}
-            for q, v in zip(pdf["c"], pdf["v"], strict=True):
-                y = np.asarray(v) * np.sqrt(m / np.dot(v, v))
-                got = g.within(np.append(y, 0.0), 1 + probe)
-                out["list"] += [i for _, i in got]
-                out["q"] += [q] * len(got)
-                out["v"] += [v] * len(got)
-                out["place"] += range(len(got))
-            yield pd.DataFrame(out)
-
-    posted = scratch.save(classes.mapInPandas(post, "list long, c long, first long, v array<double>"), "postings")
-    wanted = classes.join(asked.select("c").distinct(), "c", "left_semi").mapInPandas(ask, "list long, q long, v array<double>, place int")
-    wanted = scratch.save(wanted, "probes")
-
-    def search(probes: DataFrame, with_bound: bool) -> DataFrame:
-        """The best k + 1 classes of every probe's block (that beat its query's bound): q, c, first, score."""
-        n_p = {r["list"]: r["count"] for r in posted.groupBy("list").count().collect()}  # at most MAX_LISTS rows each
-        n_q = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}
-        rows_ = [(i, -(-n_p[i] // LIST_BLOCK), -(-n_q[i] // QUERY_BLOCK)) for i in n_p.keys() & n_q.keys()]
-        blocks = F.broadcast(spark.createDataFrame(rows_, "list long, np long, nq long"))
-        p = posted.join(blocks, "list").select("list", F.pmod(F.xxhash64("c"), "np").alias("pb"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"), "c", "first", "v")
-        q = probes.join(blocks, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("pb"), F.pmod(F.xxhash64("q"), "nq").alias("qb"), "q", "v", "bound")
+        return [f for f in found if f[0] <= best * ratio]
+
+
+def _stacked(column: pd.Series) -> np.ndarray:
+    return np.array(column.tolist(), np.float64)
+
+
+class Index:
+    """Posting lists of a table's vectors; ``probes`` and ``nearest`` ask them for rows that an SQL condition names."""
+
+    def __init__(self, rows: DataFrame, k: int = K, list_size: int = LIST_SIZE, replicas: int = REPLICAS, border: float = BORDER, sample: int = SAMPLE, fit_cell: int = FIT_CELL, max_cells: int = MAX_CELLS):
+        self.spark, self.k, self.replicas, self.border = rows.sparkSession, k, replicas, border
+        self.scratch = scratch = Scratch(self.spark, "ann")
+        v = valid(rows)
+        lengths = v.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows"))
+        dims = (lengths.orderBy(F.desc("rows"), F.desc("n")).first() or {"n": 0})["n"]
+        self.vectors = scratch.save(v.where(F.size("v") == dims).withColumn("h", F.xxhash64("v")), "vectors")
+
+        # classes of equal vectors, known by the place of their first row in a written table
+        same = Window.partitionBy("h", "v").orderBy("vec_id")
+        members = scratch.save(self.vectors.withColumn("rn", F.row_number().over(same)).where(F.col("rn") <= k + 1), "members")
+        self.classes = scratch.save(members.where("rn = 1").select(F.monotonically_increasing_id().alias("c"), F.col("vec_id").alias("first"), "h", "v"), "classes")
+        self.members = scratch.save(self._classed(members).select("c", "vec_id"), "ids")
+        scratch.drop("members")
+
+        stats = self.classes.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()
+        self.n, self.m = stats["n"], float(stats["m"] or 0.0)
+        if not self.n:
+            return
+        drawn = self.classes.orderBy(F.xxhash64("h", F.lit("fit")), "c").limit(sample).select("v").collect()
+        x = lifted(np.array([r["v"] for r in drawn]), self.m)
+        cells = int(min(max_cells, max(1, round((self.n / list_size) ** 0.5)), max(1, len(x) // 8)))
+        self.cells = self.spark.sparkContext.broadcast(balanced_centroids(x, cells))  # at most max_cells rows
+        self._post(list_size, fit_cell)
+
+    def _classed(self, rows: DataFrame) -> DataFrame:
+        """Rows with h and v, and the class of their vector."""
+        on = self.classes.select("c", F.col("h").alias("_h"), F.col("v").alias("_v"))
+        return rows.join(on, (F.col("h") == F.col("_h")) & (F.col("v") == F.col("_v")))
+
+    def _sizes(self, table: DataFrame) -> dict[int, int]:
+        return {r["cell"]: r["count"] for r in table.groupBy("cell").count().collect()}  # a row per cell
+
+    def _post(self, list_size: int, fit_cell: int) -> None:
+        """``lists`` (cell, list, centroid) and ``postings`` (cell, list, c, first, v)."""
+        m, cells, replicas, border = self.m, self.cells, self.replicas, self.border
+
+        def place(frames):
+            for pdf in frames:
+                for a in range(0, len(pdf), 1024):
+                    part = pdf.iloc[a : a + 1024]
+                    d = np.sqrt(distances(lifted(_stacked(part["v"]), m), cells.value))
+                    r = min(replicas, d.shape[1])
+                    near = np.argsort(d, axis=1, kind="stable")[:, :r]
+                    dn = np.take_along_axis(d, near, axis=1)
+                    i, j = np.nonzero(dn <= dn[:, :1] * (1 + border))
+                    yield pd.DataFrame({"cell": near[i, j], "home": j == 0, "c": part["c"].to_numpy()[i], "first": part["first"].to_numpy()[i], "v": [part["v"].iloc[t] for t in i]})
+
+        placed = self.scratch.save(self.classes.mapInPandas(place, "cell long, home boolean, c long, first long, v array<double>"), "placed")
+        homes = self._sizes(placed.where("home"))
+        small = F.broadcast(self.spark.createDataFrame([(c, n, -(-n // list_size)) for c, n in homes.items()], "cell long, n long, lists long"))
+        drawn = placed.where("home").join(small, "cell").where(F.pmod(F.xxhash64("c", F.lit("fit")), "n") < fit_cell)
+
+        def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            x = lifted(_stacked(pdf.sort_values("c")["v"]), m)
+            c = balanced_centroids(x, int(min(pdf["lists"].iloc[0], max(1, len(x) // 4))))
+            return pd.DataFrame({"cell": int(key[0]), "list": range(len(c)), "centroid": list(c)})
+
+        self.lists = self.scratch.save(drawn.select("cell", "lists", "c", "v").groupBy("cell").applyInPandas(fit, "cell long, list int, centroid array<double>"), "lists")
+
+        def assign(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            out = {"cell": [], "list": [], "d": [], "c": [], "first": [], "v": []}
+            if len(left) and len(right):
+                right = right.sort_values("list")
+                c, x = _stacked(right["centroid"]), lifted(_stacked(left["v"]), m)
+                for a in range(0, len(left), 1024):
+                    d = np.sqrt(distances(x[a : a + 1024], c))
+                    near = np.argsort(d, axis=1, kind="stable")[:, : min(replicas, len(c))]
+                    dn = np.take_along_axis(d, near, axis=1)
+                    i, j = np.nonzero(dn <= dn[:, :1] * (1 + border))
+                    out["list"] += right["list"].to_numpy()[near[i, j]].tolist()
+                    out["d"] += dn[i, j].tolist()
+                    for name in ("cell", "c", "first", "v"):
+                        out[name] += left[name].iloc[a + i].tolist()
+            return pd.DataFrame(out)
+
+        self.near = min(NEAR, max(2, self.lists.count() // 16))
+
+        dealt = self._blocks(placed, self._sizes(placed), LIST_BLOCK, "c")
+        near = dealt.groupBy("cell", "b").cogroup(self._every_block(self.lists, self._sizes(placed), LIST_BLOCK).groupBy("cell", "b"))
+        near = near.applyInPandas(assign, "cell long, list int, d double, c long, first long, v array<double>")
+        of = Window.partitionBy("c")
+        kept = near.withColumn("rn", F.row_number().over(of.orderBy("d", "cell", "list"))).withColumn("least", F.min("d").over(of))
+        kept = kept.where((F.col("rn") == 1) | (F.col("rn") <= replicas) & (F.col("d") <= F.col("least") * (1 + border)))
+        self.postings = self.scratch.save(kept.select("cell", "list", "c", "first", "v"), "postings")
+        self.scratch.drop("placed")
+
+    def _blocks(self, rows: DataFrame, sizes: dict[int, int], most: int, by: str) -> DataFrame:
+        """Rows with the block of their cell that they are dealt to."""
+        n = F.broadcast(self.spark.createDataFrame([(c, -(-x // most)) for c, x in sizes.items()], "cell long, nb long"))
+        return rows.join(n, "cell").withColumn("b", F.pmod(F.xxhash64(by), "nb")).drop("nb")
+
+    def _every_block(self, rows: DataFrame, sizes: dict[int, int], most: int, name: str = "b") -> DataFrame:
+        """Rows once for every block of their cell."""
+        n = F.broadcast(self.spark.createDataFrame([(c, -(-x // most)) for c, x in sizes.items()], "cell long, nb long"))
+        return rows.join(n, "cell").withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))).drop("nb")
+
+    def probes(self, asked: DataFrame, probe: float = PROBE, cell_probe: float = CELL_PROBE) -> DataFrame:
+        """Classes (c) -> q, v, cell, early and late: the lists of the cell that the class probes, the nearest ones first."""
+        m, cells, nth = self.m, self.cells, self.near
+        g = Graph(cells.value)
+        graph = self.spark.sparkContext.broadcast((g.c, g.links, g.entries))
+
+        def ask(frames):
+            g = Graph.__new__(Graph)
+            g.c, g.links, g.entries = graph.value
+            for pdf in frames:
+                if not len(pdf):
+                    continue
+                out = {"cell": [], "q": [], "v": []}
+                for q, v, y in zip(pdf["c"], pdf["v"], asking(_stacked(pdf["v"]), m), strict=True):
+                    got = [i for _, i in g.within(y, 1 + cell_probe)]
+                    out["cell"] += got
+                    out["q"] += [q] * len(got)
+                    out["v"] += [v] * len(got)
+                yield pd.DataFrame(out)
+
+        def choose(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            out = {"cell": [], "q": [], "v": [], "lists": [], "d": []}
+            if len(left) and len(right):
+                c, names = _stacked(right["centroid"]), right["list"].to_numpy()
+                d = np.sqrt(distances(asking(_stacked(left["v"]), m), c))
+                order = np.argsort(d, axis=1, kind="stable")
+                for cell, q, v, x, o in zip(left["cell"], left["q"], left["v"], d, order, strict=True):
+                    near = x[o]
+                    o = o[near <= near[min(nth, len(near)) - 1] * (1 + probe)]  # a cell's own NEAR-th is no nearer than the table's
+                    for name, value in (("cell", cell), ("q", q), ("v", v), ("lists", names[o]), ("d", x[o])):
+                        out[name].append(value)
+            return pd.DataFrame(out)
+
+        reached = self.scratch.save(asked.mapInPandas(ask, "cell long, q long, v array<double>"), "reached")
+        sizes = self._sizes(reached)
+        pairs = self._blocks(reached, sizes, QUERY_BLOCK, "q").groupBy("cell", "b").cogroup(self._every_block(self.lists, sizes, QUERY_BLOCK).groupBy("cell", "b"))
+        found = self.scratch.save(pairs.applyInPandas(choose, "cell long, q long, v array<double>, lists array<int>, d array<double>"), "chosen")
+        self.scratch.drop("reached")
+        near = F.array_sort(F.flatten(F.collect_list(F.slice("d", 1, nth))))  # NEAR numbers of a cell
+        ref = found.groupBy("q").agg(near.alias("a")).select(F.col("q").alias("_q"), F.element_at("a", F.least(F.size("a"), F.lit(nth))).alias("ref"))
+        held = found.join(ref, F.col("q") == F.col("_q"))
+        some = lambda low, high: F.filter(F.transform("lists", lambda x, i: F.when((F.get("d", i) > low) & (F.get("d", i) <= high), x)), lambda x: x.isNotNull())
+        held = held.select("q", "v", "cell", some(F.lit(-1.0), F.col("ref")).alias("early"), some(F.col("ref"), F.col("ref") * (1 + probe)).alias("late"))
+        held = self.scratch.save(held.where("size(early) + size(late) > 0"), "probes")
+        self.scratch.drop("chosen")
+        return held
+
+    def scores_per_query(self, probes: DataFrame) -> float:
+        """Vectors that a query is held against, on average, and the centroids of lists (not those of cells)."""
+        lists = probes.select("q", "cell", F.explode(F.concat("early", "late")).alias("list"))
+        sizes = self.postings.groupBy("cell", "list").agg(F.count("*").alias("n"))
+        scored = lists.join(sizes, ["cell", "list"]).agg(F.sum("n").alias("n")).first()["n"] or 0
+        looked = probes.join(self.lists.groupBy("cell").agg(F.count("*").alias("n")), "cell").agg(F.sum("n").alias("n")).first()["n"] or 0
+        return (scored + looked) / max(1, probes.select("q").distinct().count())
+
+    def _search(self, probes: DataFrame) -> DataFrame:
+        """The best k + 1 classes of every block (that beat its query's bound): q, c, first, score. ``want`` names the lists."""
+        k, n_p, n_q = self.k, self._sizes(self.postings), self._sizes(probes)
+        n_p = {c: n_p.get(c, 1) for c in n_q}
+        p = self._every_block(self._blocks(self.postings, n_p, LIST_BLOCK, "c").withColumnRenamed("b", "pb"), n_q, QUERY_BLOCK, "qb")
+        q = self._every_block(self._blocks(probes, n_q, QUERY_BLOCK, "q").withColumnRenamed("b", "qb"), n_p, LIST_BLOCK, "pb")
 
         def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             out = []
             if len(left) and len(right):
-                a, b = np.array(left["v"].tolist()), np.array(right["v"].tolist())
-                c, first = right["c"].to_numpy(), right["first"].to_numpy()
-                for q, vec, bound, s in zip(left["q"], a, left["bound"], a @ b.T, strict=True):
-                    at = np.flatnonzero(s >= bound - 1e-9) if with_bound else np.arange(len(s))
+                right = right.sort_values("list", kind="stable")
+                a, b = _stacked(left["v"]), _stacked(right["v"])
+                c, first, of = right["c"].to_numpy(), right["first"].to_numpy(), right["list"].to_numpy()
+                names, start = np.unique(of, return_index=True)
+                ends = dict(zip(names.tolist(), zip(start.tolist(), [*start[1:].tolist(), len(of)], strict=True), strict=True))
+                asking_: dict[int, list[int]] = {}
+                for i, want in enumerate(left["want"]):
+                    for x in want:
+                        if x in ends:
+                            asking_.setdefault(int(x), []).append(i)
+                s = np.full((len(a), len(b)), -np.inf)
+                for x, who in asking_.items():
+                    lo, hi = ends[x]
+                    s[who, lo:hi] = a[who] @ b[lo:hi].T
+                for q, vec, bound, row in zip(left["q"], a, left["bound"], s, strict=True):
+                    at = np.flatnonzero((row >= bound - 1e-9) & (row > -np.inf))
                     if len(at) > k + 1:
-                        cut = np.partition(s[at], len(at) - k - 1)[len(at) - k - 1]
-                        at = at[s[at] >= cut - 1e-12]  # with ties, which the ids decide later
-                    out.append(pd.DataFrame({"q": q, "c": c[at], "first": first[at], "score": (b[at] * vec).sum(axis=1)}))
+                        cut = np.partition(row[at], len(at) - k - 1)[len(at) - k - 1]
+                        at = at[row[at] >= cut - 1e-12]  # with ties, which the ids decide later
+                    if len(at):
+                        out.append(pd.DataFrame({"q": q, "c": c[at], "first": first[at], "score": (b[at] * vec).sum(axis=1)}))
             return pd.concat(out) if out else pd.DataFrame({"q": [], "c": [], "first": [], "score": []})
 
-        key = ["list", "pb", "qb"]
+        key = ["cell", "pb", "qb"]
         return q.groupBy(*key).cogroup(p.groupBy(*key)).applyInPandas(block, "q long, c long, first long, score double")
 
-    def best(found: DataFrame) -> DataFrame:
-        one = found.groupBy("q", "c", "first").agg(F.max("score").alias("score"))
-        order = Window.partitionBy("q").orderBy(F.desc("score"), "first", "c")
-        return one.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k + 1).drop("rn")
-
-    early = scratch.save(best(search(wanted.where(F.col("place") < FIRST).withColumn("bound", F.lit(0.0)), False)), "early")
-    bound = early.groupBy("q").agg(F.when(F.count("*") > k, F.min("score")).otherwise(F.lit(float("-inf"))).alias("bound"))
-    rest = wanted.where(F.col("place") >= FIRST).join(bound, "q")
-    found = best(early.union(search(rest, True)))
-    each = found.join(members, "c").select("q", "vec_id", "score")
-    top = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    each = each.withColumn("rn", F.row_number().over(top)).where(F.col("rn") <= k + 1).drop("rn")
-    each = scratch.save(each, "found")
-    mine = asked.join(each, F.col("c") == F.col("q")).where("vec_id != query_id")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return mine.select("query_id", F.row_number().over(order).cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    def nearest(self, queries: str, probe: float = PROBE, cell_probe: float = CELL_PROBE) -> DataFrame:
+        """query_id, rank, vec_id, score: up to k neighbours of every row that the condition holds for."""
+        if not self.n:
+            return self.spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        k, scratch = self.k, self.scratch
+        asked = scratch.save(self._classed(self.vectors.where(queries)).select(F.col("vec_id").alias("query_id"), "c"), "asked")
+        wanted = self.probes(self.classes.join(asked.select("c").distinct(), "c", "left_semi").select("c", "v"), probe, cell_probe)
+
+        def best(found: DataFrame) -> DataFrame:
+            one = found.groupBy("q", "c", "first").agg(F.max("score").alias("score"))
+            order = Window.partitionBy("q").orderBy(F.desc("score"), "first", "c")
+            return one.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k + 1).drop("rn")
+
+        unbound = F.lit(float("-inf"))
+        early = wanted.where("size(early) > 0").select("q", "v", "cell", F.col("early").alias("want"), unbound.alias("bound"))
+        early = scratch.save(best(self._search(early)), "early")
+        bound = early.groupBy("q").agg(F.when(F.count("*") > k, F.min("score")).otherwise(unbound).alias("bound"))
+        late = wanted.where("size(late) > 0").select("q", "v", "cell", F.col("late").alias("want")).join(bound, "q", "left")
+        found = best(early.union(self._search(late.fillna(float("-inf"), ["bound"]))))
+        each = found.join(self.members, "c").select("q", "vec_id", "score")
+        top = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+        each = scratch.save(each.withColumn("rn", F.row_number().over(top)).where(F.col("rn") <= k + 1).drop("rn"), "found")
+        mine = asked.join(each, F.col("c") == F.col("q")).where("vec_id != query_id")
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        out = mine.select("query_id", F.row_number().over(order).cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+        scratch.drop("early")
+        return out
+
+
+def nearest(rows: DataFrame, queries: str, k: int = K, probe: float = PROBE, **index) -> DataFrame:
+    """query_id, rank, vec_id, score: up to k neighbours of every row that the SQL condition ``queries`` holds for."""
+    return Index(rows, k, **index).nearest(queries, probe)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -283,6 +283,42 @@ def test_recall_and_scores_on_the_given_table(spark):
         assert all(b == pytest.approx(float(x[at[q]] @ x[at[a]]), abs=1e-12) for a, b in v)
 
 
+def clustered(n, seed, dims=24, groups=60):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(groups, dims))[rng.integers(0, groups, n)] + 0.3 * rng.normal(size=(n, dims))
+    return np.round(x / np.linalg.norm(x, axis=1, keepdims=True), 6)
+
+
+def test_recall_where_few_lists_are_probed(spark):
+    """Clusters in many cells and lists: recall, while most lists and most vectors are passed over; blocks smaller than a cell."""
+    x = clustered(6000, 11)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    held = ann.LIST_BLOCK, ann.QUERY_BLOCK
+    ann.LIST_BLOCK, ann.QUERY_BLOCK = 200, 16
+    try:
+        index = ann.Index(df, list_size=16)
+        got = as_lists(index.nearest("vec_id % 20 = 0").collect())
+        probes = index.probes(index.classes.where("first % 20 = 0").select("c", "v"))
+    finally:
+        ann.LIST_BLOCK, ann.QUERY_BLOCK = held
+    want = neighbours_by_hand(np.arange(6000), x, np.arange(0, 6000, 20))
+    assert recall_of(got, want) >= 0.9
+    lists = index.lists.count()
+    probed = probes.groupBy("q").agg(F.sum(F.size("early") + F.size("late")).alias("n")).agg(F.avg("n"), F.max("n")).first()
+    assert lists > 200 and probed[0] < 0.2 * lists and probed[1] < 0.5 * lists
+    assert index.scores_per_query(probes) < 0.35 * 6000
+    assert index.postings.count() < 1.3 * 6000
+    alone = index.postings.groupBy("c").count().where("count = 1").count()
+    assert alone > 0.75 * 6000
+
+
+def test_equal_scores_at_the_last_place(spark):
+    """More candidates of one score than places, by different vectors: the smaller ids win."""
+    rows = [(100 + i, [1.0, 0.0, float(i)]) for i in range(40)] + [(0, [1.0, 0.0, 0.0])]
+    got = as_lists(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id = 0", probe=9.0).collect())
+    assert got == {0: [(100 + i, 1.0) for i in range(20)]}
+
+
 def test_common_vector_and_ties(spark):
     """A third of all rows are one vector; norms differ, so inner product is not cosine."""
     rng = np.random.default_rng(4)
