@@ -91,6 +91,51 @@ def test_fuzzy_spans_verify(spark):
         assert " ".join(words[s["start_word"] : s["end_word"]]).startswith(s["matched"][:8])
 
 
+NAMED = {
+    "Released under the BSD license": "bsd",
+    "Released under the ISC license.": "isc",
+    "Released under the GPL license": "gpl",
+    "Released under the zlib license": "zlib",
+    "Relased under the MIT licens": "mit",
+    "Released under the FOO license": "",
+    "Licensed under CC BY 4.0": "cc by",
+    "Licensed under CC BY-SA 4.0": "cc by sa",
+    "Licensed under CC BY-ND 4.0": "cc by nd",
+    "Licensed under CC BY-NC-SA 4.0": "cc by nc sa",
+    "Licensed under a Creative Commons Attribution license": "cc by",
+    "Licenced under a Creative Commons Attribution-NonCommercial license": "cc by nc",
+    "Licensed under a Creative Commons Attribution-ShareAlike license": "cc by sa",
+    "This work is CC0 1.0 Universal": "cc0",
+    "Mozilla Public License 2.0": "mpl",
+    "Eclipse Public License - v 2.0": "epl",
+    "GNU Affero General Public License v3": "agpl,gpl",  # gpl is the base phrase's
+    "GNU Lesser General Public License v3": "gpl,lgpl",
+    "small rights reserved": "",
+    "all rights reservedly": "",
+    "All rights reservd": "proprietary",
+    "smalll rights reserved": "",
+}
+
+
+def test_naming_words_borders_and_longest_notice(spark):
+    rows = license_scan.scan_licenses(table(spark, list(NAMED))).collect()
+    assert {text: r["labels"] for text, r in zip(NAMED, sorted(rows, key=lambda r: r["doc_id"]), strict=True)} == NAMED
+    for r in rows:
+        places = sorted((s["start_word"], s["end_word"]) for s in r["spans"])
+        assert all(b <= c for (_, b), (c, _) in zip(places, places[1:], strict=False))
+
+
+def test_long_text_of_notices():
+    """Word numbers of all spans in a text of 260,000 characters beyond ASCII: every notice, each at its own words."""
+    scan = license_scan.Scanner(license_scan.NOTICES, license_scan.PHRASES, license_scan.CHARS_PER_EDIT)
+    part = "Él: released under the MIT license. Permission is hereby granted, free of charge, to any persn obtaining a copy. All rights reserved! "
+    one, many = scan(part), scan(part * 2000)
+    assert [(s["start_word"], s["end_word"], s["edits"]) for s in one[7]] == [(1, 6, 0), (6, 19, 1), (19, 22, 0)]
+    assert many[0] == 22 * 2000 and many[1] == 2000 and (many[2], many[3]) == (4, 22 * 1999 + 4)
+    want = [(22 * k + a, 22 * k + b) for k in range(2000) for a, b in ((1, 6), (6, 19), (19, 22))]
+    assert [(s["start_word"], s["end_word"]) for s in many[7]] == want
+
+
 def test_license_edge_rows(spark):
     docs = table(spark, ["MIT License", "MIT License", None], [1, 1, None]).withColumn("labels", F.lit("x")).withColumn("n_words", F.lit("y"))
     rows = license_scan.scan_licenses(docs).collect()
