@@ -9,10 +9,13 @@ patterns are the two words before an entity, the word before with the word after
 a digit, the one word before (with what stands between) together with the shape of the value; a context without any
 word is none. Values of digits alone have no such wider pattern: most are cards that fail their check. A bipartite
 graph ties patterns to instances: the seeds, and candidates (identifier-shaped strings of 6 characters or more with a
-digit, in one piece or in spaced groups that each hold a digit, that overlap no base span). Each round scores a pattern by the belief in its distinct instances, and
-believes a candidate as its best pattern is scored; a pattern counts once ``min_support`` distinct believed
-instances support it. After ``rounds`` rounds, candidates that are believed by ``confidence`` or more are spans
-of kind ``id``, wherever their value stands.
+digit, in one piece or in spaced groups that each hold a digit, that overlap no base span). Each round scores a pattern by
+its distinct instances: the believed ones against those known to be none (dates, versions, and numbers of a card's
+length that fail its check), an instance that nothing is known of counting ``unknown`` of one. A candidate is believed
+as its best pattern is scored; a pattern counts once ``min_support`` distinct believed instances support it. So a few
+values that stand in a known context and in a new one make the new one a pattern, and what else stands there is found,
+which no seed expression names. After ``rounds`` rounds, candidates that are believed by ``confidence`` or more are
+spans of kind ``id``, wherever their value stands; what is known to be none is never believed.
 
 The expressions are the plain ones made safe for any text: possessive repeats and looks behind give the same
 leftmost matches without trying every start of a long run, and without deep recursion.
@@ -51,6 +54,10 @@ CANDIDATE = (
 #: What a secret is assigned to, as the (lower case) text before it ends, and what it looks like.
 ASSIGNED = r"(?:key|token|secret|password|passwd|pwd)[\"']?\s*+[=:]\s*+[\"']?$"
 SECRET = r"^(?=[0-9]*+[A-Fa-f])[0-9A-Fa-f]{20,}$"
+#: Values that are known to be no identifiers: dates, versions, and numbers of a card's length (those that pass its check are base spans).
+NONE = r"^(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}(?:T.*+)?|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4}|[vV]?[0-9]++(?:\.[0-9]++)++(?:[-+].*+)?|[0-9](?:[\x20-]?[0-9]){15,18}+)$"
+#: What an instance that nothing is known of counts against a pattern, as part of one known to be none.
+UNKNOWN = 0.01
 #: Code points on either side in which context words are sought.
 CONTEXT = 80
 ROUNDS = 3
@@ -99,10 +106,10 @@ def holds(kind: str, value: Column) -> Column:
 
 
 def shape(value: Column) -> Column:
-    """hex or word and the length of a value without signs, else its signs with w for what stands between."""
-    length = F.length(value).cast("string")
+    """Coarse: for letters and digits alone (hex or not) the band of the length, 6 to 11, 12 to 23 and so on; else the signs with w for what stands between."""
+    band = F.floor(F.log2(F.greatest(F.length(value), F.lit(6)) / 6.0)).cast("string")
     signs = F.regexp_replace(value, "[A-Za-z0-9]+", "w")
-    return F.when(F.rlike(value, F.lit("^[0-9A-Fa-f]+$")), F.concat(F.lit("hex"), length)).when(signs == "w", F.concat(F.lit("word"), length)).otherwise(signs)
+    return F.when(signs == "w", F.concat(F.lit("word"), band)).otherwise(signs)
 
 
 def _words(kind: Column, text: Column, span: Column) -> Column:
@@ -147,7 +154,7 @@ def extract(docs: DataFrame) -> DataFrame:
     return d.select("doc_id", "key", "base", F.transform(free, lambda s: _words(F.lit("id"), F.col("text"), s)).alias("candidates"))
 
 
-def bootstrap(marked: DataFrame, scratch: Scratch, rounds: int, min_support: int, confidence: float) -> DataFrame:
+def bootstrap(marked: DataFrame, scratch: Scratch, rounds: int, min_support: int, confidence: float, unknown: float = UNKNOWN) -> DataFrame:
     """instance values (value, belief) of candidates that confident patterns believe in."""
     seen = F.explode(F.concat("base", "candidates")).alias("x")
     seed = ((F.col("x.kind") != "id") | F.col("x.secret")).cast("double")
@@ -155,18 +162,20 @@ def bootstrap(marked: DataFrame, scratch: Scratch, rounds: int, min_support: int
     # by a pattern of signs alone any quoted value would be taken; a value without patterns keeps one of its own
     patterns = F.filter(patterns, lambda p: F.rlike(F.substring(p, 2, 2**30), F.lit(r"[\p{L}\p{N}]")))
     patterns = F.when(F.size(patterns) > 0, patterns).otherwise(F.array(F.concat(F.lit("!"), "x.value")))
-    each = marked.select(seen).select(F.col("x.value").alias("value"), seed.alias("seed"), F.explode(patterns).alias("pattern"))
+    none = ((seed == 0) & F.rlike("x.value", F.lit(NONE))).alias("none")
+    each = marked.select(seen).select(F.col("x.value").alias("value"), seed.alias("seed"), none, F.explode(patterns).alias("pattern"))
     salt = F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int").alias("salt")
-    edges = scratch.save(each.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).select("*", salt), "edges")
+    edges = scratch.save(each.groupBy("pattern", "value").agg(F.max("seed").alias("seed"), (F.max("none") & (F.max("seed") == 0)).alias("none")).select("*", salt), "edges")
     belief = scratch.save(edges.groupBy("value").agg(F.max("seed").alias("belief")), "belief-0")
     for k in range(1, rounds + 1):
         known = edges.join(belief.select(F.col("value").alias("_v"), "belief"), F.col("value") == F.col("_v")).drop("_v")
         held = F.when(F.col("belief") >= confidence, F.col("belief")).otherwise(0.0)
-        score = known.groupBy("pattern").agg(F.sum(F.when(held > 0, 1).otherwise(0)).alias("support"), (F.sum(held) / F.count("*")).alias("score"))
+        against = F.when(F.col("none"), 1.0).when(held > 0, 1.0 - held).otherwise(unknown)
+        score = known.groupBy("pattern").agg(F.sum(F.when(held > 0, 1).otherwise(0)).alias("support"), (F.sum(held) / (F.sum(held) + F.sum(against))).alias("score"))
         # a pattern as common as a third of all edges meets its score in SALTS tasks
         score = score.where(F.col("support") >= min_support).select(F.col("pattern").alias("_p"), "score", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
-        best = edges.join(score, (F.col("pattern") == F.col("_p")) & (F.col("salt") == F.col("_s")), "left").groupBy("value").agg(F.max("seed").alias("seed"), F.max("score").alias("score"))
-        belief = scratch.save(best.select("value", F.when(F.col("seed") == 1, 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("belief")), f"belief-{k}")
+        best = edges.join(score, (F.col("pattern") == F.col("_p")) & (F.col("salt") == F.col("_s")), "left").groupBy("value").agg(F.max("seed").alias("seed"), F.max("score").alias("score"), F.max("none").alias("none"))
+        belief = scratch.save(best.select("value", F.when(F.col("seed") == 1, 1.0).when(F.col("none"), 0.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("belief")), f"belief-{k}")
         scratch.drop(f"belief-{k - 1}")
     return belief.where(F.col("belief") >= confidence)
 
