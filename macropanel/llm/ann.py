@@ -10,9 +10,10 @@
   vectors at most. The number of lists grows with the table; their centroids stay in a table, grouped by cell.
 * A vector goes into its nearest list, and near a border into up to REPLICAS lists whose centroids are within
   ``1 + BORDER`` times its nearest distance. Most vectors are in one list.
-* A query probes the cells within ``1 + CELL_PROBE`` times its nearest cell's distance, and in them the lists within
-  ``1 + PROBE`` times the distance of its NEAR-th nearest list (no number of lists is set). Its NEAR nearest lists are
-  searched first; from the others only what beats its k-th score so far leaves the task.
+* A query probes the cells within ``1 + CELL_PROBE`` times the distance of its NEAR_CELLS-th nearest one, and in them the lists within
+  ``1 + PROBE`` times the distance of its NEAR-th nearest list, or of the one up to which HELD * k vectors stand, if that
+  is farther (no number of lists is set). The lists up to that one are searched first; from the others only what beats
+  the query's k-th score so far leaves the task.
 * Vectors and queries of a cell are dealt in blocks of bounded size, so neither a large cell nor one that many
   queries probe makes a large task.
 
@@ -26,6 +27,7 @@ probed; only vec_id and embedding are read, other columns cannot clash.
 from __future__ import annotations
 
 import heapq
+from bisect import insort
 
 import numpy as np
 import pandas as pd
@@ -43,11 +45,15 @@ MAX_CELLS = 4096
 FIT_CELL = 50_000
 REPLICAS = 2
 BORDER = 0.01
-CELL_PROBE = 0.35
+CELL_PROBE = 0.3
+#: The nearest cell whose distance the others' are held against (the nearest may be a query's own small one).
+NEAR_CELLS = 4
 PROBE = 0.13
 #: The nearest list whose distance the others' are held against; those up to it are searched first. In a table of few
 #: lists it is the one behind a sixteenth of them.
 NEAR = 8
+#: Vectors for each place of a result that the nearest lists hold at least, so that lists of a few close copies are not all.
+HELD = 8
 #: Vectors and queries of a cell that one block holds at most.
 LIST_BLOCK = 4096
 QUERY_BLOCK = 2048
@@ -126,8 +132,8 @@ class Graph:
         self.links = [np.array(sorted(s), np.int64) for s in links]
         self.entries = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(np.int64))
 
-    def within(self, q: np.ndarray, ratio: float) -> list[tuple[float, int]]:
-        """(distance, centroid) of the centroids reached within ``ratio`` times the nearest distance, nearest first.
+    def within(self, q: np.ndarray, ratio: float, nth: int = 1) -> list[tuple[float, int]]:
+        """(distance, centroid) of the centroids reached within ``ratio`` times the nth nearest distance, nearest first.
 
         The search walks on through centroids up to a wider ratio, so that it isn't stopped by a ridge.
         """
@@ -136,17 +142,19 @@ class Graph:
         seen[self.entries] = True
         todo = list(zip(d(self.entries).tolist(), self.entries.tolist(), strict=True))
         heapq.heapify(todo)
-        found, best = [], min(todo)[0]
-        while todo and todo[0][0] <= best * ratio * 1.02:
+        found, near = [], sorted(x for x, _ in todo)[:nth]
+        while todo and (len(near) < nth or todo[0][0] <= near[-1] * ratio * 1.02):
             x, i = heapq.heappop(todo)
             found.append((x, i))
             new = self.links[i][~seen[self.links[i]]]
             seen[new] = True
             for y, j in zip(d(new).tolist(), new.tolist(), strict=True):
-                best = min(best, y)
+                if len(near) < nth or y < near[-1]:
+                    insort(near, y)
+                    del near[nth:]
                 heapq.heappush(todo, (y, j))
         found.sort()
-        return [f for f in found if f[0] <= best * ratio]
+        return [f for f in found if f[0] <= near[-1] * ratio]
 
 
 def _stacked(column: pd.Series) -> np.ndarray:
@@ -242,6 +250,8 @@ class Index:
         kept = kept.where((F.col("rn") == 1) | (F.col("rn") <= replicas) & (F.col("d") <= F.col("least") * (1 + border)))
         self.postings = self.scratch.save(kept.select("cell", "list", "c", "first", "v"), "postings")
         self.scratch.drop("placed")
+        held = self.postings.groupBy("cell", "list").agg(F.count("*").alias("held"))
+        self.lists = self.scratch.save(self.lists.join(held, ["cell", "list"], "left").fillna(0, ["held"]), "sized")
 
     def _blocks(self, rows: DataFrame, sizes: dict[int, int], most: int, by: str) -> DataFrame:
         """Rows with the block of their cell that they are dealt to."""
@@ -255,7 +265,7 @@ class Index:
 
     def probes(self, asked: DataFrame, probe: float = PROBE, cell_probe: float = CELL_PROBE) -> DataFrame:
         """Classes (c) -> q, v, cell, early and late: the lists of the cell that the class probes, the nearest ones first."""
-        m, cells, nth = self.m, self.cells, self.near
+        m, cells, nth, least = self.m, self.cells, self.near, HELD * self.k
         g = Graph(cells.value)
         graph = self.spark.sparkContext.broadcast((g.c, g.links, g.entries))
 
@@ -267,32 +277,35 @@ class Index:
                     continue
                 out = {"cell": [], "q": [], "v": []}
                 for q, v, y in zip(pdf["c"], pdf["v"], asking(_stacked(pdf["v"]), m), strict=True):
-                    got = [i for _, i in g.within(y, 1 + cell_probe)]
+                    got = [i for _, i in g.within(y, 1 + cell_probe, min(NEAR_CELLS, len(g.c)))]
                     out["cell"] += got
                     out["q"] += [q] * len(got)
                     out["v"] += [v] * len(got)
                 yield pd.DataFrame(out)
 
         def choose(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            out = {"cell": [], "q": [], "v": [], "lists": [], "d": []}
+            out = {"cell": [], "q": [], "v": [], "lists": [], "d": [], "n": []}
             if len(left) and len(right):
-                c, names = _stacked(right["centroid"]), right["list"].to_numpy()
+                c, names, held = _stacked(right["centroid"]), right["list"].to_numpy(), right["held"].to_numpy()
                 d = np.sqrt(distances(asking(_stacked(left["v"]), m), c))
                 order = np.argsort(d, axis=1, kind="stable")
                 for cell, q, v, x, o in zip(left["cell"], left["q"], left["v"], d, order, strict=True):
-                    near = x[o]
-                    o = o[near <= near[min(nth, len(near)) - 1] * (1 + probe)]  # a cell's own NEAR-th is no nearer than the table's
-                    for name, value in (("cell", cell), ("q", q), ("v", v), ("lists", names[o]), ("d", x[o])):
+                    # the cell's own reference is no nearer than the table's
+                    at = min(max(nth - 1, int(np.searchsorted(np.cumsum(held[o]), least))), len(o) - 1)
+                    o = o[x[o] <= x[o[at]] * (1 + probe)]
+                    for name, value in (("cell", cell), ("q", q), ("v", v), ("lists", names[o]), ("d", x[o]), ("n", held[o])):
                         out[name].append(value)
             return pd.DataFrame(out)
 
         reached = self.scratch.save(asked.mapInPandas(ask, "cell long, q long, v array<double>"), "reached")
         sizes = self._sizes(reached)
         pairs = self._blocks(reached, sizes, QUERY_BLOCK, "q").groupBy("cell", "b").cogroup(self._every_block(self.lists, sizes, QUERY_BLOCK).groupBy("cell", "b"))
-        found = self.scratch.save(pairs.applyInPandas(choose, "cell long, q long, v array<double>, lists array<int>, d array<double>"), "chosen")
+        found = self.scratch.save(pairs.applyInPandas(choose, "cell long, q long, v array<double>, lists array<int>, d array<double>, n array<long>"), "chosen")
         self.scratch.drop("reached")
-        near = F.array_sort(F.flatten(F.collect_list(F.slice("d", 1, nth))))  # NEAR numbers of a cell
-        ref = found.groupBy("q").agg(near.alias("a")).select(F.col("q").alias("_q"), F.element_at("a", F.least(F.size("a"), F.lit(nth))).alias("ref"))
+        # the nearest lists of all cells in order, until there are enough lists and enough vectors in them
+        near = F.array_sort(F.flatten(F.collect_list(F.slice(F.arrays_zip("d", "n"), 1, max(nth, least)))))
+        upto = f"reduce(a, named_struct('i', 0, 'held', 0L, 'ref', cast(0 as double)), (s, x) -> if(s.i >= {nth} and s.held >= {least}, s, named_struct('i', s.i + 1, 'held', s.held + x.n, 'ref', x.d)), s -> s.ref)"
+        ref = found.groupBy("q").agg(near.alias("a")).select(F.col("q").alias("_q"), F.expr(upto).alias("ref"))
         held = found.join(ref, F.col("q") == F.col("_q"))
         some = lambda low, high: F.filter(F.transform("lists", lambda x, i: F.when((F.get("d", i) > low) & (F.get("d", i) <= high), x)), lambda x: x.isNotNull())
         held = held.select("q", "v", "cell", some(F.lit(-1.0), F.col("ref")).alias("early"), some(F.col("ref"), F.col("ref") * (1 + probe)).alias("late"))
@@ -334,6 +347,7 @@ class Index:
                     s[who, lo:hi] = a[who] @ b[lo:hi].T
                 for q, vec, bound, row in zip(left["q"], a, left["bound"], s, strict=True):
                     at = np.flatnonzero((row >= bound - 1e-9) & (row > -np.inf))
+                    at = at[np.unique(c[at], return_index=True)[1]]  # a boundary vector may stand in two lists of the block
                     if len(at) > k + 1:
                         cut = np.partition(row[at], len(at) - k - 1)[len(at) - k - 1]
                         at = at[row[at] >= cut - 1e-12]  # with ties, which the ids decide later
