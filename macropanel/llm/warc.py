@@ -141,14 +141,35 @@ def parse(raw: bytes) -> dict | None:
     }
 
 
-def _whole(raw: bytes) -> bool:
-    """Whether the block that the headers announce is all there."""
+def _announced(raw: bytes) -> int | None:
+    """Bytes of the record that the headers announce, headers and all; None while these are not all there."""
     end = raw.find(b"\r\n\r\n")
     if end < 0:
-        return False
+        return None
     at = raw[:end].lower().find(b"content-length:")
-    size = int(raw[at + 15 : end].split(b"\r\n", 1)[0]) if at >= 0 else 0
-    return len(raw) >= end + 4 + size
+    return end + 4 + (int(raw[at + 15 : end].split(b"\r\n", 1)[0]) if at >= 0 else 0)
+
+
+class _Parts:
+    """A record in the parts that version lines cut it into: joined once, when it is whole."""
+
+    def __init__(self, line: bytes):
+        self.line, self.parts, self.size, self.need = line, [], 0, None
+
+    def add(self, part: bytes) -> None:
+        before = (self.parts[-1][-3:] + self.line if self.parts else b"")[-3:]
+        self.size += len(part) + (len(self.line) if self.parts else 0)
+        self.parts.append(part)
+        if self.need is None and b"\r\n\r\n" in before + part:
+            self.need = _announced(self.line.join(self.parts))
+
+    def whole(self) -> bool:
+        return self.need is not None and self.size >= self.need
+
+    def take(self) -> bytes:
+        raw = self.line.join(self.parts)
+        self.parts, self.size, self.need = [], 0, None
+        return raw
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -161,7 +182,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     step, line = 8_000_000, VERSION.encode()
 
     def kernel(batches):
-        held, of, out, size = b"", None, [], 0
+        held, of, out, size = _Parts(line), None, [], 0
 
         def made():
             return pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], k) for n, k in zip(names, kinds, strict=True)], names=names)
@@ -169,17 +190,17 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for value, file in zip(batch.column(0), batch.column(1), strict=True):
                 part, at = value.as_py(), file.as_py()
-                if held and (at != of or _whole(held)):
-                    if (r := parse(held)) is not None:
+                if held.size and (at != of or held.whole()):
+                    n = held.size
+                    if (r := parse(held.take())) is not None:
                         out.append(r)
-                        size += len(held)
-                    held = b""
-                held = held + line + part if held else part  # a version line inside the block: the record goes on
+                        size += n
+                held.add(part) if held.size or part else None  # a version line inside the block: the record goes on
                 of = at
                 if size > step:
                     yield made()
                     out, size = [], 0
-        if held and (r := parse(held)) is not None:
+        if held.size and (r := parse(held.take())) is not None:
             out.append(r)
         if out:
             yield made()

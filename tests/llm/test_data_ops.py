@@ -232,6 +232,16 @@ def test_small_payloads_are_not_revisited(spark, tmp_path):
     assert kinds["response"] == 3 and kinds["revisit"] == 1
 
 
+def test_warc_payload_of_version_lines(spark, tmp_path):
+    """Payloads that are version lines, header ends and announced lengths themselves, 100,000 lines of them in one."""
+    line = warc.VERSION
+    bodies = [line * 100_000, "\r\n\r\n".join([line] * 50), "Content-Length: 3\r\n\r\n" + line * 3, line, ""]
+    df = spark.createDataFrame([(i, f"http://x/{i}", b) for i, b in enumerate(bodies)], "page_id long, url string, html string")
+    warc.write_archives(df, str(tmp_path / "a"))
+    got = {r["target_uri"]: (bytes(r["payload"]), r["complete"]) for r in warc.read_records(spark, str(tmp_path / "a")).where("type = 'response'").collect()}
+    assert got == {f"http://x/{i}": (b.encode(), True) for i, b in enumerate(bodies)}
+
+
 def test_warc_empty_and_cut_off(spark, tmp_path):
     import gzip
 
@@ -350,6 +360,29 @@ def test_vectors_that_take_no_part(spark):
 # the pipeline
 
 
+def test_pipeline_odd_tables(spark, tmp_path):
+    """Nulls in any column, empty and blank texts, repeated rows, extra columns with clashing names; and an empty table."""
+    import corpus_pipeline
+
+    given_ = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang = 'en'")
+    good, other = (r["text"] for r in corpus_pipeline.quality_rules(spark, given_, "").orderBy("doc_id").limit(2).collect())
+    rows = [(1, good, "en", "a"), (1, good, "en", "a"), (None, other, None, None), (2, None, "en", "a"), (3, "", None, "b"), (4, " \t\n ", "en", None), (5, other + " " + good + " word" * 3000, "en", "b")]
+    docs = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("key", "row", "kept", "fp", "rate", "copy", "total", "_doc"):
+        docs = docs.withColumn(name, F.lit("x"))
+    for name, table in (("odd", docs), ("none", docs.limit(0))):
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        held = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for k, (stage, f) in enumerate(corpus_pipeline.STAGES):
+            before = held.columns
+            f(spark, held, f"{tmp_path}/{name}").write.parquet(f"{tmp_path}/{name}-{k}")
+            held = spark.read.parquet(f"{tmp_path}/{name}-{k}")
+            if k < len(corpus_pipeline.STAGES) - 1:
+                assert held.columns == before, stage
+        pieces = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert (len(pieces) > 0) == (name == "odd")
+
+
 def test_pipeline_stage_by_stage(spark):
     import corpus_pipeline as c
     from macropanel.llm import simhash
