@@ -11,7 +11,8 @@ AQE can split at a hot window), one aggregate of line numbers by document, one j
 
 Defined results: null text stays null (no lines); texts of fewer than three lines have no window and stay as
 they are; a text of which all lines go becomes empty, its row stays; rows that repeat a (doc_id, text) pair are
-one document and are cut alike; an empty table stays empty; other columns pass through, and no column name of
+one document and are cut alike; of equal windows that of the smallest doc_id (null last), text key and place is the first;
+a very long text is cut into its lines whole; an empty table stays empty; other columns pass through, and no column name of
 the input can clash because the input row travels as one struct.
 """
 

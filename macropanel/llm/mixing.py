@@ -5,7 +5,8 @@ table only. ``mix`` gives every document its number of copies, ``emit`` writes t
 
 Defined results: a null text has size 0; a null source is a source of its own, ordered last; a source without
 words has target 0 and its documents rate 0 (they are taken 0 times); rows that repeat a (doc_id, text) pair
-are the same document and share one coin, so reruns and repeats agree; an empty table gives an empty mix;
+are the same document and share one coin, so reruns and repeats agree; equal documents of other ids have coins of
+their own; the words of a very long text are all counted; an empty table gives an empty mix;
 columns of the input that this module also makes are never read: only doc_id, text and source are.
 """
 

@@ -13,7 +13,8 @@ Nothing but bin ids and totals is shuffled between rounds; a task holds one grou
 
 Defined results: a null or empty text is the single id 0 and so a piece of length 1; rows that repeat a doc_id
 are documents of their own; a document longer than the capacity is cut so that only its first piece may be
-shorter; an empty table packs into no sequence; only doc_id and text are read.
+shorter; items of equal length keep their order and bins of equal room fill the last opened first; a very long text
+is encoded whole; an empty table packs into no sequence; only doc_id and text are read.
 """
 
 from __future__ import annotations

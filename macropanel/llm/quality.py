@@ -16,7 +16,7 @@ band only. A document's verdict therefore depends on the table it stands in.
 
 Defined results: null and empty texts have no words: all measures are 0 and base_failed holds (fewer than 50
 words); a null or unknown language takes the band of the script of most of the text's letters; repeated rows
-are judged alike; an empty table gives an empty result; other columns pass through ``passing`` as they are.
+are judged alike; a value that equals a limit is inside it; a very long text is measured whole, one at a time; an empty table gives an empty result; other columns pass through ``passing`` as they are.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ Components are found in Spark (``components``).
 Defined results: null and empty texts, and texts without a word, have fingerprint zero and are linked like any
 other; a text of fewer words than a shingle is one shingle; a null doc_id takes part, and component_id is the
 smallest doc_id of the component that is not null (null if there is none); rows that repeat a doc_id keep
-their rows; an empty table gives an empty result; only doc_id and text are read, other columns cannot clash.
+their rows; a bit set in exactly half the hashes is 0; a very long text is hashed whole, in steps; an empty table gives an empty result; only doc_id and text are read, other columns cannot clash.
 """
 
 from __future__ import annotations

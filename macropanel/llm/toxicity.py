@@ -12,7 +12,8 @@ documents (half of each class, those of the smallest hash); everything else cove
 Defined results: null and empty texts have no words and get the model's severity of an empty text, which is
 not toxic; rows are scored one by one, so repeated rows repeat their result; a document with several labels is
 toxic if one of them says so; null labels are no labels; without labels of both classes no document is toxic
-(expected_severity 0); an empty table gives an empty result; only doc_id and text are read.
+(expected_severity 0); of grades with equal probability the lowest is the severity; a very long text is scored whole,
+as the words that it has; an empty table gives an empty result; only doc_id and text are read.
 """
 
 from __future__ import annotations

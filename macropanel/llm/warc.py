@@ -12,7 +12,8 @@ capture; revisits find their response by its record id.
 
 Defined results: a null html is the empty payload; a null url writes no WARC-Target-URI; a null page_id sorts
 last among equal payloads and reads back null; rows that repeat a (page_id, url, html) write equal records and
-come back as often as they were written; an empty table writes and reads an empty archive; columns beside
+come back as often as they were written; of equal payloads that of the smallest page_id is the response; a very
+long payload is one record, joined once; an empty table writes and reads an empty archive; columns beside
 page_id, url and html are not read. A record cut off by the end of its file comes back with complete = false.
 """
 
