@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir), works on all that the one before it kept and returns a DataFrame, which
 ``run`` writes as Parquet into the shared checkpoint folder and reads again as the next stage's docs. All but
 the last return the columns of documents; the last returns packed pieces.
+
+Defined results, stage by stage: quality_rules rejects null, empty and blank texts, judges repeated rows alike and keeps
+documents of a null lang, source or doc_id; line_dedup cuts repeated rows of one (doc_id, text) alike; simhash_near_dedup
+keeps one row of each group, that of the smallest doc_id (null last), then text key, and one of rows that equal it in both;
+mixing takes a null source as one of its own, last, and shares one coin among rows of one (doc_id, text); best_fit_packing
+packs every row as a document of its own. Very long texts go through whole, as rows. Extra columns travel with their row,
+whatever their names, up to the last stage, which reads doc_id and text only. An empty table gives an empty result.
 """
 
 from __future__ import annotations
