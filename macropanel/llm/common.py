@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +13,40 @@ from pyspark.sql import functions as F
 from macropanel.session import ensure_checkpoint_dir
 
 
+_made: ContextVar[list[Scratch] | None] = ContextVar("scratch tables to drop", default=None)
+
+
+@contextmanager
+def dropping_scratch() -> Iterator[None]:
+    """At its end the scratch tables of all operators called inside go; what they returned is written by then."""
+    made: list[Scratch] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for scratch in made:
+            scratch.drop("")
+
+
 class Scratch:
     """Intermediate tables of one operator call, written as Parquet into ``spark.checkpoint.dir``.
 
     A table written there cuts the lineage, survives the loss of an executor, and has a known size, so that
-    the planner broadcasts it only under its own threshold. ``drop`` removes a table that is no longer read;
-    what a returned DataFrame still reads stays in the checkpoint folder with the session's other checkpoints.
+    the planner broadcasts it only under its own threshold. ``drop`` removes a table that is no longer read,
+    ``keep`` all but those named; what a returned DataFrame still reads stays in the checkpoint folder with the
+    session's other checkpoints, unless its caller writes it inside ``dropping_scratch``.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
+        if (made := _made.get()) is not None:
+            made.append(self)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
+        self.names.add(name)
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
         return self.load(name, df)
 
@@ -32,8 +55,23 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.names.discard(name)
+
+    def keep(self, *names: str) -> None:
+        for name in self.names - set(names):
+            self.drop(name)
+
+
+def named(column: str) -> Column:
+    """The column of this very name, whatever characters it holds."""
+    return F.col(f"`{column.replace('`', '``')}`")
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that no name among them can clash with an operator's own."""
+    return F.struct(*[named(c) for c in df.columns]).alias("row")
 
 
 def whole(text: str = "text") -> Column:

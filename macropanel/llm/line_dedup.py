@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macropanel.llm.common import text_key, whole
+from macropanel.llm.common import as_row, text_key, whole
 
 LINES = 3
 
@@ -58,7 +58,7 @@ def later(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """row (the input row as a struct), lines (how many), removed (sorted line numbers), runs (merged), kept (text)."""
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", text_key().alias("key"), "text")
+    base = docs.select(as_row(docs), "doc_id", text_key().alias("key"), "text")
     cut = later(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "starts")
     both = base.join(cut, (F.col("key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (LINES - 1))))))
@@ -73,7 +73,7 @@ def replace_text(docs: DataFrame) -> DataFrame:
     """The documents with their texts cut (and n_chars, if there, set to the new length); columns as given."""
     d = dedup_lines(docs)
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return d.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return d.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

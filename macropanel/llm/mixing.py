@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from macropanel.llm.common import Scratch, whole
+from macropanel.llm.common import Scratch, as_row, whole
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -86,7 +86,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
     the session's threshold and joined by a shuffle with AQE's skew handling beyond it.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []
+    row = [as_row(docs)] if keep else []
     sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words().alias("size"), coin(seed).alias("coin"), *row)
     if not keep:
         sized = scratch.save(sized, "sized")

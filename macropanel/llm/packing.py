@@ -6,7 +6,7 @@
 * bins with at most ``slack`` free places are sequences. The others are items of the next round, known by
   their id and total alone (their pieces stay where they are), dealt over groups of at most ``group_items``
   that are best-fit again, and so on until one group has taken all that is left. Each round writes which item
-  went into which bin and where; a round in which fewer than one bin in a thousand went away ends the tree,
+  went into which bin and where; a round in which less than a share ``least_gain`` of the bins went away ends the tree,
   because what is left no longer fits together.
 
 Nothing but bin ids and totals is shuffled between rounds; a task holds one group of bounded size.
@@ -34,6 +34,7 @@ CAPACITY = 2048
 SLACK = 8
 LOCAL_ITEMS = 50_000
 GROUP_ITEMS = 50_000
+LEAST_GAIN = 0.001
 END = 0
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -122,7 +123,15 @@ def merge_round(bins: DataFrame, round_: int, groups: int, capacity: int) -> Dat
     return dealt.groupBy("g").applyInPandas(kernel, "bin long, into long, offset long, total long")
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, local_items: int = LOCAL_ITEMS, group_items: int = GROUP_ITEMS, vocab_dir: str | None = None) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    slack: int = SLACK,
+    local_items: int = LOCAL_ITEMS,
+    group_items: int = GROUP_ITEMS,
+    least_gain: float = LEAST_GAIN,
+    vocab_dir: str | None = None,
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece."""
     scratch = Scratch(docs.sparkSession, "pack")
     pieces = scratch.save(tokenize_and_fit(docs, capacity, local_items, vocab_dir), "pieces")
@@ -134,9 +143,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, local_it
         groups = -(-n // group_items)
         move = scratch.save(merge_round(left, round_, groups, capacity), f"moves-{round_}")
         moves.append(move)
+        scratch.drop(f"left-{round_ - 1}")
         bins = move.where("offset = 0").select(F.col("into").alias("bin"), "total")
         after = bins.count()
-        if groups == 1 or n - after < n / 1000:
+        if groups == 1 or n - after < least_gain * n:
             break
         left = scratch.save(bins.where(under), f"left-{round_}")
         n = left.count()

@@ -177,6 +177,7 @@ def bootstrap(marked: DataFrame, scratch: Scratch, rounds: int, min_support: int
         best = edges.join(score, (F.col("pattern") == F.col("_p")) & (F.col("salt") == F.col("_s")), "left").groupBy("value").agg(F.max("seed").alias("seed"), F.max("score").alias("score"), F.max("none").alias("none"))
         belief = scratch.save(best.select("value", F.when(F.col("seed") == 1, 1.0).when(F.col("none"), 0.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("belief")), f"belief-{k}")
         scratch.drop(f"belief-{k - 1}")
+    scratch.drop("edges")
     return belief.where(F.col("belief") >= confidence)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from macropanel.llm.common import Scratch, chunks
+from macropanel.llm.common import Scratch, as_row, chunks
 from macropanel.llm.tokens import byte_bpe, vocab_path
 
 #: Bands (least, most) by language or script: characters per token, byte-fallback share, token entropy in bits.
@@ -192,7 +192,7 @@ def measures(docs: DataFrame, bands: dict = BANDS, vocab_dir: str | None = None,
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []
+    row = [as_row(docs)] if keep else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"), *row)
     schema = T._parse_datatype_string(SCHEMA)
     return rows.mapInArrow(kernel, schema.add(rows.schema["row"]) if keep else schema)

@@ -5,7 +5,10 @@ so a join on every choice of 3 blocks (20 keys of 31 to 33 bits each) finds all
 then verified. Work is on distinct fingerprints: any number of equal texts is one row there.
 
 Within a bucket the members are first tied to the bucket's smallest by one verified star; only members that
-are not yet in one component are then compared in pairs, so a large group of near copies makes few rows.
+are not yet in one component are then compared, so a large group of near copies makes few rows. A bucket of more
+than ``crowd`` members is cut the same way once more: the bits that its key leaves over make 6 half blocks of 5 or 6
+bits, of which a close pair again shares 3, so its members meet by 20 finer keys and no group can hold
+more than 2^18 fingerprints, whatever the table's size.
 Components are found in Spark (``components``).
 
 Defined results: null and empty texts, and texts without a word, have fingerprint zero and are linked like any
@@ -16,7 +19,7 @@ their rows; a bit set in exactly half the hashes is 0; a very long text is hashe
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +27,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from macropanel.llm.common import Scratch, text_key
+from macropanel.llm.common import Scratch, as_row, text_key
 from macropanel.llm.components import connected_components
 
 WORDS = 3
 BITS = 3
 #: Bit positions from the highest at which the blocks of a fingerprint begin and end.
 CUTS = (0, 11, 22, 33, 44, 54, 64)
+WIDEST = max(b - a for a, b in pairwise(CUTS))
 SEED = 42
+#: Members of a bucket from which on it is cut into finer ones.
+CROWD = 1024
 #: Characters of text whose hashes the kernel sums up at a time.
 STEP_CHARS = 1_000_000
 
@@ -91,25 +97,43 @@ def with_fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return rows.mapInArrow(kernel, "doc_id long, key long, fp long")
 
 
-def _bucket_keys() -> Column:
-    """For every choice of 3 blocks: (choice, bits of the chosen blocks)."""
+def _blocks() -> list[Column]:
+    """The 6 blocks of the fingerprint."""
+    return [F.shiftrightunsigned("fp", 64 - b).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in pairwise(CUTS)]
 
-    def block(i: int) -> Column:
-        return F.shiftrightunsigned("fp", 64 - CUTS[i + 1]).bitwiseAND(F.lit((1 << (CUTS[i + 1] - CUTS[i])) - 1))
 
+def _threes(blocks: list[Column], width: int) -> Column:
+    """For every choice of 3 of 6 blocks, none wider than ``width`` bits: the choice's number before the chosen blocks' bits."""
     keys = []
-    for c, chosen in enumerate(combinations(range(6), 3)):
+    for c, chosen in enumerate(combinations(blocks, 3)):
         key = F.lit(c).cast("long")
-        for i in chosen:
-            key = F.shiftleft(key, CUTS[i + 1] - CUTS[i]).bitwiseOR(block(i))
+        for block in chosen:
+            key = F.shiftleft(key, width).bitwiseOR(block)
         keys.append(key)
     return F.array(*keys)
 
 
-def near_components(fps: DataFrame, scratch: Scratch, bits: int = BITS) -> DataFrame:
+def _bucket_keys() -> Column:
+    """For every choice of 3 blocks: (choice, bits of the chosen blocks)."""
+    return _threes(_blocks(), WIDEST)
+
+
+def _finer_keys() -> Column:
+    """The keys of a bucket's member within its bucket: choices of 3 halves of the 3 blocks that the bucket's key leaves over."""
+    left = F.array(*[F.array(*[F.lit(i) for i in range(6) if i not in chosen]) for chosen in combinations(range(6), 3)])
+    blocks = F.array(*_blocks())
+    over = F.get(left, F.shiftright("bucket", 3 * WIDEST).cast("int"))
+    halves = []
+    for k in range(3):
+        block = F.get(blocks, F.get(over, F.lit(k)))
+        halves += [F.shiftright(block, WIDEST // 2), block.bitwiseAND(F.lit((1 << WIDEST // 2) - 1))]
+    return _threes(halves, WIDEST - WIDEST // 2)
+
+
+def near_components(fps: DataFrame, scratch: Scratch, bits: int = BITS, crowd: int = CROWD) -> DataFrame:
     """Distinct fingerprints (fp) -> (fp, root): the smallest fingerprint linked to it by steps of at most ``bits`` bits.
 
-    6 blocks of which 3 agree hold for up to 3 bits.
+    6 blocks of which 3 agree hold for up to 3 bits, at either level; ``crowd`` changes no result.
     """
     if not 0 <= bits <= 3:
         raise ValueError("the blocks are laid out for at most 3 differing bits")
@@ -122,12 +146,17 @@ def near_components(fps: DataFrame, scratch: Scratch, bits: int = BITS) -> DataF
     root = first.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
     placed = shared.select("bucket", "fp").join(root, F.col("fp") == F.col("_a"), "left").select("bucket", "fp", F.coalesce("_b", "fp").alias("root"))
     # buckets whose members are all in one component have nothing left to compare
-    open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("bucket")
-    placed = scratch.save(placed.join(open_, "bucket"), "open")
-    x, y = (placed.select("bucket", F.col("fp").alias(f"fp_{s}"), F.col("root").alias(f"root_{s}")) for s in "xy")
-    more = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("root_x") < F.col("root_y")) & close("fp_x", "fp_y"))
+    open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("bucket", "n")
+    finer = F.when(F.col("n") > crowd, _finer_keys()).otherwise(F.array(F.lit(-1).cast("long")))
+    placed = scratch.save(placed.join(open_, "bucket").select("bucket", "fp", "root", F.explode(finer).alias("finer")), "open")
+    scratch.drop("shared")
+    x, y = (placed.select("bucket", "finer", F.col("fp").alias(f"fp_{s}"), F.col("root").alias(f"root_{s}")) for s in "xy")
+    same = (x["bucket"] == y["bucket"]) & (x["finer"] == y["finer"])
+    more = x.join(y, same & (F.col("root_x") < F.col("root_y")) & close("fp_x", "fp_y"))
     links = more.select(F.col("root_x").alias("a"), F.col("root_y").alias("b")).distinct()
-    return connected_components(first.union(links), scratch, "all").select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    found = connected_components(first.union(links), scratch, "all").select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    scratch.drop("open")
+    return found
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
@@ -135,20 +164,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> Da
     scratch = Scratch(docs.sparkSession, "simhash")
     marked = scratch.save(with_fingerprints(docs, words), "marked")
     roots = scratch.save(near_components(marked.select("fp").distinct(), scratch, bits), "roots")
+    scratch.keep("marked", "roots")
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     by_fp = least.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     ids = by_fp.groupBy("root").agg(F.min("least").alias("component_id"))
     named = scratch.save(by_fp.join(ids, "root").select("fp", "root", "component_id"), "named")
+    scratch.drop("roots")
     return marked.join(named, "fp").select("doc_id", "key", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """The documents with one row left of each group: that of the smallest (doc_id, text key), null doc_id last."""
+    """The documents with one row left of each group: that of the smallest (doc_id, text key), null doc_id last.
+
+    Of rows equal in both, that whose other columns have the smallest hash stays, so reruns keep the same row.
+    """
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     stay = near_duplicates(docs, words, bits).groupBy("root").agg(F.min(order).alias("s")).select(F.col("s.doc_id").alias("_d"), F.col("s.key").alias("_k"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_doc"), text_key().alias("_key"))
+    rows = docs.select(as_row(docs), F.col("doc_id").cast("long").alias("_doc"), text_key().alias("_key"))
     one = rows.join(stay, (F.col("_key") == F.col("_k")) & F.col("_doc").eqNullSafe(F.col("_d")), "left_semi")
-    return one.dropDuplicates(["_doc", "_key"]).select("row.*")
+    other = F.xxhash64(F.to_json(F.col("row").dropFields("text")))
+    return one.groupBy("_doc", "_key").agg(F.min_by("row", other).alias("row")).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

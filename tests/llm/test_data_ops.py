@@ -368,7 +368,7 @@ def test_pipeline_odd_tables(spark, tmp_path):
     good, other = (r["text"] for r in corpus_pipeline.quality_rules(spark, given_, "").orderBy("doc_id").limit(2).collect())
     rows = [(1, good, "en", "a"), (1, good, "en", "a"), (None, other, None, None), (2, None, "en", "a"), (3, "", None, "b"), (4, " \t\n ", "en", None), (5, other + " " + good + " word" * 3000, "en", "b")]
     docs = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    for name in ("key", "row", "kept", "fp", "rate", "copy", "total", "_doc"):
+    for name in ("key", "row", "kept", "fp", "rate", "copy", "total", "_doc", "a`b", "c.d"):
         docs = docs.withColumn(name, F.lit("x"))
     for name, table in (("odd", docs), ("none", docs.limit(0))):
         table.write.parquet(f"{tmp_path}/{name}/documents.parquet")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from itertools import combinations
 
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from macropanel.llm import line_dedup, simhash
-from macropanel.llm.common import Scratch
+from macropanel.llm.common import Scratch, dropping_scratch
 from macropanel.llm.components import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -98,7 +99,8 @@ def components_by_hand(fps, bits):
     return {f: find(f) for f in fps}
 
 
-def test_near_components_lose_no_link(spark):
+@pytest.mark.parametrize("crowd", [simhash.CROWD, 1])
+def test_near_components_lose_no_link(spark, crowd):
     rng = random.Random(1)
     fps = set()
     for _ in range(60):
@@ -108,7 +110,7 @@ def test_near_components_lose_no_link(spark):
             for _ in range(rng.randrange(1, 5)):
                 f ^= 1 << rng.randrange(64)
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
-    got = {r["fp"]: r["root"] for r in simhash.near_components(df, Scratch(spark, "t")).collect()}
+    got = {r["fp"]: r["root"] for r in simhash.near_components(df, Scratch(spark, "t"), crowd=crowd).collect()}
     want = components_by_hand(fps, 3)
     assert {f: got.get(f, f) for f in fps} == want
 
@@ -121,6 +123,69 @@ def test_dense_group_of_near_copies(spark):
     assert {got.get(f, f) for f in fps} == {min(fps)}
 
 
+@pytest.mark.parametrize("chosen", [(0, 1, 2), (3, 4, 5), (0, 2, 4)])
+def test_crowded_buckets_of_unlike_fingerprints(spark, chosen):
+    """Fingerprints that share three blocks and little else: the bucket is cut finer and no link is lost."""
+    rng = random.Random(sum(chosen))
+    free = [i for k in range(6) if k not in chosen for i in range(64 - simhash.CUTS[k + 1], 64 - simhash.CUTS[k])]
+    base, fps = rng.getrandbits(64), set()
+    for _ in range(250):
+        f = base
+        for i in rng.sample(free, 12):
+            f ^= 1 << i
+        for _ in range(rng.randrange(1, 4)):
+            fps.add(f - (1 << 64) if f >> 63 else f)
+            for i in rng.sample(free, 3):
+                f ^= 1 << i
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    scratch = Scratch(spark, "t")
+    got = {r["fp"]: r["root"] for r in simhash.near_components(df, scratch, crowd=100).collect()}
+    want = components_by_hand(fps, 3)
+    assert len(set(want.values())) > 100 and {f: got.get(f, f) for f in fps} == want
+    assert not {"shared", "open"} & scratch.names
+
+
+def test_finer_keys_of_close_pairs(spark):
+    """Any two members of a bucket within 3 bits share a finer key, whichever blocks made the bucket."""
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(300):
+        f = rng.getrandbits(64)
+        g = f
+        for i in rng.sample(range(64), rng.randrange(4)):
+            g ^= 1 << i
+        pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (f, g)))
+    df = spark.createDataFrame(pairs, "f long, g long")
+    sides = [df.select("f", "g", F.col(c).alias("fp")).select("f", "g", "fp", F.explode(simhash._bucket_keys()).alias("bucket")).select("f", "g", "bucket", simhash._finer_keys().alias(f"k{c}")) for c in "fg"]
+    both = sides[0].join(sides[1], ["f", "g", "bucket"])
+    assert both.select("f", "g").distinct().count() == len(set(pairs))
+    assert both.where(~F.arrays_overlap("kf", "kg")).isEmpty()
+
+
+def test_keep_one_takes_the_same_of_equal_rows(spark):
+    rows = [(1, "one two three four", f"v{i}", None if i % 2 else i) for i in range(40)]
+    kept = {
+        tuple(simhash.keep_one(spark.createDataFrame(rng, "doc_id long, text string, `a``b` string, `c.d` long").repartition(n)).first())
+        for n, rng in ((1, rows), (3, rows[::-1]), (7, rows[20:] + rows[:20]))
+    }
+    assert len(kept) == 1
+
+
+def test_scratch_goes_with_its_scope(spark):
+    docs = table(spark, ["a b c d", "a b c d", "e f g"], [1, 2, 3])
+    with dropping_scratch():
+        outer = Scratch(spark, "outer")
+        kept = outer.save(docs, "kept")
+        with dropping_scratch():
+            inner = Scratch(spark, "inner")
+            inner.save(docs, "gone")
+        assert not os.path.exists(inner.root.removeprefix("file:")) and kept.count() == 3
+        outer.save(docs, "more")
+        outer.keep("kept")
+        assert outer.names == {"kept"} and not os.path.exists(f"{outer.root.removeprefix('file:')}/more")
+    assert not os.path.exists(outer.root.removeprefix("file:"))
+
+
 def test_near_duplicates_on_the_given_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     text = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
