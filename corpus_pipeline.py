@@ -6,7 +6,7 @@ the last return the columns of documents; the last returns packed pieces.
 
 Defined results, stage by stage: quality_rules rejects null, empty and blank texts, judges repeated rows alike and keeps
 documents of a null lang, source or doc_id; line_dedup cuts repeated rows of one (doc_id, text) alike; simhash_near_dedup
-keeps one row of each group, that of the smallest doc_id (null last), then text key, and one of rows that equal it in both;
+keeps one row of each group, that of the smallest doc_id (null last), then text key, then hash of the other columns;
 mixing takes a null source as one of its own, last, and shares one coin among rows of one (doc_id, text); best_fit_packing
 packs every row as a document of its own. Very long texts go through whole, as rows. Extra columns travel with their row,
 whatever their names, up to the last stage, which reads doc_id and text only. An empty table gives an empty result.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from macropanel.llm import line_dedup, mixing, packing, quality, simhash
-from macropanel.llm.common import Scratch
+from macropanel.llm.common import Scratch, dropping_scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +61,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
-        docs = scratch.save(stage(spark, docs, sf_dir), f"{k}-{name}")
+        with dropping_scratch():
+            docs = scratch.save(stage(spark, docs, sf_dir), f"{k}-{name}")
         if k:
             scratch.drop(f"{k - 1}-{STAGES[k - 1][0]}")
     return docs
