@@ -161,6 +161,11 @@ def _stacked(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), np.float64)
 
 
+def _frame(columns: dict[str, list]) -> pd.DataFrame:
+    """A frame of the columns; without rows they are objects, because pandas takes an empty list column for one of numbers."""
+    return pd.DataFrame(columns, dtype=None if any(columns.values()) else object)
+
+
 class Index:
     """Posting lists of a table's vectors; ``probes`` and ``nearest`` ask them for rows that an SQL condition names."""
 
@@ -238,7 +243,7 @@ class Index:
                     out["d"] += dn[i, j].tolist()
                     for name in ("cell", "c", "first", "v"):
                         out[name] += left[name].iloc[a + i].tolist()
-            return pd.DataFrame(out)
+            return _frame(out)
 
         self.near = min(NEAR, max(2, self.lists.count() // 16))
 
@@ -281,7 +286,7 @@ class Index:
                     out["cell"] += got
                     out["q"] += [q] * len(got)
                     out["v"] += [v] * len(got)
-                yield pd.DataFrame(out)
+                yield _frame(out)
 
         def choose(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             out = {"cell": [], "q": [], "v": [], "lists": [], "d": [], "n": []}
@@ -295,7 +300,7 @@ class Index:
                     o = o[x[o] <= x[o[at]] * (1 + probe)]
                     for name, value in (("cell", cell), ("q", q), ("v", v), ("lists", names[o]), ("d", x[o]), ("n", held[o])):
                         out[name].append(value)
-            return pd.DataFrame(out)
+            return _frame(out)
 
         reached = self.scratch.save(asked.mapInPandas(ask, "cell long, q long, v array<double>"), "reached")
         sizes = self._sizes(reached)
@@ -353,7 +358,7 @@ class Index:
                         at = at[row[at] >= cut - 1e-12]  # with ties, which the ids decide later
                     if len(at):
                         out.append(pd.DataFrame({"q": q, "c": c[at], "first": first[at], "score": (b[at] * vec).sum(axis=1)}))
-            return pd.concat(out) if out else pd.DataFrame({"q": [], "c": [], "first": [], "score": []})
+            return pd.concat(out) if out else _frame({"q": [], "c": [], "first": [], "score": []})
 
         key = ["cell", "pb", "qb"]
         return q.groupBy(*key).cogroup(p.groupBy(*key)).applyInPandas(block, "q long, c long, first long, score double")

@@ -323,6 +323,21 @@ def test_recall_where_few_lists_are_probed(spark):
     assert alone > 0.75 * 6000
 
 
+def test_blocks_that_get_no_vectors(spark):
+    """More blocks than vectors, so that some have lists and no vector or query, or the reverse."""
+    x = clustered(60, 3, dims=6, groups=4)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    held = ann.LIST_BLOCK, ann.QUERY_BLOCK
+    ann.LIST_BLOCK, ann.QUERY_BLOCK = 1, 1
+    try:
+        got = as_lists(ann.nearest(df, "vec_id % 5 = 0", probe=9.0, list_size=8).collect())
+    finally:
+        ann.LIST_BLOCK, ann.QUERY_BLOCK = held
+    want = neighbours_by_hand(np.arange(60), x, np.arange(0, 60, 5))
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert recall_of(got, want) >= 0.95
+
+
 def test_equal_scores_at_the_last_place(spark):
     """More candidates of one score than places, by different vectors: the smaller ids win."""
     rows = [(100 + i, [1.0, 0.0, float(i)]) for i in range(40)] + [(0, [1.0, 0.0, 0.0])]
