@@ -14,15 +14,27 @@ subspace. One iteration is
 It ends for a panel when the residual is under ``SUBSPACE_TOL`` of the gap behind the k-th eigenvalue. An EM step then
 refills the gaps from the projection, and the next one starts from the vectors it has. Several panels go on
 together; the driver learns how many are at work. Every pass reads and writes tables in the checkpoint folder.
+
+The state rows are the vectors of the panel's shorter side: its dates' (N long), or, if there are no more dates than
+series, its series' (T long). The leading vectors of either side make the same projection, so in what is said above N and
+the rows change their places; what a group of a whole panel holds grows with the shorter side only.
+
+Vectors of at most ``SHORT`` numbers need no iteration: their basis has every direction, so the first pass is the last
+one and Z' Z S isn't asked for. An EM step is then one job without a shuffle of the state: each task refills its vectors
+from the panel's leading ones, adds up the norms, and keeps the triangular factor of what it wrote, of which a small
+second job makes the next leading vectors.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -36,11 +48,42 @@ EXTRA, CHUNK = 8, 2048
 SUBSPACE_TOL, ROUNDING = 1e-10, 2e-14
 #: Passes over the rows that one EM step may take.
 MOST_PASSES = 300
+#: Numbers of a vector up to which a basis has every direction.
+SHORT = 128
 
 #: A block of a matrix with a row per series: rows i0 onward, ``width`` columns, row by row. i0 = -1: a triangular factor.
 BLOCK = "panel_id string, i0 int, width int, s array<double>"
 BASIS = f"{BLOCK}, lead int, done boolean"
-STATE = "panel_id string, salt int, date date, miss array<int>, z array<double>"
+STATE = "panel_id string, salt int, date date, idx int, miss array<int>, z array<double>"  # of a date, or of a series
+
+
+def names_of(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def vectors_of(column: pa.ListArray) -> np.ndarray:
+    """An Arrow list column of equal lengths as a matrix; null entries become NaN."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(float).reshape(len(column), -1)
+
+
+def by_panel(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """(panel, row numbers) of a batch."""
+    code, names = pd.factorize(batch.column(PANEL).to_pandas())
+    for k, name in enumerate(names):
+        yield name, np.flatnonzero(code == k)
+
+
+def refill(z: np.ndarray, gaps: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One EM step: the gaps take their values from the projection on v; and the norms of the change and of what was there."""
+    zhat = (z @ v) @ v.T
+    return np.where(gaps, zhat, z), np.array([((zhat - z)[gaps] ** 2).sum(), (z[gaps] ** 2).sum()])
+
+
+def gaps_of(shape: tuple[int, int], miss: pa.ListArray) -> np.ndarray:
+    out = np.zeros(shape, bool)
+    out[np.repeat(np.arange(shape[0]), np.diff(miss.offsets.to_numpy())), miss.flatten().to_numpy()] = True
+    return out
 
 
 def blocks(panel: str, x: np.ndarray) -> pd.DataFrame:
@@ -55,7 +98,7 @@ def matrix(frame: pd.DataFrame) -> np.ndarray:
 
 
 def empty(schema: str) -> pd.DataFrame:
-    return pd.DataFrame({c.split()[0]: pd.Series([], dtype=object) for c in schema.split(", ")})
+    return pd.DataFrame({c: pd.Series([], dtype=object) for c in names_of(schema)})
 
 
 def orthonormal(against: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -137,28 +180,95 @@ def _refill(rows: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
     """New state rows (kind 0) and the norms of the change (kind 1); rows of a panel that is done pass."""
     if rows.empty:
         return empty(STEP)
-    out = rows[[PANEL, "salt", DATE, "miss", "z"]].assign(kind=0, num=None, den=None)
+    out = rows[names_of(STATE)].assign(kind=0, num=None, den=None)
     if not vectors.empty:
         z, v = np.stack(rows["z"].to_list()), matrix(vectors)[:, : int(vectors["k"].iloc[0])]
         gaps = np.zeros(z.shape, bool)
         for i, miss in enumerate(rows["miss"]):
             gaps[i, np.asarray(miss, int)] = True
-        zhat = (z @ v) @ v.T
-        num, den = ((zhat - z)[gaps] ** 2).sum(), (z[gaps] ** 2).sum()
-        out["z"] = list(np.where(gaps, zhat, z))
-        norms = {"kind": 1, PANEL: rows[PANEL].iloc[0], "salt": None, DATE: None, "miss": None, "z": None, "num": num, "den": den}
+        z, (num, den) = refill(z, gaps, v)
+        out["z"] = list(z)
+        norms = dict.fromkeys(names_of(STEP)) | {"kind": 1, PANEL: rows[PANEL].iloc[0], "num": num, "den": den}
         out = pd.concat([out.astype(object), pd.DataFrame([norms]).astype(object)], ignore_index=True)
-    return out[[c.split()[0] for c in STEP.split(", ")]]
+    return out[names_of(STEP)]
+
+
+# ------------------------------------------------------------------ short vectors
+
+SHORT_STEP = f"kind int, {STATE}, n int, num double, den double, s array<double>"
+TOLD_TYPES = [pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
+SHORT_TYPES = [pa.int32(), pa.string(), pa.int32(), pa.date32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64()), *TOLD_TYPES]
+#: What a task says of the panels at work, and what comes of it: their leading vectors, null for one that has converged.
+TOLD = "panel_id string, n int, num double, den double, s array<double>"
+LEADING = "panel_id string, n_iter int, delta double, v array<double>"
+
+
+def _factor(held: np.ndarray | None, z: np.ndarray) -> np.ndarray:
+    """The triangular factor of the vectors so far and more of them."""
+    return np.linalg.qr(z if held is None else np.concatenate([held, z]), mode="r")
+
+
+def _first_factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for p, at in by_panel(batch):
+            held[p] = _factor(held.get(p), vectors_of(batch.column("z").take(pa.array(at))))
+    if held:
+        rows = [(p, r.shape[1], None, None, r.ravel()) for p, r in held.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), *TOLD_TYPES], strict=True)], names=names_of(TOLD))
+
+
+def _short_step(known: Broadcast | None):
+    """State rows after a step (kind 0), and a task's norms and factor of each panel at work (kind 1); others' rows pass.
+
+    The leading vectors are in ``known``, or come with the rows as their column v.
+    """
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        norms: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for p, at in by_panel(batch):
+                part = batch if len(at) == len(batch) else batch.take(pa.array(at))
+                v, column, n = known.value.get(p) if known else part.column("v")[0].as_py(), part.column("z"), len(at)
+                if v is not None:
+                    z = vectors_of(column)
+                    z, change = refill(z, gaps_of(z.shape, part.column("miss")), np.array(v).reshape(z.shape[1], -1))
+                    norms[p] = norms.get(p, 0) + change
+                    held[p] = _factor(held.get(p), z)
+                    column = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * z.shape[1], pa.int32()), pa.array(z.ravel()))
+                cols = [pa.array([0] * n, pa.int32()), *[column if c == "z" else part.column(c) for c in names_of(STATE)], *[pa.nulls(n, t) for t in TOLD_TYPES]]
+                yield pa.RecordBatch.from_arrays(cols, names=names_of(SHORT_STEP))
+        if held:
+            rows = [(1, p, None, None, None, None, None, r.shape[1], *norms[p], r.ravel()) for p, r in held.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), SHORT_TYPES, strict=True)], names=names_of(SHORT_STEP))
+
+    return kernel
+
+
+def _short_vectors(step: int, k: int, tol: float):
+    """One panel: the factors of its tasks -> its leading vectors for the next step, and the change of this one."""
+
+    def kernel(f: pd.DataFrame) -> pd.DataFrame:
+        n = int(f["n"].iloc[0])  # the panel's shorter side, which bounds its rank
+        delta = math.sqrt(f["num"].sum()) / (math.sqrt(f["den"].sum()) + 1e-12) if step else math.inf
+        v = None
+        if delta >= tol:
+            r = _factor(None, np.concatenate([np.asarray(s, float).reshape(-1, n) for s in f["s"]]))
+            v = np.linalg.svd(r)[2][: max(1, min(k, n - 1))].T.ravel()
+        return pd.DataFrame({PANEL: [f[PANEL].iloc[0]], "n_iter": [step], "delta": [delta], "v": [v]})
+
+    return kernel
 
 
 # ------------------------------------------------------------------ the loop
 
 
 class WidePanels:
-    """EM over panels given as state rows (all rows, the complete ones too) and ``shapes`` (panel, n, t, k, n_salt)."""
+    """EM over panels given as state rows (all vectors, the complete ones too) and ``shapes``: panel, n numbers a vector, t vectors, k, n_salt."""
 
-    def __init__(self, spark, root: str, state: DataFrame, shapes: DataFrame, params: Params, drop):
-        self.spark, self.root, self.params, self.drop = spark, root, params, drop
+    def __init__(self, spark, root: str, state: DataFrame, shapes: DataFrame, params: Params, drop, broadcast_bytes: int):
+        self.spark, self.root, self.params, self.drop, self.broadcast_bytes = spark, root, params, drop, broadcast_bytes
         self.state, self.shapes, self.passes = state, shapes, 0
 
     def _save(self, df: DataFrame, name: str) -> DataFrame:
@@ -191,8 +301,63 @@ class WidePanels:
         log.warning("%d wide panels reached %d passes; their leading vectors are taken as they are", at_work, MOST_PASSES)
         return found.unionByName(basis)
 
+    def _short(self) -> tuple[DataFrame, DataFrame]:
+        """The steps of panels of short vectors: their state at the end, and (panel, n_iter, delta).
+
+        Leading vectors that Spark would broadcast go to the tasks once each; beyond that they join by (panel, salt).
+        """
+        p, state, tables, last = self.params, self.state, [], {}
+        small = self.shapes.agg(F.sum(8 * F.col("n") * F.col("k") + 64)).first()[0] <= self.broadcast_bytes
+
+        def leading(told: DataFrame, step: int):
+            found = told.groupBy(PANEL).applyInPandas(_short_vectors(step, p.k, p.tol), LEADING)
+            self.passes += 1
+            if small:
+                rows = found.collect()
+                last.update({r[PANEL]: (r["n_iter"], r["delta"]) for r in rows})
+                vectors = {r[PANEL]: r["v"] for r in rows if r["v"] is not None}
+                return vectors, len(vectors)
+            watch = Observation()
+            tables.append(f"{self.root}/leading-{step}")
+            table = self._save(found.observe(watch, F.count("v").alias("n")), f"leading-{step}")
+            return table.select(PANEL, "v"), watch.get["n"]
+
+        vectors, at_work = leading(state.select(PANEL, "z").mapInArrow(_first_factors, TOLD), 0)
+        step = 0
+        while at_work and step < p.max_iter:
+            step += 1
+            known, on = None, state
+            if small:
+                known = self.spark.sparkContext.broadcast(vectors)
+            else:
+                on = state.join(self._dealt(vectors).select(PANEL, "salt", "v"), [PANEL, "salt"], "left")
+            path = f"{self.root}/short-{step}"
+            on.mapInArrow(_short_step(known), SHORT_STEP).write.partitionBy("kind").parquet(path)
+            state = self.spark.read.schema(STATE).parquet(f"{path}/kind=0")
+            vectors, at_work = leading(self.spark.read.schema(TOLD).parquet(f"{path}/kind=1"), step)
+            log.info("EM step %d of panels of short vectors: %d go on", step, at_work)
+            self.drop(f"{self.root}/short-{step - 1}")
+        outcome = "panel_id string, n_iter int, delta double"
+        if small:
+            return state, self.spark.createDataFrame([(panel, *end) for panel, end in last.items()], outcome)
+        # a panel that has converged has no row in the later tables
+        every = self.spark.read.schema(LEADING).parquet(*tables)
+        return state, every.groupBy(PANEL).agg(F.max("n_iter").alias("n_iter"), F.max_by("delta", "n_iter").alias("delta"))
+
     def run(self) -> tuple[DataFrame, DataFrame]:
         """State rows at the end, and (panel, n_iter, delta)."""
+        ends = []
+        state, shapes = self.state, self.shapes
+        short = F.col("n") <= SHORT
+        for of, way in ((short, self._short), (~short, self._iterated)):
+            self.shapes = shapes.where(of)
+            if not self.shapes.isEmpty():
+                self.state = state.join(self.shapes.select(PANEL), PANEL, "left_semi")
+                ends.append(way())
+        return ends[0] if len(ends) == 1 else tuple(a.unionByName(b) for a, b in zip(*ends, strict=True))
+
+    def _iterated(self) -> tuple[DataFrame, DataFrame]:
+        """The steps of panels whose leading vectors take several passes."""
         p = self.params
         outcome = self.shapes.select(PANEL, F.lit(0).alias("n_iter"), F.lit(math.inf).alias("delta"))
         basis = self._save(self.shapes.groupBy(PANEL).applyInPandas(_first_basis, BASIS), "basis")

@@ -78,3 +78,45 @@ def test_wide_and_narrow_panels_in_one_run(spark, two_factors):  # noqa: F811
     for name, x in (("narrow", holes), ("broad", broad)):
         want, steps, _, _ = gram_steps(x, 2, 3, 1e-9)
         np.testing.assert_allclose(dense(res.imputed.where(F.col("panel_id") == name)), want, rtol=1e-7, atol=1e-8)
+
+
+def counted_jobs(spark, group, call):
+    """What the call returns, and how many jobs it took."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        return call(), len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_more_series_than_dates_take_one_pass_a_step(spark):
+    """Short vectors of the series: the dense formula's cells, the same if the vectors join by salt, and few jobs a step."""
+    rng = np.random.default_rng(21)
+    broad = rng.normal(size=(12, 4)) @ rng.normal(size=(4, 90)) + 0.2 * rng.normal(size=(12, 90))
+    broad[rng.random(broad.shape) < 0.2] = np.nan
+    other = rng.normal(size=(9, 40)).cumsum(axis=0)
+    other[2:4, 5] = other[7, 8] = np.nan
+    full = rng.normal(size=(6, 50))
+    parts = {"broad": broad, "other": other, "full": full}
+    frames = [frame(spark, x, name) for name, x in parts.items()]
+    panel, series = (a.unionByName(b).unionByName(c) for a, b, c in zip(*frames, strict=True))
+    p = Params(k=3, max_iter=5, tol=1e-9, cells_per_task=100, gram_series=30)
+    short, jobs = counted_jobs(spark, "five steps", lambda: em_impute(panel, series, p))
+    _, more = counted_jobs(spark, "eight steps", lambda: em_impute(panel, series, p.with_(max_iter=8)))
+    assert more - jobs <= 3 * 6
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = em_impute(panel, series, p)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for res in (short, joined):
+        reports = {r.panel_id: r for r in res.report.collect()}
+        for name in ("broad", "other"):
+            want, steps, stopped, change = gram_steps(parts[name], 3, 5, 1e-9)
+            assert (reports[name].n_iter, reports[name].converged) == (steps, stopped)
+            assert reports[name].final_delta == pytest.approx(change, rel=1e-6)
+            np.testing.assert_allclose(dense(res.imputed.where(F.col("panel_id") == name)), want, rtol=1e-7, atol=1e-8)
+        assert (reports["full"].n_iter, reports["full"].converged) == (1, True)
+        np.testing.assert_array_equal(dense(res.imputed.where("panel_id = 'full'")), full)
