@@ -356,7 +356,7 @@ def q_em_wide_impute(spark, sf):
 
 
 def q_em_wide_rank1(spark, sf):
-    """One step at k = 1 of the same panel, always by passes over the rows."""
+    """One step at k = 1 of the same panel, always by passes over its vectors."""
     panel, series = I.wide_part_panel(spark, sf)
     one = FA.em_impute(panel, series, P_.with_(k=1, max_iter=1, gram_series=0, cells_per_task=5_000)).imputed
     return _in_deviations(one).withColumn("z", F.round("z", 4) + 0.0)
