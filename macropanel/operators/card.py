@@ -96,8 +96,13 @@ def missing_fraction(transformed: DataFrame) -> DataFrame:
 
 
 def kept_series(transformed: DataFrame | None, series: DataFrame, max_missing_frac: float = 0.5, counts: DataFrame | None = None) -> DataFrame:
-    """Series present in the panel with their header position and kept flag."""
-    if counts is not None:
+    """Series present in the panel with their header position and kept flag.
+
+    ``counts`` is the output of ``series_counts`` or of ``missing_fraction``.
+    """
+    if counts is not None and "n_missing" in counts.columns:
+        mf = counts.select(*K, "n_rows", "n_missing")
+    elif counts is not None:
         mf = counts.select(*K, "n_rows", (F.col("n_missing_leading") + F.col("n_missing_internal")).alias("n_missing"))
     else:
         mf = missing_fraction(transformed)

@@ -20,9 +20,11 @@ series, its series' (T long). The leading vectors of either side make the same p
 the rows change their places; what a group of a whole panel holds grows with the shorter side only.
 
 Vectors of at most ``SHORT`` numbers need no iteration: their basis has every direction, so the first pass is the last
-one and Z' Z S isn't asked for. An EM step is then one job without a shuffle of the state: each task refills its vectors
-from the panel's leading ones, adds up the norms, and keeps the triangular factor of what it wrote, of which a small
-second job makes the next leading vectors.
+one and Z' Z S isn't asked for. Their state is blocks: a row holds the vectors of some rows of a panel, about ``HELD``
+numbers, and which of them are gaps. An EM step is a pass without a shuffle of the state: each task refills its
+vectors from the panel's leading ones, adds up the norms, and tells them and the triangular factor of its vectors, of
+which the next leading ones are made. The state is written every ``REDONE`` steps only; the steps in between go on from
+there, each time again, with the leading vectors since: these are few numbers, and a refill is cheaper than a write.
 """
 
 from __future__ import annotations
@@ -48,8 +50,10 @@ EXTRA, CHUNK = 8, 2048
 SUBSPACE_TOL, ROUNDING = 1e-10, 2e-14
 #: Passes over the rows that one EM step may take.
 MOST_PASSES = 300
-#: Numbers of a vector up to which a basis has every direction.
-SHORT = 128
+#: Numbers of a vector up to which a basis has every direction, and of a block of such vectors.
+SHORT, HELD = 128, 16_384
+#: Steps after which the state of such vectors is written.
+REDONE = 5
 
 #: A block of a matrix with a row per series: rows i0 onward, ``width`` columns, row by row. i0 = -1: a triangular factor.
 BLOCK = "panel_id string, i0 int, width int, s array<double>"
@@ -195,11 +199,14 @@ def _refill(rows: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
 
 # ------------------------------------------------------------------ short vectors
 
-SHORT_STEP = f"kind int, {STATE}, n int, num double, den double, s array<double>"
-TOLD_TYPES = [pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
-SHORT_TYPES = [pa.int32(), pa.string(), pa.int32(), pa.date32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64()), *TOLD_TYPES]
-#: What a task says of the panels at work, and what comes of it: their leading vectors, null for one that has converged.
+ROWS = "panel_id string, salt int, date date, idx int, z0 array<double>"  # null entries are gaps
+#: t vectors of n numbers: z row by row, the bits of its gaps, dates and idx as 32-bit numbers (null: none). One salt serves the block.
+HELD_ROWS = "panel_id string, salt int, t int, n int, date binary, idx binary, gaps binary, z binary"
+#: A step's blocks (kind 0), and what a task says of a panel at work (kind 1): norms and triangular factor.
+SHORT_STEP = f"kind int, {HELD_ROWS}, num double, den double, s array<double>"
+SHORT_TYPES = [pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 4, pa.float64(), pa.float64(), pa.list_(pa.float64())]
 TOLD = "panel_id string, n int, num double, den double, s array<double>"
+#: What comes of it: a panel's leading vectors, null for one that has converged.
 LEADING = "panel_id string, n_iter int, delta double, v array<double>"
 
 
@@ -208,40 +215,102 @@ def _factor(held: np.ndarray | None, z: np.ndarray) -> np.ndarray:
     return np.linalg.qr(z if held is None else np.concatenate([held, z]), mode="r")
 
 
-def _first_factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for p, at in by_panel(batch):
-            held[p] = _factor(held.get(p), vectors_of(batch.column("z").take(pa.array(at))))
-    if held:
-        rows = [(p, r.shape[1], None, None, r.ravel()) for p, r in held.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), *TOLD_TYPES], strict=True)], names=names_of(TOLD))
+def _short_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), SHORT_TYPES, strict=True)], names=names_of(SHORT_STEP))
+
 
+def _told(held: dict[str, np.ndarray], norms: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if held:
+        yield _short_batch([(1, p, None, None, r.shape[1], None, None, None, None, *norms.get(p, (None, None)), r.ravel()) for p, r in held.items()])
 
-def _short_step(known: Broadcast | None):
-    """State rows after a step (kind 0), and a task's norms and factor of each panel at work (kind 1); others' rows pass.
 
-    The leading vectors are in ``known``, or come with the rows as their column v.
+def _hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows -> blocks with zeros in the gaps, and the factors of them."""
+    held: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for p, at in by_panel(batch):
+            part = batch if len(at) == len(batch) else batch.take(pa.array(at))
+            z = vectors_of(part.column("z0"))
+            gaps, z = np.isnan(z), np.nan_to_num(z, nan=0.0)
+            held[p] = _factor(held.get(p), z)
+            salt, n = part.column("salt").to_pylist(), z.shape[1]
+            names = [None if x.null_count else x.cast(pa.int32()).to_numpy() for x in (part.column(DATE), part.column("idx"))]
+            most = max(1, HELD // n)
+            for i in range(0, len(z), most):
+                some = slice(i, i + most)
+                of = [None if x is None else x[some].tobytes() for x in names]
+                yield _short_batch([(0, p, salt[i], len(z[some]), n, *of, np.packbits(gaps[some]).tobytes(), z[some].tobytes(), None, None, None)])
+    yield from _told(held, {})
+
+
+def _held(part: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors and gaps of the i-th block."""
+    shape = part.column("t")[i].as_py(), part.column("n")[i].as_py()
+    z = np.frombuffer(part.column("z")[i].as_buffer()).reshape(shape)
+    bits = np.frombuffer(part.column("gaps")[i].as_buffer(), np.uint8)
+    return z, np.unpackbits(bits, count=z.size).astype(bool).reshape(shape)
+
+
+def _since(z: np.ndarray, gaps: np.ndarray, vs: list[np.ndarray]) -> np.ndarray:
+    """The vectors after the steps with ``vs``."""
+    for v in vs:
+        z = np.where(gaps, (z @ v) @ v.T, z)
+    return z
+
+
+def _short_step(known: Broadcast | None, write: bool):
+    """What a task says of each panel at work after a step and, with ``write``, the blocks.
+
+    ``known`` has the leading vectors of each panel since the state was written, and the names of the panels at work; or
+    the blocks come with those of this step as their column v, null for a panel that isn't at work.
     """
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         norms: dict[str, np.ndarray] = {}
         for batch in batches:
-            for p, at in by_panel(batch):
-                part = batch if len(at) == len(batch) else batch.take(pa.array(at))
-                v, column, n = known.value.get(p) if known else part.column("v")[0].as_py(), part.column("z"), len(at)
-                if v is not None:
-                    z = vectors_of(column)
-                    z, change = refill(z, gaps_of(z.shape, part.column("miss")), np.array(v).reshape(z.shape[1], -1))
+            after = []
+            for i, p in enumerate(batch.column(PANEL).to_pylist()):
+                z, gaps = _held(batch, i)
+                if known:
+                    vs, at_work = known.value[0].get(p, []), p in known.value[1]
+                else:
+                    v = batch.column("v")[i].as_py()
+                    vs, at_work = [] if v is None else [v], v is not None
+                vs = [np.asarray(v).reshape(z.shape[1], -1) for v in vs]
+                if at_work:
+                    z, change = refill(_since(z, gaps, vs[:-1]), gaps, vs[-1])
                     norms[p] = norms.get(p, 0) + change
                     held[p] = _factor(held.get(p), z)
-                    column = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * z.shape[1], pa.int32()), pa.array(z.ravel()))
-                cols = [pa.array([0] * n, pa.int32()), *[column if c == "z" else part.column(c) for c in names_of(STATE)], *[pa.nulls(n, t) for t in TOLD_TYPES]]
+                elif write:
+                    z = _since(z, gaps, vs)
+                if write:
+                    after.append(z.tobytes())
+            if write:
+                n, z = batch.num_rows, pa.array(after, pa.binary())
+                cols = [pa.array([0] * n, pa.int32()), *[z if c == "z" else batch.column(c) for c in names_of(HELD_ROWS)], *[pa.nulls(n, t) for t in SHORT_TYPES[-3:]]]
                 yield pa.RecordBatch.from_arrays(cols, names=names_of(SHORT_STEP))
-        if held:
-            rows = [(1, p, None, None, None, None, None, r.shape[1], *norms[p], r.ravel()) for p, r in held.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), SHORT_TYPES, strict=True)], names=names_of(SHORT_STEP))
+        for told in _told(held, norms):
+            yield told if write else told.select(names_of(TOLD))
+
+    return kernel
+
+
+def _let_go(known: Broadcast):
+    """Blocks -> state rows after the steps with the leading vectors ``known`` by panel."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, p in enumerate(batch.column(PANEL).to_pylist()):
+                z, gaps = _held(batch, i)
+                z = _since(z, gaps, [v.reshape(z.shape[1], -1) for v in known.value.get(p, [])])
+                t, at = len(z), np.nonzero(gaps)[1]
+                miss = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], gaps.sum(axis=1).cumsum()]), pa.int32()), pa.array(at, pa.int32()))
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(t + 1) * z.shape[1], pa.int32()), pa.array(z.ravel()))
+                of = [batch.column(c)[i] for c in (DATE, "idx")]
+                of = [pa.array(np.frombuffer(x.as_buffer(), np.int32)).cast(kind) if x.is_valid else pa.nulls(t, kind) for x, kind in zip(of, (pa.date32(), pa.int32()), strict=True)]
+                cols = [pa.array([p] * t, pa.string()), pa.array([batch.column("salt")[i].as_py()] * t, pa.int32()), *of, miss, flat]
+                yield pa.RecordBatch.from_arrays(cols, names=names_of(STATE))
 
     return kernel
 
@@ -265,11 +334,14 @@ def _short_vectors(step: int, k: int, tol: float):
 
 
 class WidePanels:
-    """EM over panels given as state rows (all vectors, the complete ones too) and ``shapes``: panel, n numbers a vector, t vectors, k, n_salt."""
+    """EM over panels given as ``shapes``: panel, n numbers a vector, t vectors, k, n_salt.
+
+    All their vectors, the complete ones too, are in ``rows`` if they are short, else in ``state``.
+    """
 
-    def __init__(self, spark, root: str, state: DataFrame, shapes: DataFrame, params: Params, drop, broadcast_bytes: int):
+    def __init__(self, spark, root: str, rows: DataFrame, state: DataFrame, shapes: DataFrame, params: Params, drop, broadcast_bytes: int):
         self.spark, self.root, self.params, self.drop, self.broadcast_bytes = spark, root, params, drop, broadcast_bytes
-        self.state, self.shapes, self.passes = state, shapes, 0
+        self.rows, self.state, self.shapes, self.passes = rows, state, shapes, 0
 
     def _save(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.root}/{name}")
@@ -306,8 +378,8 @@ class WidePanels:
 
         Leading vectors that Spark would broadcast go to the tasks once each; beyond that they join by (panel, salt).
         """
-        p, state, tables, last = self.params, self.state, [], {}
-        small = self.shapes.agg(F.sum(8 * F.col("n") * F.col("k") + 64)).first()[0] <= self.broadcast_bytes
+        p, tables, last = self.params, [], {}
+        small = REDONE * self.shapes.agg(F.sum(8 * F.col("n") * F.col("k") + 64)).first()[0] <= self.broadcast_bytes
 
         def leading(told: DataFrame, step: int):
             found = told.groupBy(PANEL).applyInPandas(_short_vectors(step, p.k, p.tol), LEADING)
@@ -322,21 +394,39 @@ class WidePanels:
             table = self._save(found.observe(watch, F.count("v").alias("n")), f"leading-{step}")
             return table.select(PANEL, "v"), watch.get["n"]
 
-        vectors, at_work = leading(state.select(PANEL, "z").mapInArrow(_first_factors, TOLD), 0)
-        step = 0
+        def written(df: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+            """The blocks of a step, and what its tasks say."""
+            path = f"{self.root}/short-{step}"
+            df.write.option("compression", "uncompressed").option("parquet.enable.dictionary", "false").parquet(path)
+            table = self.spark.read.schema(SHORT_STEP).parquet(path)
+            return table.where("kind = 0").select(*names_of(HELD_ROWS)), table.where("kind = 1").select(*names_of(TOLD))
+
+        since: dict[str, list[np.ndarray]] = {}
+        send = self.spark.sparkContext.broadcast
+
+        state, told = written(self.rows.select(*names_of(ROWS)).mapInArrow(_hold, SHORT_STEP), 0)
+        vectors, at_work = leading(told, 0)
+        step = held = before = 0
         while at_work and step < p.max_iter:
             step += 1
-            known, on = None, state
             if small:
-                known = self.spark.sparkContext.broadcast(vectors)
+                for name, v in vectors.items():
+                    since.setdefault(name, []).append(np.array(v))
+                known, on = send((since, set(vectors))), state
             else:
-                on = state.join(self._dealt(vectors).select(PANEL, "salt", "v"), [PANEL, "salt"], "left")
-            path = f"{self.root}/short-{step}"
-            on.mapInArrow(_short_step(known), SHORT_STEP).write.partitionBy("kind").parquet(path)
-            state = self.spark.read.schema(STATE).parquet(f"{path}/kind=0")
-            vectors, at_work = leading(self.spark.read.schema(TOLD).parquet(f"{path}/kind=1"), step)
+                known, on = None, state.join(self._dealt(vectors).select(PANEL, "salt", "v"), [PANEL, "salt"], "left")
+            if small and step % REDONE:
+                told = on.select(PANEL, "t", "n", "gaps", "z").mapInArrow(_short_step(known, False), TOLD)
+            else:
+                held = step
+                state, told = written(on.mapInArrow(_short_step(known, True), SHORT_STEP), step)
+                since = {}
+            vectors, at_work = leading(told, step)
             log.info("EM step %d of panels of short vectors: %d go on", step, at_work)
-            self.drop(f"{self.root}/short-{step - 1}")
+            if held == step:
+                self.drop(f"{self.root}/short-{before}")
+                before = step
+        state = state.mapInArrow(_let_go(send(since)), STATE)
         outcome = "panel_id string, n_iter int, delta double"
         if small:
             return state, self.spark.createDataFrame([(panel, *end) for panel, end in last.items()], outcome)
@@ -347,12 +437,11 @@ class WidePanels:
     def run(self) -> tuple[DataFrame, DataFrame]:
         """State rows at the end, and (panel, n_iter, delta)."""
         ends = []
-        state, shapes = self.state, self.shapes
+        shapes = self.shapes
         short = F.col("n") <= SHORT
         for of, way in ((short, self._short), (~short, self._iterated)):
             self.shapes = shapes.where(of)
             if not self.shapes.isEmpty():
-                self.state = state.join(self.shapes.select(PANEL), PANEL, "left_semi")
                 ends.append(way())
         return ends[0] if len(ends) == 1 else tuple(a.unionByName(b) for a, b in zip(*ends, strict=True))
 

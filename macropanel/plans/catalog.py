@@ -350,15 +350,18 @@ def q_em_pca_impute(spark, sf):
 
 def q_em_wide_impute(spark, sf):
     """Quarters x parts, as many series as the part table has rows: beyond ``gram_series`` no Gram matrix is formed."""
-    panel, series = I.wide_part_panel(spark, sf)
-    em = FA.em_impute(panel, series, P_)
-    return em.report.drop("kept_series", "dropped_series").join(em.imputed, PANEL, "left")
+    rows, series = I.wide_part_panel(spark, sf)
+    em = FA.em_impute(P.cells_of(rows), series, P_, rows=rows)
+    report = em.report.drop("kept_series", "dropped_series")
+    # a panel's cells stay where they are, and its row comes to them; a panel without kept series has its row alone
+    cells = em.imputed.join(F.broadcast(report), PANEL).select(*report.columns, SERIES, DATE, VALUE, "imputed")
+    return cells.unionByName(report.where("n_kept = 0"), allowMissingColumns=True)
 
 
 def q_em_wide_rank1(spark, sf):
     """One step at k = 1 of the same panel, always by passes over its vectors."""
-    panel, series = I.wide_part_panel(spark, sf)
-    one = FA.em_impute(panel, series, P_.with_(k=1, max_iter=1, gram_series=0, cells_per_task=5_000)).imputed
+    rows, series = I.wide_part_panel(spark, sf)
+    one = FA.em_impute(P.cells_of(rows), series, P_.with_(k=1, max_iter=1, gram_series=0, cells_per_task=5_000), rows=rows).imputed
     return _in_deviations(one).withColumn("z", F.round("z", 4) + 0.0)
 
 

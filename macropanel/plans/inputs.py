@@ -67,13 +67,15 @@ def wide_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def wide_part_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Quarters x parts: shipped revenue per part, a series per row of the part table that was shipped. No codes are laid on."""
+    """Quarters x parts: shipped revenue per part, a row per part of lineitem (see ``panels.cells_of``). No codes are laid on."""
     li = read_table(spark, sf_dir, "lineitem")
-    quarter = F.to_date(F.date_trunc("quarter", "l_shipdate"))
-    series = F.concat(F.lit("P"), F.lpad(F.col("l_partkey").cast("string"), 12, "0"))
-    facts = li.groupBy(quarter.alias(DATE), series.alias(SERIES)).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias(VALUE))
-    cells, dim = facts_to_panel(facts.select(F.lit("part_revenue").alias(PANEL), SERIES, DATE, VALUE), step="3 MONTH")
-    return cells.select(PANEL, SERIES, DATE, VALUE), dim.select(PANEL, SERIES, "pos", F.lit(None).cast("int").alias("tcode"))
+    quarter = F.trunc(F.to_date("l_shipdate"), "quarter")
+    key = F.col("l_partkey").cast("bigint")  # a name has 12 characters of it
+    key = F.when(key.between(-99_999_999_999, 999_999_999_999), key).otherwise(F.substring(key.cast("string"), 1, 12).cast("bigint"))
+    facts = li.groupBy(quarter.alias(DATE), key.alias(SERIES)).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias(VALUE))
+    facts = facts.select(F.lit("part_revenue").alias(PANEL), SERIES, DATE, VALUE)
+    rows, dim = facts_to_panel(facts, "3 MONTH", by_series=True, named=lambda key: F.concat(F.lit("P"), F.lpad(key.cast("string"), 12, "0")))
+    return rows, dim.select(PANEL, SERIES, "pos", F.lit(None).cast("int").alias("tcode"))
 
 
 def spoiled_artifacts(clean: DataFrame, transformed: DataFrame, mask: DataFrame, card: DataFrame, series: DataFrame) -> dict[str, DataFrame]:

@@ -7,6 +7,12 @@ row positions line up with the panel's rows (what a wide table guarantees).
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +28,7 @@ def month_of(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "MM")
 
 
-def facts_to_panel(facts: DataFrame, step: str = "1 MONTH") -> tuple[DataFrame, DataFrame]:
+def facts_to_panel(facts: DataFrame, step: str = "1 MONTH", by_series: bool = False, named: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """Dense long panel from sparse monthly facts ``(panel_id, series_id, date, value)``.
 
     Returns ``(cells, series)``: cells carry ``m`` (month index in the panel)
@@ -34,8 +40,14 @@ def facts_to_panel(facts: DataFrame, step: str = "1 MONTH") -> tuple[DataFrame,
     from them. The spine of each series and its facts go through one exchange
     by (panel, series) and meet there in an aggregate by date; everything per
     series that follows stays in that partitioning.
+
+    With ``by_series``, for panels of many series and few dates, the cells come as one row per series
+    (see ``cells_of``): its facts meet once, and the spine is laid inside the row. The facts then have a
+    date of a series once, and may have shorter keys for series ids, of which ``named`` makes these one to one.
     """
     ensure_checkpoint_dir(facts.sparkSession)
+    if by_series:
+        return _facts_to_series_rows(facts, step, named or (lambda key: key))
     facts = nan_to_null(facts).checkpoint(eager=True)
     bounds = facts.groupBy(PANEL).agg(F.min(DATE).alias("_lo"), F.max(DATE).alias("_hi"))
     rank = F.row_number().over(Window.partitionBy(PANEL).orderBy(SERIES)) - 1  # over one row per series
@@ -51,6 +63,51 @@ def facts_to_panel(facts: DataFrame, step: str = "1 MONTH") -> tuple[DataFrame,
     return cells.select(PANEL, SERIES, DATE, VALUE, "pos", "m"), series.select(PANEL, SERIES, "pos")
 
 
+def _differs(names: pa.ChunkedArray) -> np.ndarray:
+    """Whether a name is another one than the name before it; nulls are equal."""
+    a, b = names.slice(1), names.slice(0, len(names) - 1)
+    other = pc.fill_null(pc.not_equal(a, b), False)
+    return pc.or_(other, pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy()
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Facts sorted by series -> a row per series; one that goes on in the next batch waits for it."""
+    rest: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        table = rest if batch is None else pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        if table is None or not len(table):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], _differs(table.column(PANEL)) | _differs(table.column(SERIES))]))
+        end = len(table) if batch is None else starts[-1]
+        rest, table, starts = table.slice(end), table.slice(0, end).combine_chunks(), starts[starts < end]
+        if len(starts):
+            dated = pc.is_valid(table.column(DATE)).to_numpy()
+            offsets = pa.array(np.concatenate([[0], dated.cumsum()])[np.concatenate([starts, [end]])], pa.int32())
+            there = table.filter(pa.array(dated)).combine_chunks()
+            lists = [pa.ListArray.from_arrays(offsets, pa.concat_arrays(there.column(c).chunks) if len(there) else pa.array([], table.schema.field(c).type)) for c in (DATE, VALUE)]
+            heads = table.take(pa.array(starts)).combine_chunks()
+            yield pa.RecordBatch.from_arrays([*[pa.concat_arrays(heads.column(c).chunks) for c in (PANEL, SERIES)], *lists], names=[PANEL, SERIES, "_d", "_v"])
+
+
+def _facts_to_series_rows(facts: DataFrame, step: str, named: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """``facts_to_panel`` with a row per series. A date's value is looked up among its series' own: for some hundred dates."""
+    dealt = nan_to_null(facts).repartition(PANEL, SERIES).sortWithinPartitions(PANEL, SERIES)
+    key = facts.schema[SERIES].dataType.simpleString()
+    seen = dealt.select(PANEL, SERIES, DATE, VALUE).mapInArrow(_gather, f"{PANEL} string, {SERIES} {key}, _d array<date>, _v array<double>")
+    seen = seen.withColumn(SERIES, named(F.col(SERIES))).checkpoint(eager=True)
+    bounds = seen.groupBy(PANEL).agg(F.min(F.array_min("_d")).alias("_lo"), F.max(F.array_max("_d")).alias("_hi"))
+    rank = F.row_number().over(Window.partitionBy(PANEL).orderBy(SERIES)) - 1  # over one row per series
+    series = seen.select(PANEL, SERIES, rank.cast("int").alias("pos")).checkpoint(eager=True)
+    spine = bounds.select(PANEL, F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}")).alias("_s")).where("_s is not null").checkpoint(eager=True)
+    value = F.transform("_s", lambda x: F.get("_v", (F.array_position("_d", x) - 1).cast("int")))
+    return seen.join(F.broadcast(spine), PANEL).select(PANEL, SERIES, F.col("_s").alias("d"), value.alias("v")), series
+
+
+def cells_of(rows: DataFrame) -> DataFrame:
+    """The long panel of rows of series (panel, series, dates ``d``, values ``v``)."""
+    return rows.select(PANEL, SERIES, F.inline(F.arrays_zip(F.col("d").alias(DATE), F.col("v").alias(VALUE))))
+
+
 def month_brand_facts(lineitem: DataFrame, part: DataFrame, panel_id: str = "brand_revenue") -> DataFrame:
     """Monthly shipped revenue per part brand: join, then an aggregate that combines map-side to months x brands.
 
